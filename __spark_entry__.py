@@ -79,10 +79,10 @@ def q_monthly_matrix(spark, sf):
 
 def q_name_map_merge(spark, sf):
     from cadence.operators.blocks import monthly_values
-    from cadence.api import prepare
+    from cadence.sources.rules import prepare
 
-    _, sel, names, _ = prepare(_rs(spark, [1], units=False))
-    v = monthly_values(_src(spark, sf), sel, names, None)
+    p = prepare(_rs(spark, [1], units=False))
+    v = monthly_values(_src(spark, sf), p, p.names, None)
     return v.select("rule_ord", "object", "month_start", round4("value").alias("value"))
 
 

@@ -1,8 +1,8 @@
 """User-level operators over a source and a rule set.
 
 Each function plans all the selected rules together (one fact scan) and
-returns a DataFrame; nothing is collected except the calendar and rule
-metadata, which are small by construction.
+returns a DataFrame; nothing is collected except the calendar and the rule
+tables, which are small by construction.
 """
 
 from __future__ import annotations
@@ -16,52 +16,40 @@ from cadence.operators.blocks import daily_grid, monthly_grid, monthly_values
 from cadence.operators.cells import cell_values, rule_cells
 from cadence.operators.units import unit_factors
 from cadence.sources.base import Source
-from cadence.sources.rules import (
-    RuleSet,
-    check_rules,
-    names_frame,
-    predicate_columns,
-    ratings_rules,
-    selection_rules,
-    standard_rules,
-    units_frame,
-)
+from cadence.sources.rules import Prepared, RuleSet, prepare
+
+MONTHLY_KINDS = {"flat", "nested", "stacked", "ratings"}
 
 
 def calendar_of(source: Source) -> Calendar:
     return collect_calendar(source.period_starts())
 
 
-def prepare(rs: RuleSet, which: str = "standard", rule_ords=None):
-    """(rules, selection rules, names, units) for one rule table."""
-    if which == "standard":
-        rules = standard_rules(rs.standard, rs.groups, rs.fuel_header)
-    else:
-        rules = ratings_rules(rs.ratings, rs.groups)
-    if rule_ords is not None:
-        rules = rules.where(F.col("rule_ord").isin(list(rule_ords)))
-    check_rules(rules)
-    sel = predicate_columns(selection_rules(rules, rs.groups, rs.components))
-    names = names_frame(rs.names) if rs.names is not None else None
-    units = units_frame(rs.units) if rs.units is not None else None
-    return rules, sel, names, units
+def cells_of(source: Source, p: Prepared, daily: bool = False) -> DataFrame:
+    return rule_cells(source, p.sel, daily=daily, props=p.properties(), expand=p.needs_timeslices(),
+                      kinds=p.kinds())
 
 
 def metric_cells(source: Source, rs: RuleSet, rule_ords=None, which: str = "standard", daily: bool = False) -> DataFrame:
     """The pivot input as long cells: per rule, object, band and month (and
     day): the sum, or the mean for rate rules; NULL/NaN read 0."""
-    _, sel, _, _ = prepare(rs, which, rule_ords)
+    p = prepare(rs, which, rule_ords)
+    c = cells_of(source, p, daily)
     if daily:
-        sel = sel.withColumn("rate", F.lit(False))
-    return cell_values(rule_cells(source, sel, daily=daily))
+        c = c.withColumn("rate", F.lit(False))
+    return cell_values(c)
+
+
+def monthly_values_of(source: Source, p: Prepared) -> DataFrame:
+    return monthly_values(source, p, p.names, p.units)
 
 
 def metric_matrix(source: Source, rs: RuleSet, rule_ord: int, cal: Calendar | None = None) -> DataFrame:
     """One rule as the wide matrix: object × month columns (explicit calendar
     values, absent months 0.0), bands and names merged."""
     cal = cal or calendar_of(source)
-    _, sel, names, units = prepare(rs, "standard", [rule_ord])
-    vals = monthly_values(source, sel.where(F.col("kind") != "daily"), names, units)
+    p = prepare(rs, "standard", [rule_ord]).only(MONTHLY_KINDS)
+    vals = monthly_values_of(source, p)
     long = vals.select("object", month_label("month_start").alias("col_label"), round4("value").alias("value"))
     wide = long.groupBy("object").pivot("col_label", cal.labels).agg(F.first("value"))
     return wide.na.fill(0.0, subset=cal.labels)
@@ -70,23 +58,23 @@ def metric_matrix(source: Source, rs: RuleSet, rule_ord: int, cal: Calendar | No
 def monthly_block(source: Source, rs: RuleSet, rule_ords=None, which: str = "standard",
                   cal: Calendar | None = None, with_total_row: bool = True) -> DataFrame:
     cal = cal or calendar_of(source)
-    _, sel, names, units = prepare(rs, which, rule_ords)
-    return monthly_grid(source, sel.where(F.col("kind") != "daily"), cal, names, units, with_total_row)
+    p = prepare(rs, which, rule_ords).only(MONTHLY_KINDS)
+    return monthly_grid(source, p, cal, with_total_row=with_total_row)
 
 
 def daily_block(source: Source, rs: RuleSet, rule_ords=None, cal: Calendar | None = None) -> DataFrame:
     cal = cal or calendar_of(source)
-    _, sel, names, _ = prepare(rs, "standard", rule_ords)
-    return daily_grid(source, sel.where(F.col("kind") == "daily"), cal, names)
+    p = prepare(rs, "standard", rule_ords).only({"daily"})
+    return daily_grid(source, p, cal)
 
 
 def rule_units(source: Source, rs: RuleSet, rule_ords=None, which: str = "standard") -> DataFrame:
-    _, sel, _, units = prepare(rs, which, rule_ords)
-    return unit_factors(source, sel, units)
+    p = prepare(rs, which, rule_ords)
+    return unit_factors(source, p.sel, p.units)
 
 
 def no_data_rules(source: Source, rs: RuleSet, which: str = "standard") -> DataFrame:
     """Rules whose selection finds no series with data: rules ▷ cells."""
-    rules, sel, _, _ = prepare(rs, which)
-    cells = rule_cells(source, sel).select("rule_ord").distinct()
-    return rules.join(cells, "rule_ord", "left_anti").select("rule_ord", "header", "property")
+    p = prepare(rs, which)
+    cells = cells_of(source, p.only(MONTHLY_KINDS)).select("rule_ord").distinct()
+    return p.rules.join(cells, "rule_ord", "left_anti").select("rule_ord", "header", "property")

@@ -20,25 +20,31 @@ from cadence.operators.cells import cell_values, rule_cells
 from cadence.operators.names import rename, rename_and_merge
 from cadence.operators.totals import add_row_totals, complete_months, total_row
 from cadence.operators.units import apply_factors, unit_factors
+from cadence.plans.sizing import cut
 from cadence.schemas import BLOCK_KEYS
 from cadence.sources.base import Source
+from cadence.sources.rules import Prepared
 
 GRID_COLS = BLOCK_KEYS + ["rate", "row_kind", "object", "band", "day", "year", "col_ord", "col_label",
                           "col_kind", "value"]
 
 
-def monthly_values(source: Source, sel_rules: DataFrame, names: DataFrame | None,
-                   units: DataFrame | None) -> DataFrame:
+def _cells(source: Source, p: Prepared, daily: bool) -> DataFrame:
+    return rule_cells(source, p.sel, daily=daily, props=p.properties(), expand=p.needs_timeslices(),
+                      kinds=p.kinds())
+
+
+def monthly_values(source: Source, p: Prepared, names: DataFrame | None = None,
+                   units: DataFrame | None = None) -> DataFrame:
     """(block keys, rate, object, month_start, value): per rule and object after
     renaming, band merge and unit scaling — before completion."""
-    cells = cell_values(rule_cells(source, sel_rules, daily=False))
+    cells = cell_values(_cells(source, p, False))
     merged = rename_and_merge(cells, names, BLOCK_KEYS + ["rate", "object", "month_start"])
-    return apply_factors(merged, unit_factors(source, sel_rules, units))
+    return apply_factors(merged, unit_factors(source, p.sel, units))
 
 
-def monthly_grid(source: Source, sel_rules: DataFrame, cal: Calendar, names: DataFrame | None = None,
-                 units: DataFrame | None = None, with_total_row: bool = True) -> DataFrame:
-    vals = monthly_values(source, sel_rules, names, units)
+def monthly_grid(source: Source, p: Prepared, cal: Calendar, with_total_row: bool = True) -> DataFrame:
+    vals = cut(monthly_values(source, p, p.names, p.units))
     row_keys = BLOCK_KEYS + ["rate", "object"]
     grid = complete_months(vals, row_keys, cal)
     rows = add_row_totals(grid, row_keys)
@@ -48,22 +54,23 @@ def monthly_grid(source: Source, sel_rules: DataFrame, cal: Calendar, names: Dat
         "year", "col_ord", "col_label", "col_kind", "value",
     )
     if not with_total_row:
-        return data
+        return cut(data)
     tot = total_row(rows, BLOCK_KEYS).select(
         *BLOCK_KEYS, "rate", F.lit("total").alias("row_kind"), F.lit(None).cast("string").alias("object"),
         F.lit(None).cast("int").alias("band"), F.lit(None).cast("int").alias("day"),
         "year", "col_ord", "col_label", "col_kind", "value",
     )
-    return data.unionByName(tot)
+    return cut(data.unionByName(tot))
 
 
-def daily_grid(source: Source, sel_rules: DataFrame, cal: Calendar, names: DataFrame | None = None) -> DataFrame:
+def daily_grid(source: Source, p: Prepared, cal: Calendar) -> DataFrame:
     """Daily rules: always summed, no unit factor. Rows = objects × bands × days
     1..31 within each rule (bands are crossed over all objects of the rule, as
     the report lays them out), every calendar month, then ``Tot-Y``/``Total``."""
-    cells = cell_values(rule_cells(source, sel_rules, daily=True).withColumn("rate", F.lit(False)))
+    names = p.names
+    cells = cell_values(_cells(source, p, True).withColumn("rate", F.lit(False)))
     day_keys = BLOCK_KEYS + ["rate", "object", "band", "day", "month_start"]
-    merged = rename(cells, names).groupBy(*day_keys).agg(F.sum("value").alias("value"))
+    merged = cut(rename(cells, names).groupBy(*day_keys).agg(F.sum("value").alias("value")))
     objs = merged.select(*BLOCK_KEYS, "rate", "object").distinct()
     bands = merged.select(*BLOCK_KEYS, "band").distinct()
     cond = None
@@ -77,7 +84,7 @@ def daily_grid(source: Source, sel_rules: DataFrame, cal: Calendar, names: DataF
         rows.select(*row_keys, F.lit(None).cast("date").alias("month_start"), F.lit(None).cast("double").alias("value"))
     ), row_keys, cal)
     out = add_row_totals(grid, row_keys)
-    return out.select(
+    return cut(out.select(
         *BLOCK_KEYS, "rate", F.lit("data").alias("row_kind"), "object", "band", "day",
         "year", "col_ord", "col_label", "col_kind", "value",
-    )
+    ))

@@ -35,11 +35,15 @@ def _needs_timeslices(rules: DataFrame) -> bool:
 
 
 def rule_cells(source: Source, rules: DataFrame, daily: bool = False,
-               broadcast_max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """(block keys, rate, object, band, month_start[, day], v_sum, v_cnt)."""
-    sel = select_series(source, rules)
-    props = _rule_properties(rules)
-    expand = _needs_timeslices(rules)
+               broadcast_max_rows: int = BROADCAST_MAX_ROWS, *, props: list[str] | None = None,
+               expand: bool | None = None, kinds: set | None = None) -> DataFrame:
+    """(block keys, rate, object, band, month_start[, day], v_sum, v_cnt).
+
+    ``props``, ``expand`` and ``kinds`` describe the (collected) rules; when
+    absent they are read from ``rules``."""
+    sel = select_series(source, rules, kinds)
+    props = _rule_properties(rules) if props is None else props
+    expand = _needs_timeslices(rules) if expand is None else expand
     try:
         obs = source.observations(expand_timeslices=expand, properties=props)
     except TypeError:

@@ -53,7 +53,7 @@ def nested_parents(source: Source, rules: DataFrame) -> DataFrame:
     return j.select("rule_ord", F.col("parent_name").alias("parent"), norm("parent_name").alias("_np_parent")).distinct()
 
 
-def select_series(source: Source, rules: DataFrame) -> DataFrame:
+def select_series(source: Source, rules: DataFrame, kinds: set | None = None) -> DataFrame:
     """rules (with predicate columns) ⋈ series -> one row per (rule, component,
     parent, series): block keys, series key columns, object and the series-side
     attributes; ``_r_ts`` is kept when the timeslice is matched on the fact side."""
@@ -74,6 +74,8 @@ def select_series(source: Source, rules: DataFrame) -> DataFrame:
     if ts_series_side:
         cond = cond & (flat_b._r_ts.isNull() | (s._s_ts == flat_b._r_ts))
     sel_flat = s.join(flat_b, cond, "inner").select(*SEL_RULE_COLS, "parent", "_r_ts", *keep)
+    if kinds is not None and "nested" not in kinds:
+        return sel_flat
 
     nested_rules = rules.where(F.col("kind") == "nested").select(*SEL_RULE_COLS, "_r_prop", "_r_ts")
     np_ = nested_parents(source, rules)

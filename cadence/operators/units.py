@@ -33,8 +33,9 @@ def unit_factors(source: Source, sel_rules: DataFrame, units: DataFrame | None)
     if units is None:
         return r.select("rule_ord", "component", F.lit(1.0).alias("factor"), F.lit(True).alias("unit_missing"),
                         "db_unit", "unit_to")
-    u = units.withColumn("_u_ord", F.monotonically_increasing_id())
-    u = config_broadcast(u, MAX_UNITS, "unit conversion")
+    if "_u_ord" not in units.columns:
+        units = units.withColumn("_u_ord", F.monotonically_increasing_id())
+    u = config_broadcast(units, MAX_UNITS, "unit conversion")
     j = r.join(
         u,
         (F.lower(F.col("db_unit")) == F.lower(F.col("UnitFrom"))) & (F.lower(F.trim("unit_to")) == F.lower(F.col("UnitTo"))),

@@ -1,56 +1,36 @@
 """The reports: Standard (blueprint_std) and Ratings/Timeslice (blueprint_rat),
-each one Spark job over the facts for all its rules, and the pipeline that
+each planned over the facts for all its rules at once, and the pipeline that
 writes them."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from cadence.functions.calendar import Calendar, collect_calendar
+from cadence.api import MONTHLY_KINDS, calendar_of
+from cadence.functions.calendar import Calendar
 from cadence.operators.blocks import daily_grid, monthly_grid
 from cadence.plans.layout import ordered_lines, ratings_cells, report_lines, standard_cells
 from cadence.sources.base import Source
-from cadence.sources.rules import (
-    RuleSet,
-    check_rules,
-    names_frame,
-    predicate_columns,
-    ratings_rules,
-    selection_rules,
-    standard_rules,
-    units_frame,
-)
+from cadence.sources.rules import RuleSet, prepare
 
 
-def calendar_of(source: Source) -> Calendar:
-    return collect_calendar(source.period_starts())
-
-
-def standard_report(source: Source, rs: RuleSet, cal: Calendar | None = None) -> DataFrame:
+def standard_report(source: Source, rs: RuleSet, cal: Calendar | None = None, rule_ords=None) -> DataFrame:
     """report_cells of the Standard report."""
     cal = cal or calendar_of(source)
-    rules = standard_rules(rs.standard, rs.groups, rs.fuel_header)
-    check_rules(rules)
-    sel = predicate_columns(selection_rules(rules, rs.groups, rs.components))
-    names = names_frame(rs.names) if rs.names is not None else None
-    units = units_frame(rs.units) if rs.units is not None else None
-    monthly = monthly_grid(source, sel.where(F.col("kind") != "daily"), cal, names, units)
-    has_daily = sel.where(F.col("kind") == "daily").limit(1).count() > 0
-    daily = daily_grid(source, sel.where(F.col("kind") == "daily"), cal, names) if has_daily else None
-    return standard_cells(monthly, daily, rules, names, cal, rs.components)
+    p = prepare(rs, "standard", rule_ords)
+    kinds = p.kinds()
+    monthly = monthly_grid(source, p.only(MONTHLY_KINDS), cal) if kinds & MONTHLY_KINDS else None
+    daily = daily_grid(source, p.only({"daily"}), cal) if "daily" in kinds else None
+    return standard_cells(monthly, daily, p.rules, p.names, cal, rs.components)
 
 
 def timeslice_report(source: Source, rs: RuleSet, cal: Calendar | None = None) -> DataFrame:
     """report_cells of the Ratings report: every rule in every timeslice, the
     timeslice a grouping key of one job."""
     cal = cal or calendar_of(source)
-    rules = ratings_rules(rs.ratings, rs.groups)
-    sel = predicate_columns(selection_rules(rules, rs.groups, rs.components))
-    names = names_frame(rs.names) if rs.names is not None else None
-    units = units_frame(rs.units) if rs.units is not None else None
-    monthly = monthly_grid(source, sel, cal, names, units, with_total_row=False)
-    return ratings_cells(monthly, rules, source.timeslices())
+    p = prepare(rs, "ratings")
+    monthly = monthly_grid(source, p, cal, with_total_row=False)
+    return ratings_cells(monthly, p.rules, source.timeslices())
 
 
 def write_report(cells: DataFrame, out_dir: str, name: str) -> None:

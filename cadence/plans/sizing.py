@@ -16,9 +16,24 @@ BROADCAST_MAX_ROWS = 2_000_000
 
 def row_count_at_most(df: DataFrame, max_rows: int) -> int:
     """Rows of ``df``, counting no further than ``max_rows + 1``."""
+    known = getattr(df, "_cadence_rows", None)
+    if known is not None:
+        return known
     return df.limit(max_rows + 1).count()
 
 
+def localize(df: DataFrame, max_rows: int, what: str) -> tuple[DataFrame, list]:
+    """Collect a config table once (bounded) and rebuild it as a local relation:
+    later plans read it without recomputing its lineage, its size is known,
+    and the driver can branch on its rows."""
+    rows = df.limit(max_rows + 1).collect()
+    if len(rows) > max_rows:
+        raise ValueError(f"{what}: more than {max_rows} rows; not a config table")
+    local = df.sparkSession.createDataFrame(rows, df.schema)
+    local._cadence_rows = len(rows)
+    return local, rows
+
+
 def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
     return row_count_at_most(df, max_rows) <= max_rows
 
@@ -34,3 +49,14 @@ def config_broadcast(df: DataFrame, max_rows: int, what: str) -> DataFrame:
     if n > max_rows:
         raise ValueError(f"{what}: more than {max_rows} rows; not a config table")
     return F.broadcast(df)
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """Cut lineage after an expensive, report-sized result: a reliable
+    checkpoint in the session's shared checkpoint folder. Later branches of the
+    plan read the small result instead of re-running the fact scan, and a lost
+    executor does not force that scan again."""
+    from cadence.session import checkpoint_dir
+
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)

@@ -190,6 +190,54 @@ def selection_rules(rules: DataFrame, groups: DataFrame, components=None) -> Dat
     return base.unionByName(st)
 
 
+@dataclass
+class Prepared:
+    """A rule table after normalisation, collected once (it is config) and
+    rebuilt as local relations; the driver branches on ``sel_rows``."""
+
+    rules: DataFrame
+    sel: DataFrame
+    sel_rows: list
+    names: DataFrame | None
+    units: DataFrame | None
+
+    def kinds(self) -> set:
+        return {r["kind"] for r in self.sel_rows}
+
+    def properties(self) -> list:
+        return sorted({r["property"] for r in self.sel_rows if r["property"] is not None})
+
+    def needs_timeslices(self) -> bool:
+        return any(r["_r_ts"] is None or r["_r_ts"] != "all periods" for r in self.sel_rows)
+
+    def only(self, kinds) -> "Prepared":
+        keep = [r for r in self.sel_rows if r["kind"] in kinds]
+        sel = self.sel.sparkSession.createDataFrame(keep, self.sel.schema)
+        sel._cadence_rows = len(keep)
+        return Prepared(self.rules, sel, keep, self.names, self.units)
+
+
+def prepare(rs: RuleSet, which: str = "standard", rule_ords=None) -> Prepared:
+    from cadence.plans.sizing import localize
+
+    if which == "standard":
+        rules = standard_rules(rs.standard, rs.groups, rs.fuel_header)
+    else:
+        rules = ratings_rules(rs.ratings, rs.groups)
+    if rule_ords is not None:
+        rules = rules.where(F.col("rule_ord").isin(list(rule_ords)))
+    rules, rule_rows = localize(rules, MAX_RULES, "rules")
+    bad = [r["rule_ord"] for r in rule_rows if r["kind"] == "stacked" and r["summary"]]
+    if bad:
+        raise ValueError(f"stacked fuel rules cannot use monthly-summary: rules {bad}")
+    sel, sel_rows = localize(predicate_columns(selection_rules(rules, rs.groups, rs.components)), MAX_RULES,
+                             "selection rules")
+    names = localize(names_frame(rs.names), MAX_NAMES, "name map")[0] if rs.names is not None else None
+    units = localize(units_frame(rs.units).withColumn("_u_ord", F.monotonically_increasing_id()), MAX_UNITS,
+                     "unit conversion")[0] if rs.units is not None else None
+    return Prepared(rules, sel, sel_rows, names, units)
+
+
 def predicate_columns(rules: DataFrame) -> DataFrame:
     """Normalised rule-side predicate columns (NULL = no filter)."""
     k = F.col("kind")

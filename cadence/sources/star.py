@@ -15,7 +15,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cadence.functions.text import DEFAULT_TIMESLICE, object_name
-from cadence.plans.sizing import bounded_broadcast
 from cadence.sources.base import Source
 
 
@@ -138,12 +137,14 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def supplier_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """supplier ⋈ nation ⋈ region: nation and region are broadcast behind a size check."""
+    """supplier ⋈ nation ⋈ region. No hint: Catalyst broadcasts nation and
+    region from their file-size statistics (spark.sql.autoBroadcastJoinThreshold)
+    and AQE re-checks at runtime; a large dimension gets a shuffle join."""
     sup = read_table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
     nat = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
     reg = read_table(spark, sf_dir, "region").select("r_regionkey", "r_name")
-    geo = nat.join(bounded_broadcast(reg), nat.n_regionkey == reg.r_regionkey, "left")
-    return sup.join(bounded_broadcast(geo), sup.s_nationkey == geo.n_nationkey, "left")
+    geo = nat.join(reg, nat.n_regionkey == reg.r_regionkey, "left")
+    return sup.join(geo, sup.s_nationkey == geo.n_nationkey, "left")
 
 
 def lineitem_source(spark: SparkSession, sf_dir: str) -> StarSource:
