@@ -113,6 +113,109 @@ def q_monthly_summary(spark, sf):
         "rule_ord", "row_label", "col_label", round4("value").alias("value"))
 
 
+def q_daily_block(spark, sf):
+    g = daily_block(_src(spark, sf), _rs(spark, [7]))
+    return g.select("rule_ord", "object", "band", "day", "col_label", round4("value").alias("value"))
+
+
+def q_nested_block(spark, sf):
+    g = monthly_block(_src(spark, sf), _rs(spark, [6]))
+    return g.select("rule_ord", "parent", "row_kind", "object", "col_label", round4("value").alias("value"))
+
+
+def q_ratings_block(spark, sf):
+    rs = analog.ruleset(spark, standard=[], ratings=[analog.RATINGS[0]])
+    g = monthly_block(_src(spark, sf), rs, which="ratings", with_total_row=False)
+    return g.select("rule_ord", "timeslice", "object", "col_label", round4("value").alias("value"))
+
+
+def _ratings_cells(spark, sf):
+    from cadence.plans.reports import timeslice_report
+
+    return timeslice_report(_src(spark, sf), analog.ruleset(spark, standard=[]))
+
+
+def q_timeslice_report(spark, sf):
+    c = _ratings_cells(spark, sf)
+    return c.select("section", "section_ord", "rule_ord", "row_label", "col_label", round4("value").alias("value"))
+
+
+def q_stacked_components(spark, sf):
+    from cadence.plans.reports import standard_report
+
+    c = standard_report(_src(spark, sf), _rs(spark, [5]))
+    return c.select(F.col("s_group").alias("object"), "row_kind", "row_label", "s_comp", "col_label",
+                    round4("value").alias("value"), "text")
+
+
+def q_emissions_block(spark, sf):
+    from cadence.plans.reports import emissions_report
+
+    c = emissions_report(_src(spark, sf), analog.ruleset(spark, standard=[], ratings=[]))
+    return c.select("rule_ord", "row_kind", "row_label", "col_label", round4("value").alias("value"))
+
+
+REPORT_COLS = ["section", "section_ord", "rule_ord", "row_kind", "row_label", "s_parent", "s_group", "s_band",
+               "s_day", "s_comp", "col_label"]
+
+
+def q_rule_driven_report(spark, sf):
+    from cadence.plans.reports import standard_report
+
+    c = standard_report(_src(spark, sf), _rs(spark))
+    return c.select(*REPORT_COLS, round4("value").alias("value"), "text")
+
+
+def q_report_lines(spark, sf):
+    from cadence.plans.layout import report_lines
+
+    lines = report_lines(_ratings_cells(spark, sf))
+    return lines.select("section_ord", "line_kind", "rule_ord", "s_obj", "line")
+
+
+def q_sections_from_text(spark, sf):
+    import uuid
+
+    from cadence.plans.layout import ordered_lines, report_lines
+    from cadence.session import checkpoint_dir
+    from cadence.sources.report_text import read_report_cells
+
+    out = f"{checkpoint_dir(spark).rstrip('/')}/report-text-{uuid.uuid4().hex}"
+    ordered_lines(report_lines(_ratings_cells(spark, sf))).select("line").coalesce(1) \
+        .write.mode("overwrite").text(out)
+    cells = read_report_cells(spark, out)
+    return cells.select("section", "row_label", "col_label", "value")
+
+
+def _perturbed(cells):
+    """The generated side of the diff check: section A scaled within tolerance,
+    section R shifted for one asset, section N missing a rule."""
+    v = round4("value")
+    v = (F.when(F.col("section") == "A", v * F.lit(1.0 + 1e-7))
+         .when((F.col("section") == "R") & F.col("row_label").startswith("S-ONE"), v + F.lit(1.0))
+         .otherwise(v))
+    return cells.where(~((F.col("section") == "N") & (F.col("rule_ord") == 3))).withColumn("value", v)
+
+
+def q_report_diff(spark, sf):
+    from cadence.operators.diff import diff_sections, keyed
+
+    cells = _ratings_cells(spark, sf).withColumn("text", F.lit(None).cast("string"))
+    gold = keyed(cells.withColumn("value", round4("value")), ["rule_ord"])
+    gen = keyed(_perturbed(cells), ["rule_ord"])
+    return diff_sections(gold, gen)
+
+
+def q_no_data_rules(spark, sf):
+    return no_data_rules(_src(spark, sf), _rs(spark))
+
+
+def q_schema_contract(spark, sf):
+    from cadence.plans.contract import check_source
+
+    return check_source(_src(spark, sf))
+
+
 # ---------------------------------------------------------------------------
 # Oracle side
 # ---------------------------------------------------------------------------
@@ -174,6 +277,228 @@ def _summary_sql() -> str:
     return " UNION ALL ".join(parts)
 
 
+def _daily_sql() -> str:
+    _, _, cls, _, prop, _, _, _ = O.std_rule(7)
+    pred = O.where(prop, cls)
+    return f"""
+    WITH obs AS ({O.OBS}), cal AS ({O.CAL}),
+    cell AS ({O.cells_sql(prop, False, pred, daily=True)}),
+    cl AS (SELECT object, band, month_start, day, {O.clean()} AS v FROM cell),
+    mapped AS (SELECT COALESCE(nm.dst, c.object) AS object, c.band, c.month_start, c.day, SUM(c.v) AS v
+               FROM cl c LEFT JOIN ({O.names_cte()}) nm ON c.object = nm.src GROUP BY ALL),
+    objs AS (SELECT DISTINCT object FROM mapped), bands AS (SELECT DISTINCT band FROM mapped),
+    days AS (SELECT CAST(range AS INTEGER) AS day FROM range(1, 32)),
+    grid AS (SELECT o.object, b.band, d.day, cal.month_start, COALESCE(m.v, 0.0) AS v
+             FROM objs o CROSS JOIN bands b CROSS JOIN days d CROSS JOIN cal
+             LEFT JOIN mapped m ON m.object = o.object AND m.band = b.band AND m.day = d.day
+                               AND m.month_start = cal.month_start),
+    rws AS (
+      SELECT object, band, day, strftime(month_start, '%b-%Y') AS col_label, v FROM grid
+      UNION ALL SELECT object, band, day, 'Tot-' || CAST(year(month_start) AS VARCHAR), SUM(v) FROM grid
+                GROUP BY object, band, day, year(month_start)
+      UNION ALL SELECT object, band, day, 'Total', SUM(v) FROM grid GROUP BY object, band, day)
+    SELECT 7 AS rule_ord, object, band, day, col_label, {R4('v')} AS value FROM rws
+    """
+
+
+def _ratings_sql(rules=None) -> str:
+    rules = analog.RATINGS if rules is None else rules
+    return " UNION ALL ".join(O.ratings_rule_sql(r) for r in rules)
+
+
+def _timeslice_report_sql() -> str:
+    return f"""SELECT ts AS section, CAST(ts_id AS BIGINT) AS section_ord, rule_ord, row_label, col_label, value
+               FROM ({_ratings_sql()}) x"""
+
+
+def _stacked_sql() -> str:
+    pq = O.where("Quantity", "Supplier", O.categories("Supplier", "All"))
+    pt = O.where("Tax", "Supplier", O.categories("Supplier", "Europe"))
+    comps = ", ".join(f"({i}, {O.q(c[0])})" for i, c in enumerate(analog.COMPONENTS))
+
+    def mapped(prop, pred):
+        return (f"SELECT COALESCE(nm.dst, c.object) AS object, c.month_start, SUM({O.clean('c.v')}) AS v "
+                f"FROM ({O.cells_sql(prop, False, pred)}) c LEFT JOIN ({O.names_cte()}) nm ON c.object = nm.src "
+                f"GROUP BY ALL")
+
+    return f"""
+    WITH obs AS ({O.OBS}), cal AS ({O.CAL}),
+    prim AS ({mapped('Quantity', pq)}), st AS ({mapped('Tax', pt)}),
+    objs AS (SELECT DISTINCT object FROM prim),
+    comps(ord, label) AS (VALUES {comps}),
+    comp AS (SELECT o.object, c.ord, c.label, cal.month_start,
+                    CASE c.ord WHEN 0 THEN COALESCE(p.v, 0.0) WHEN 2 THEN COALESCE(s.v, 0.0) ELSE 0.0 END AS v
+             FROM objs o CROSS JOIN comps c CROSS JOIN cal
+             LEFT JOIN prim p ON p.object = o.object AND p.month_start = cal.month_start
+             LEFT JOIN st s ON s.object = o.object AND s.month_start = cal.month_start)
+    SELECT object, 'component' AS row_kind, label AS row_label, ord AS s_comp,
+           strftime(month_start, '%b-%Y') AS col_label, {R4('v')} AS value, NULL AS text FROM comp
+    UNION ALL SELECT object, 'data', object, NULL, strftime(month_start, '%b-%Y'), {R4('SUM(v)')}, NULL
+              FROM comp GROUP BY object, month_start
+    UNION ALL SELECT o.object, 'header', '', NULL, strftime(cal.month_start, '%b-%Y'), NULL,
+              strftime(cal.month_start, '%b-%Y') FROM objs o CROSS JOIN cal
+    UNION ALL SELECT object, 'spacer', '', NULL, NULL, NULL, NULL FROM objs
+    """
+
+
+def _emissions_sql() -> str:
+    parts = []
+    for ro, _, cls, gas, pattern, unit, prop in analog.EMISSIONS:
+        sql = O.rounded(O.block_sql(ro, prop, False, O.where(prop, cls, (), parent=gas), O.factor(prop, unit)))
+        if pattern.strip().lower() == "monthly-summary":
+            label = O.q(f"{cls.strip()}-{gas.strip()}-Total")
+            parts.append(f"SELECT rule_ord, 'summary' AS row_kind, {label} AS row_label, col_label, value "
+                         f"FROM ({sql}) b WHERE row_kind = 'total'")
+        else:
+            parts.append(f"SELECT rule_ord, row_kind, CASE WHEN row_kind = 'total' THEN 'Total' ELSE object END "
+                         f"AS row_label, col_label, value FROM ({sql}) b")
+    return " UNION ALL ".join(parts)
+
+
+def _section_ords():
+    first = {}
+    for r in analog.STANDARD:
+        first.setdefault(r[1], r[0])
+    return first
+
+
+def _rule_driven_sql() -> str:
+    sec = _section_ords()
+
+    def hdr(ro):
+        h = O.std_rule(ro)[1]
+        return O.q(h), sec[h]
+
+    cols = "section, section_ord, rule_ord, row_kind, row_label, s_parent, s_group, s_band, s_day, s_comp, col_label, value, text"
+    parts = []
+    for ro in (1, 2):
+        h, so = hdr(ro)
+        parts.append(f"""SELECT {h} AS section, CAST({so} AS BIGINT) AS section_ord, rule_ord, row_kind,
+            CASE WHEN row_kind = 'total' THEN 'Total' ELSE object END AS row_label, NULL AS s_parent,
+            NULL AS s_group, NULL AS s_band, NULL AS s_day, NULL AS s_comp, col_label, value, NULL AS text
+            FROM ({O.flat_rule_sql(ro)}) b""")
+    summ = _summary_sql()
+    h, so = hdr(3)
+    parts.append(f"""SELECT {h}, CAST({so} AS BIGINT), rule_ord, 'summary', row_label, NULL, NULL, NULL, NULL, NULL,
+        col_label, value, NULL FROM ({summ}) b""")
+    h, so = hdr(5)
+    parts.append(f"""SELECT {h}, CAST({so} AS BIGINT), 5, row_kind, row_label, NULL, object, NULL, NULL, s_comp,
+        col_label, value, text FROM ({_stacked_sql()}) b""")
+    h, so = hdr(6)
+    nest = O.nested_rule_sql(6)
+    parts.append(f"""SELECT {h}, CAST({so} AS BIGINT), rule_ord, row_kind,
+        CASE WHEN row_kind = 'total' THEN 'Total' ELSE object END, parent, NULL, NULL, NULL, NULL, col_label, value, NULL
+        FROM ({nest}) b""")
+    parts.append(f"""SELECT DISTINCT {h}, CAST({so} AS BIGINT), rule_ord, 'title', COALESCE(nm.dst, b.parent), b.parent,
+        NULL, NULL, NULL, NULL, NULL, NULL, NULL
+        FROM ({nest}) b LEFT JOIN ({O.names_cte()}) nm ON b.parent = nm.src""")
+    parts.append(f"""SELECT DISTINCT {h}, CAST({so} AS BIGINT), rule_ord, 'spacer', '', parent,
+        NULL, NULL, NULL, NULL, NULL, NULL, NULL FROM ({nest}) b""")
+    h, so = hdr(7)
+    daily = _daily_sql()
+    parts.append(f"""WITH d AS ({daily}),
+        r AS (SELECT DISTINCT object, band, day FROM d),
+        lab AS (SELECT object, band, day, row_number() OVER (PARTITION BY object ORDER BY band, day) - 1 AS idx FROM r)
+        SELECT {h}, CAST({so} AS BIGINT), 7, 'data', CASE WHEN l.idx = 0 THEN ' ' ELSE CAST(l.idx AS VARCHAR) END,
+               NULL, d.object, d.band, d.day, NULL, d.col_label, d.value, NULL
+        FROM d JOIN lab l ON d.object = l.object AND d.band = l.band AND d.day = l.day
+        UNION ALL
+        SELECT {h}, CAST({so} AS BIGINT), 7, 'data', CASE WHEN idx = 0 THEN ' ' ELSE CAST(idx AS VARCHAR) END,
+               NULL, object, band, day, NULL, 'Day_Id', CAST(day AS DOUBLE), NULL FROM lab
+        UNION ALL
+        SELECT DISTINCT {h}, CAST({so} AS BIGINT), 7, 'title', object, NULL, object, NULL, NULL, NULL, NULL, NULL, NULL FROM r
+        UNION ALL
+        SELECT DISTINCT {h}, CAST({so} AS BIGINT), 7, 'spacer', '', NULL, object, NULL, NULL, NULL, NULL, NULL, NULL FROM r""")
+    return " UNION ALL ".join(f"SELECT * FROM ({p_})" for p_ in parts)
+
+
+COL_ORD_SQL = ("CASE WHEN col_label = 'Total' THEN 999999 WHEN col_label LIKE 'Tot-%' "
+               "THEN CAST(substr(col_label, 5) AS INTEGER) * 100 + 13 "
+               "ELSE year(strptime(col_label, '%b-%Y')) * 100 + month(strptime(col_label, '%b-%Y')) END")
+NUM_TXT = ("CASE WHEN ends_with(regexp_replace(printf('%.4f', value), '0+$', ''), '.') "
+           "THEN regexp_replace(printf('%.4f', value), '0+$', '') || '0' "
+           "ELSE regexp_replace(printf('%.4f', value), '0+$', '') END")
+
+
+def _report_lines_sql() -> str:
+    cells = f"SELECT *, {COL_ORD_SQL} AS col_ord FROM ({_ratings_sql()}) x"
+    return f"""
+    WITH c AS ({cells}),
+    secs AS (SELECT DISTINCT ts, ts_id FROM c),
+    cols AS (SELECT DISTINCT ts_id, col_ord, col_label FROM c)
+    SELECT CAST(ts_id AS BIGINT) AS section_ord, 0 AS line_kind, NULL::INTEGER AS rule_ord, NULL::VARCHAR AS s_obj, ts AS line FROM secs
+    UNION ALL SELECT CAST(ts_id AS BIGINT), 1, NULL, NULL, ',' || string_agg(col_label, ',' ORDER BY col_ord) FROM cols GROUP BY ts_id
+    UNION ALL SELECT CAST(ts_id AS BIGINT), 2, rule_ord, object, row_label || ',' || string_agg({NUM_TXT}, ',' ORDER BY col_ord)
+              FROM c GROUP BY ts_id, rule_ord, object, row_label
+    UNION ALL SELECT CAST(ts_id AS BIGINT), 3, NULL, NULL, '' FROM secs
+    """
+
+
+def _sections_from_text_sql() -> str:
+    return f"SELECT ts AS section, row_label, col_label, value FROM ({_ratings_sql()}) x"
+
+
+def _report_diff_sql() -> str:
+    return f"""
+    WITH c AS (SELECT ts AS section, rule_ord, row_label, col_label, value FROM ({_ratings_sql()}) x),
+    gold AS (SELECT * FROM c),
+    gen AS (SELECT section, rule_ord, row_label, col_label,
+                   CASE WHEN section = 'A' THEN value * (1.0 + 1e-7)
+                        WHEN section = 'R' AND starts_with(row_label, 'S-ONE') THEN value + 1.0
+                        ELSE value END AS value
+            FROM c WHERE NOT (section = 'N' AND rule_ord = 3)),
+    kg AS (SELECT g.*, row_label || '#' || CAST(o.occ AS VARCHAR) AS row_key FROM gold g JOIN
+           (SELECT section, row_label, rule_ord, row_number() OVER (PARTITION BY section, row_label ORDER BY rule_ord) AS occ
+            FROM (SELECT DISTINCT section, row_label, rule_ord FROM gold)) o USING (section, row_label, rule_ord)),
+    kn AS (SELECT g.*, row_label || '#' || CAST(o.occ AS VARCHAR) AS row_key FROM gen g JOIN
+           (SELECT section, row_label, rule_ord, row_number() OVER (PARTITION BY section, row_label ORDER BY rule_ord) AS occ
+            FROM (SELECT DISTINCT section, row_label, rule_ord FROM gen)) o USING (section, row_label, rule_ord)),
+    j AS (SELECT COALESCE(a.section, b.section) AS section, a.value AS gold, b.value AS gen
+          FROM kg a FULL JOIN kn b ON a.section = b.section AND a.row_key = b.row_key AND a.col_label = b.col_label),
+    per AS (SELECT section, COUNT(*) AS n_cells,
+                   SUM(CASE WHEN (gold IS NULL AND gen IS NULL) THEN 0
+                            WHEN gold IS NULL OR gen IS NULL THEN 1
+                            WHEN (isnan(gold) AND isnan(gen)) OR abs(gen - gold) <= 1e-5 + 1e-5 * abs(gen) THEN 0
+                            ELSE 1 END) AS n_mismatch FROM j GROUP BY section),
+    sg AS (SELECT section, COUNT(DISTINCT row_key) AS rows_gold, COUNT(DISTINCT col_label) AS cols_gold FROM kg GROUP BY section),
+    sn AS (SELECT section, COUNT(DISTINCT row_key) AS rows_gen, COUNT(DISTINCT col_label) AS cols_gen FROM kn GROUP BY section),
+    s AS (SELECT COALESCE(sg.section, sn.section) AS section, rows_gold, cols_gold, rows_gen, cols_gen
+          FROM sg FULL JOIN sn ON sg.section = sn.section),
+    f AS (SELECT s.*, rows_gold IS NOT NULL AS in_golden, rows_gen IS NOT NULL AS in_generated,
+                 CAST(COALESCE(per.n_cells, 0) AS BIGINT) AS n_cells, CAST(COALESCE(per.n_mismatch, 0) AS BIGINT) AS n_mismatch
+          FROM s LEFT JOIN per ON s.section = per.section),
+    v AS (SELECT *, CASE WHEN NOT in_generated THEN 'missing in generated'
+                         WHEN NOT in_golden THEN 'missing in golden'
+                         WHEN rows_gold <> rows_gen OR cols_gold <> cols_gen THEN 'shape mismatch'
+                         WHEN n_mismatch > 0 THEN 'data mismatch' ELSE 'ok' END AS status FROM f)
+    SELECT section, in_golden, in_generated, rows_gold, rows_gen, cols_gold, cols_gen, n_cells, n_mismatch, status,
+           status = 'ok' AS passed FROM v
+    """
+
+
+def _no_data_sql() -> str:
+    parts = []
+    for ro, header, cls, group, prop, pattern, _, _ in analog.STANDARD:
+        c = cls.strip()
+        if header == analog.FUEL:
+            preds = [O.where(comp[1], c, O.categories(c, comp[2] if len(comp) > 2 and comp[2] else group))
+                     for comp in analog.COMPONENTS if comp[1]]
+            pred = " OR ".join(f"({x})" for x in preds)
+        elif pattern == "daily":
+            pred = O.where(prop, c)
+        elif "." in c:
+            pred = "TRUE"  # nested: checked through the parents below
+            parent_cls = c.split(".")[0]
+            items = O.cat_filter_items(O.categories(parent_cls, group))
+            inl = f"lower(trim(category)) IN ({', '.join(O.q(x) for x in items)})" if items else "TRUE"
+            pred = f"{O.where(prop)} AND {'TRUE' if parent_cls.lower() == 'nation' else 'FALSE'} AND lower(trim(parent)) IN (SELECT lower(trim(parent)) FROM obs WHERE {inl})"
+        else:
+            pred = O.where(prop, c, O.categories(c, group))
+        parts.append(f"SELECT {ro} AS rule_ord, {O.q(header)} AS header, {O.q(prop.strip())} AS property "
+                     f"WHERE NOT EXISTS (SELECT 1 FROM obs WHERE {pred})")
+    return f"WITH obs AS ({O.OBS}) " + " UNION ALL ".join(parts)
+
+
 def _registry():
     return {
         "calendar": (q_calendar, f"""
@@ -191,6 +516,19 @@ def _registry():
         "flat_block_sum": (q_flat_block_sum, O.flat_rule_sql(1)),
         "flat_block_rate": (q_flat_block_rate, O.flat_rule_sql(2)),
         "monthly_summary": (q_monthly_summary, _summary_sql()),
+        "daily_block": (q_daily_block, _daily_sql()),
+        "nested_block": (q_nested_block, O.nested_rule_sql(6)),
+        "ratings_block": (q_ratings_block, f"SELECT rule_ord, ts AS timeslice, object, col_label, value "
+                                           f"FROM ({O.ratings_rule_sql(analog.RATINGS[0])}) x"),
+        "timeslice_report": (q_timeslice_report, _timeslice_report_sql()),
+        "stacked_components": (q_stacked_components, _stacked_sql()),
+        "emissions_block": (q_emissions_block, _emissions_sql()),
+        "rule_driven_report": (q_rule_driven_report, _rule_driven_sql()),
+        "report_lines": (q_report_lines, _report_lines_sql()),
+        "sections_from_text": (q_sections_from_text, _sections_from_text_sql()),
+        "report_diff": (q_report_diff, _report_diff_sql()),
+        "no_data_rules": (q_no_data_rules, _no_data_sql()),
+        "schema_contract": (q_schema_contract, None),
     }
 
 

@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 
 from cadence import schemas
+from cadence.sources.rules import EMISSIONS as EMISSIONS_SCHEMA
 from cadence.sources.rules import RuleSet, rows_frame
 
 FUEL = "( 3 ) Thermal Unit Fuel Use (MBTU)"
@@ -73,7 +74,15 @@ COMPONENTS = [
 ]
 
 
-def ruleset(spark: SparkSession, standard=None, ratings=None, names=True, units=True) -> RuleSet:
+# (rule_ord, Header, Class, Gas, Pattern, Unit, Property): series under a
+# parent object; nations stand in for gases.
+EMISSIONS = [
+    (1, "( 8 ) Emissions", "Supplier", "NATION_3", "monthly", "kunits", "Quantity"),
+    (2, "( 8 ) Emissions", "Supplier", " nation_7 ", "monthly-summary", None, "Tax"),
+]
+
+
+def ruleset(spark: SparkSession, standard=None, ratings=None, names=True, units=True, emissions=None) -> RuleSet:
     std = STANDARD if standard is None else standard
     rat = RATINGS if ratings is None else ratings
     return RuleSet(
@@ -84,6 +93,7 @@ def ruleset(spark: SparkSession, standard=None, ratings=None, names=True, units=
         names=rows_frame(spark, NAMES, schemas.NAME_MAP) if names else None,
         components=COMPONENTS,
         fuel_header=FUEL,
+        emissions=rows_frame(spark, EMISSIONS if emissions is None else emissions, EMISSIONS_SCHEMA),
     )
 
 

@@ -76,5 +76,5 @@ def rule_units(source: Source, rs: RuleSet, rule_ords=None, which: str = "standa
 def no_data_rules(source: Source, rs: RuleSet, which: str = "standard") -> DataFrame:
     """Rules whose selection finds no series with data: rules ▷ cells."""
     p = prepare(rs, which)
-    cells = cells_of(source, p.only(MONTHLY_KINDS)).select("rule_ord").distinct()
+    cells = cells_of(source, p).select("rule_ord").distinct()
     return p.rules.join(cells, "rule_ord", "left_anti").select("rule_ord", "header", "property")

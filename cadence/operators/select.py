@@ -63,13 +63,15 @@ def select_series(source: Source, rules: DataFrame, kinds: set | None = None) ->
     keep = source.key_cols + ["object"] + key_attrs
 
     flat = rules.where(F.col("kind") != "nested").select(
-        *SEL_RULE_COLS, "_r_prop", "_r_class", "_r_cats", "_r_ts", F.lit(None).cast("string").alias("parent")
+        *SEL_RULE_COLS, "_r_prop", "_r_class", "_r_cats", "_r_ts", "_r_parent",
+        F.lit(None).cast("string").alias("parent"),
     )
     flat_b = config_broadcast(flat, MAX_RULES, "rules")
     cond = (
         (s._s_prop == flat_b._r_prop)
         & (flat_b._r_class.isNull() | (s._s_class == flat_b._r_class))
         & ((F.size(flat_b._r_cats) == 0) | F.array_contains(flat_b._r_cats, s._s_cat))
+        & (flat_b._r_parent.isNull() | (s._s_parent == flat_b._r_parent))
     )
     if ts_series_side:
         cond = cond & (flat_b._r_ts.isNull() | (s._s_ts == flat_b._r_ts))

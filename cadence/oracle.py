@@ -122,47 +122,83 @@ def clean(v="v") -> str:
     return f"CASE WHEN {v} IS NULL OR isnan({v}) THEN 0.0 ELSE {v} END"
 
 
-def block_sql(rule_ord: int, prop, rate, pred, fac=1.0, names=True, total_row=True, by_parent=False,
-              parent_pred=None) -> str:
-    """A flat block as long cells: (rule_ord, row_kind, parent, object, col_label, value).
-    With ``by_parent`` the parent is a block key (nested)."""
-    pk = "parent, " if by_parent else ""
-    pkj = "AND m.parent = o.parent " if by_parent else ""
+OBS_TS = ("SELECT *, 'All Periods' AS ts, 0 AS ts_id FROM obs UNION ALL "
+          "SELECT *, flag AS ts, flag_id AS ts_id FROM obs")
+
+
+def block_sql(rule_ord: int, prop, rate, pred, fac=1.0, names=True, total_row=True, keys=(), obs="obs") -> str:
+    """A flat block as long cells: (rule_ord, row_kind, *keys, object, col_label, value).
+    ``keys`` are extra block keys of the observations (parent for nested rules,
+    ts for timeslices)."""
+    keys = list(keys)
+    k = "".join(f"{x}, " for x in keys)
+    kc = "".join(f"c.{x}, " for x in keys)
+    ko = "".join(f"o.{x}, " for x in keys)
+    kj = "".join(f"AND m.{x} = o.{x} " for x in keys)
     nm = f"LEFT JOIN ({names_cte()}) nm ON c.object = nm.src" if names else ""
     obj = "COALESCE(nm.dst, c.object)" if names else "c.object"
     yagg = NZMEAN if rate else "SUM(v)"
     mc = measure_col(prop) or "m_quantity"
     agg = "AVG" if rate else "SUM"
-    cell = (f"SELECT {pk}object, band, month_start, {agg}({mc}) AS v FROM obs WHERE {pred} "
-            f"GROUP BY {pk}object, band, month_start")
+    src = obs if obs == "obs" else f"({obs})"
     tot = ""
     if total_row:
-        tot = f"""
-      UNION ALL SELECT 'total' AS row_kind, {pk}NULL AS object, col_label, {yagg} AS v FROM rws GROUP BY {pk}col_label"""
+        tot = f" UNION ALL SELECT 'total' AS row_kind, {k}NULL AS object, col_label, {yagg} AS v FROM rws GROUP BY {k}col_label"
     return f"""
     WITH obs AS ({OBS}), cal AS ({CAL}),
-    cell AS ({cell}),
-    cl AS (SELECT {pk}object, band, month_start, {clean()} AS v FROM cell),
-    mapped AS (SELECT {pk.replace('parent', 'c.parent')}{obj} AS object, c.month_start, SUM(c.v) * {fac!r} AS v
-               FROM cl c {nm} GROUP BY ALL),
-    objs AS (SELECT DISTINCT {pk}object FROM mapped),
-    grid AS (SELECT {pk.replace('parent', 'o.parent')}o.object, cal.month_start, COALESCE(m.v, 0.0) AS v
-             FROM objs o CROSS JOIN cal LEFT JOIN mapped m ON m.object = o.object {pkj}AND m.month_start = cal.month_start),
+    cell AS (SELECT {k}object, band, month_start, {agg}({mc}) AS v FROM {src} o WHERE {pred}
+             GROUP BY {k}object, band, month_start),
+    cl AS (SELECT {k}object, band, month_start, {clean()} AS v FROM cell),
+    mapped AS (SELECT {kc}{obj} AS object, c.month_start, SUM(c.v) * {fac!r} AS v FROM cl c {nm} GROUP BY ALL),
+    objs AS (SELECT DISTINCT {k}object FROM mapped),
+    grid AS (SELECT {ko}o.object, cal.month_start, COALESCE(m.v, 0.0) AS v
+             FROM objs o CROSS JOIN cal LEFT JOIN mapped m ON m.object = o.object {kj}AND m.month_start = cal.month_start),
     rws AS (
-      SELECT {pk}object, strftime(month_start, '%b-%Y') AS col_label, v FROM grid
-      UNION ALL SELECT {pk}object, 'Tot-' || CAST(year(month_start) AS VARCHAR), {yagg} FROM grid GROUP BY {pk}object, year(month_start)
-      UNION ALL SELECT {pk}object, 'Total', {yagg} FROM grid GROUP BY {pk}object),
-    outp AS (SELECT 'data' AS row_kind, {pk}object, col_label, v FROM rws{tot})
-    SELECT {rule_ord} AS rule_ord, row_kind, {pk}object, col_label, {R4('v')} AS value FROM outp
+      SELECT {k}object, strftime(month_start, '%b-%Y') AS col_label, v FROM grid
+      UNION ALL SELECT {k}object, 'Tot-' || CAST(year(month_start) AS VARCHAR), {yagg} FROM grid GROUP BY {k}object, year(month_start)
+      UNION ALL SELECT {k}object, 'Total', {yagg} FROM grid GROUP BY {k}object),
+    outp AS (SELECT 'data' AS row_kind, {k}object, col_label, v FROM rws{tot})
+    SELECT {rule_ord} AS rule_ord, row_kind, {k}object, col_label, v AS value FROM outp
     """
 
 
+def rounded(sql: str, cols: str = "*") -> str:
+    return f"SELECT * REPLACE ({R4('value')} AS value) FROM ({sql}) b"
+
+
 def std_rule(rule_ord):
     return next(r for r in analog.STANDARD if r[0] == rule_ord)
 
 
-def flat_rule_sql(rule_ord: int, names=True, units=True, total_row=True) -> str:
+def flat_rule_sql(rule_ord: int, names=True, units=True, total_row=True, raw=False) -> str:
     _, _, cls, group, prop, _, rate, unit = std_rule(rule_ord)
     cats = categories(cls, group)
     fac = factor(prop, unit) if units else 1.0
-    return block_sql(rule_ord, prop, rate, where(prop, cls, cats), fac, names, total_row)
+    sql = block_sql(rule_ord, prop, rate, where(prop, cls, cats), fac, names, total_row)
+    return sql if raw else rounded(sql)
+
+
+def nested_rule_sql(rule_ord: int, raw=False) -> str:
+    """Parents of the parent class within the rule's categories; per parent all
+    series under it (no class or category filter), 'All Periods'."""
+    _, _, cls, group, prop, _, rate, unit = std_rule(rule_ord)
+    parent_cls = cls.strip().split(".")[0]
+    items = cat_filter_items(categories(parent_cls, group))
+    cat_pred = f"AND lower(trim(r.r_name)) IN ({', '.join(q(x) for x in items)})" if items else ""
+    cls_ok = "TRUE" if parent_cls.lower() == "nation" else "FALSE"
+    parents = (f"SELECT DISTINCT lower(trim(n.n_name)) FROM supplier s JOIN nation n ON s.s_nationkey = n.n_nationkey "
+               f"LEFT JOIN region r ON n.n_regionkey = r.r_regionkey WHERE {cls_ok} {cat_pred}")
+    pred = where(prop) + f" AND lower(trim(parent)) IN ({parents})"
+    sql = block_sql(rule_ord, prop, rate, pred, factor(prop, unit), True, True, keys=["parent"])
+    return sql if raw else rounded(sql)
+
+
+def ratings_rule_sql(rule, raw=False) -> str:
+    """A ratings rule in every timeslice: summed, no Total row, label object:alias."""
+    ro, cls, group, prop, alias, unit = rule
+    cats = categories(cls.strip(), group)
+    sql = block_sql(ro, prop, False, where(prop, cls, cats), factor(prop, unit), True, False, keys=["ts", "ts_id"],
+                    obs=OBS_TS)
+    lab = "object" if blank(alias) else f"object || ':' || {q(str(alias).strip())}"
+    sql = f"SELECT rule_ord, row_kind, ts, ts_id, object, {lab} AS row_label, col_label, value FROM ({sql}) x"
+    return sql if raw else rounded(sql)

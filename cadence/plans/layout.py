@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from cadence.functions.calendar import TOTAL_ORD, Calendar
 from cadence.functions.numeric import round4
-from cadence.functions.text import alias_label, nested_subheader, summary_label
+from cadence.functions.text import alias_label, nested_subheader
 from cadence.operators.names import rename
 from cadence.schemas import BLOCK_KEYS
 
@@ -62,7 +62,7 @@ def _cells(df: DataFrame, report: str, section: Column, section_ord: Column, *,
 def _rule_info(rules: DataFrame) -> DataFrame:
     return F.broadcast(rules.select(
         F.col("rule_ord").alias("_ri_rule"), "header", "kind", "summary", "class", "categories",
-        F.col("property").alias("_ri_prop"), "alias", "parent_class",
+        F.col("property").alias("_ri_prop"), "alias", "parent_class", "summary_text",
     ))
 
 
@@ -95,12 +95,12 @@ def standard_cells(monthly: DataFrame, daily: DataFrame | None, rules: DataFrame
         # monthly-summary: only the Total row, labelled class-categories-property-Total.
         summ = m.where(F.col("summary") & (F.col("kind") == "flat") & (F.col("row_kind") == "total"))
         parts.append(_cells(summ, report, section, section_ord, sub=SUB_TOTAL, row_kind="summary",
-                            row_label=summary_label(F.col("class"), F.col("categories"), F.col("_ri_prop")),
+                            row_label=F.col("summary_text"),
                             col_ord="col_ord", col_label="col_label", value="value"))
         # nested: per parent a sub-header, the parent's rows, its Total row and a spacer.
         nest = m.where(F.col("kind") == "nested")
         nest = nest.where(~F.col("summary") | (F.col("row_kind") == "total"))
-        nest_label = F.when(F.col("summary"), summary_label(F.col("class"), F.col("categories"), F.col("_ri_prop"))) \
+        nest_label = F.when(F.col("summary"), F.col("summary_text")) \
             .when(F.col("row_kind") == "data", F.col("object")).otherwise(F.lit(TOTAL_ROW_LABEL))
         parts.append(_cells(nest, report, section, section_ord, parent="parent",
                             sub=F.when(F.col("row_kind") == "data", SUB_DATA).otherwise(SUB_TOTAL), obj="object",

@@ -24,6 +24,15 @@ def standard_report(source: Source, rs: RuleSet, cal: Calendar | None = None, ru
     return standard_cells(monthly, daily, p.rules, p.names, cal, rs.components)
 
 
+def emissions_report(source: Source, rs: RuleSet, cal: Calendar | None = None) -> DataFrame:
+    """report_cells of emission rules (series under a gas parent), laid out as
+    flat blocks or monthly summaries."""
+    cal = cal or calendar_of(source)
+    p = prepare(rs, "emissions")
+    monthly = monthly_grid(source, p, cal)
+    return standard_cells(monthly, None, p.rules, p.names, cal, rs.components, report="Emissions")
+
+
 def timeslice_report(source: Source, rs: RuleSet, cal: Calendar | None = None) -> DataFrame:
     """report_cells of the Ratings report: every rule in every timeslice, the
     timeslice a grouping key of one job."""

@@ -20,6 +20,7 @@ from cadence.functions.text import (
     blank_to_null,
     category_filter_items,
     category_list,
+    summary_label,
 )
 
 # Rule patterns.
@@ -53,6 +54,7 @@ class RuleSet:
     units: DataFrame
     names: DataFrame | None
     components: list | None = None  # stacked rows: (label, property[, group])
+    emissions: DataFrame | None = None
     fuel_header: str = FUEL_HEADER
 
 
@@ -124,11 +126,17 @@ def standard_rules(rules: DataFrame, groups: DataFrame, fuel_header: str = FUEL_
     lookup_cls = F.when(F.col("parent_class").isNotNull(), F.col("parent_class")).otherwise(F.col("class"))
     r = _with_categories(r, groups, lookup_cls)
     return r.select(
-        "rule_ord", "header", "class", "property", "pattern", "rate", "unit_to", "kind",
+        "rule_ord", "header", "class", "property", "pattern",
+        (F.col("rate") & (F.col("kind") != "daily")).alias("rate"), "unit_to", "kind",
         "parent_class", "categories",
         (F.col("pattern") == PATTERN_SUMMARY).alias("summary"),
         F.lit(None).cast("string").alias("alias"),
         F.lit(DEFAULT_TIMESLICE).alias("timeslice_rule"),
+        F.lit(None).cast("string").alias("parent_rule"),
+        # A nested block's rows come from flat blocks built without class or
+        # categories, so its summary label reads None-all-{property}-Total.
+        F.when(F.col("kind") == "nested", F.concat(F.lit("None-all-"), F.col("property"), F.lit("-Total")))
+        .otherwise(summary_label(F.col("class"), F.col("categories"), F.col("property"))).alias("summary_text"),
     )
 
 
@@ -155,6 +163,47 @@ def ratings_rules(rules: DataFrame, groups: DataFrame) -> DataFrame:
         F.lit(False).alias("summary"),
         "alias",
         F.lit(None).cast("string").alias("timeslice_rule"),
+        F.lit(None).cast("string").alias("parent_rule"),
+        F.lit(None).cast("string").alias("summary_text"),
+    )
+
+
+# Fixed value: the property an emission block reads.
+EMISSION_PROPERTY = "Production"
+
+EMISSIONS = T.StructType([
+    T.StructField("rule_ord", T.IntegerType(), False),
+    T.StructField("Header", T.StringType()),
+    T.StructField("Class", T.StringType()),
+    T.StructField("Gas", T.StringType()),
+    T.StructField("Pattern", T.StringType()),
+    T.StructField("Unit", T.StringType()),
+    T.StructField("Property", T.StringType()),
+])
+
+
+def emission_rules(rules: DataFrame) -> DataFrame:
+    """Emission blocks: the series whose parent object is the gas, property
+    'Production' unless given, summed, with a Total row; a monthly-summary rule
+    keeps the Total row labelled ``{class}-{gas}-Total``."""
+    pattern = F.lower(F.trim(F.coalesce(F.col("Pattern"), F.lit(PATTERN_MONTHLY))))
+    prop = F.coalesce(blank_to_null("Property"), F.lit(EMISSION_PROPERTY))
+    return rules.select(
+        F.col("rule_ord").cast("int").alias("rule_ord"),
+        F.col("Header").alias("header"),
+        F.trim("Class").alias("class"),
+        prop.alias("property"),
+        pattern.alias("pattern"),
+        F.lit(False).alias("rate"),
+        blank_to_null("Unit").alias("unit_to"),
+        F.lit("flat").alias("kind"),
+        F.lit(None).cast("string").alias("parent_class"),
+        F.array().cast("array<string>").alias("categories"),
+        (pattern == PATTERN_SUMMARY).alias("summary"),
+        F.lit(None).cast("string").alias("alias"),
+        F.lit(DEFAULT_TIMESLICE).alias("timeslice_rule"),
+        F.trim("Gas").alias("parent_rule"),
+        F.concat_ws("-", F.trim("Class"), F.trim("Gas"), F.lit("Total")).alias("summary_text"),
     )
 
 
@@ -222,6 +271,8 @@ def prepare(rs: RuleSet, which: str = "standard", rule_ords=None) -> Prepared:
 
     if which == "standard":
         rules = standard_rules(rs.standard, rs.groups, rs.fuel_header)
+    elif which == "emissions":
+        rules = emission_rules(rs.emissions)
     else:
         rules = ratings_rules(rs.ratings, rs.groups)
     if rule_ords is not None:
@@ -251,4 +302,5 @@ def predicate_columns(rules: DataFrame) -> DataFrame:
         cls_filter.alias("_r_class"),
         cat_filter.alias("_r_cats"),
         F.lower(F.trim("timeslice_rule")).alias("_r_ts"),
+        F.lower(blank_to_null("parent_rule")).alias("_r_parent"),
     )
