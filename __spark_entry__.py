@@ -115,6 +115,7 @@ def q_monthly_summary(spark, sf):
 
 def q_daily_block(spark, sf):
     g = daily_block(_src(spark, sf), _rs(spark, [7]))
+    g = g.where(F.col("col_kind") != "extra")
     return g.select("rule_ord", "object", "band", "day", "col_label", round4("value").alias("value"))
 
 

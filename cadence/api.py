@@ -65,7 +65,7 @@ def monthly_block(source: Source, rs: RuleSet, rule_ords=None, which: str = "sta
 def daily_block(source: Source, rs: RuleSet, rule_ords=None, cal: Calendar | None = None) -> DataFrame:
     cal = cal or calendar_of(source)
     p = prepare(rs, "standard", rule_ords).only({"daily"})
-    return daily_grid(source, p, cal)
+    return daily_grid(source, p, cal).cells
 
 
 def rule_units(source: Source, rs: RuleSet, rule_ords=None, which: str = "standard") -> DataFrame:

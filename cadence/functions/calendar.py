@@ -68,15 +68,12 @@ class Calendar:
     def month_array(self) -> Column:
         """The months as a literal array of structs, for completing grids with a
         generator instead of a join."""
-        return F.array(*[
-            F.struct(
-                F.lit(ms).cast("date").alias("month_start"),
-                F.lit(y).cast("int").alias("year"),
-                F.lit(lab).alias("col_label"),
-                F.lit(y * 100 + ms.month).cast("int").alias("col_ord"),
-            )
+        items = ", ".join(
+            f"named_struct('month_start', DATE'{ms.isoformat()}', 'year', CAST({y} AS INT), "
+            f"'col_label', '{lab}', 'col_ord', CAST({y * 100 + ms.month} AS INT))"
             for ms, y, lab in self.months
-        ])
+        )
+        return F.expr(f"array({items})")
 
 
 # A solution horizon of 200 years is far beyond any plan; more months means the

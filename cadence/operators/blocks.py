@@ -2,9 +2,10 @@
 
 ``monthly_grid`` builds every monthly rule at once (flat, monthly-summary,
 nested, ratings and the components of stacked rules): cells -> clean ->
-rename and merge bands/names -> unit factor -> complete months -> row totals ->
-'Total' rows. ``daily_grid`` builds daily rules: day cells -> rename ->
-object × band × day completion -> row totals (sums, no 'Total' row).
+rename and merge bands/names -> unit factor -> [cut] -> row totals and 'Total'
+rows on the sparse cells -> completion to every report column. ``daily_grid``
+builds daily rules: day cells -> rename -> [cut] -> row totals -> object × band
+× day completion (sums, no 'Total' row).
 
 Output rows carry ``row_kind`` ('data' or 'total') and the block keys, so the
 layout step never has to parse labels.
@@ -12,21 +13,45 @@ layout step never has to parse labels.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cadence.functions.calendar import Calendar
 from cadence.operators.cells import cell_values, rule_cells
 from cadence.operators.names import rename, rename_and_merge
-from cadence.operators.totals import add_row_totals, complete_months, total_row
+from cadence.operators.totals import (
+    EXTRA,
+    expand_columns,
+    report_columns,
+    row_maps,
+    total_row,
+    with_row_totals,
+)
 from cadence.operators.units import apply_factors, unit_factors
 from cadence.plans.sizing import cut
 from cadence.schemas import BLOCK_KEYS
 from cadence.sources.base import Source
 from cadence.sources.rules import Prepared
 
-GRID_COLS = BLOCK_KEYS + ["rate", "row_kind", "object", "band", "day", "year", "col_ord", "col_label",
-                          "col_kind", "value"]
+# The daily block's day column and its ordinal (after 'Total').
+DAY_COLUMN = "Day_Id"
+DAY_ORD = 1_000_000
+DAYS_PER_MONTH = 31
+
+
+def null_safe_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """Equi-join on ``keys`` where NULL matches NULL (block keys may be NULL);
+    the result keeps the left side's key columns once."""
+    lft, rgt = left.alias("_l"), right.alias("_r")
+    cond = None
+    for k in keys:
+        e = F.col(f"_l.{k}").eqNullSafe(F.col(f"_r.{k}"))
+        cond = e if cond is None else cond & e
+    j = lft.join(rgt, cond, how)
+    return j.select(*[F.col(f"_l.{c}").alias(c) for c in left.columns],
+                    *[F.col(f"_r.{c}").alias(c) for c in right.columns if c not in keys])
 
 
 def _cells(source: Source, p: Prepared, daily: bool) -> DataFrame:
@@ -37,54 +62,67 @@ def _cells(source: Source, p: Prepared, daily: bool) -> DataFrame:
 def monthly_values(source: Source, p: Prepared, names: DataFrame | None = None,
                    units: DataFrame | None = None) -> DataFrame:
     """(block keys, rate, object, month_start, value): per rule and object after
-    renaming, band merge and unit scaling — before completion."""
+    renaming, band merge and unit scaling — sparse, before completion."""
     cells = cell_values(_cells(source, p, False))
     merged = rename_and_merge(cells, names, BLOCK_KEYS + ["rate", "object", "month_start"])
     return apply_factors(merged, unit_factors(source, p.sel, units))
 
 
+def _grid_cols(df: DataFrame, row_kind: str, band=None, day=None, row_idx=None) -> DataFrame:
+    def c(x, t):
+        return F.lit(None).cast(t) if x is None else F.col(x)
+
+    obj = F.col("object") if "object" in df.columns else F.lit(None).cast("string")
+    return df.select(
+        *BLOCK_KEYS, "rate", F.lit(row_kind).alias("row_kind"), obj.alias("object"),
+        c(band, "int").alias("band"), c(day, "int").alias("day"), c(row_idx, "int").alias("row_idx"),
+        "year", "col_ord", "col_label", "col_kind", "value",
+    )
+
+
 def monthly_grid(source: Source, p: Prepared, cal: Calendar, with_total_row: bool = True) -> DataFrame:
     vals = cut(monthly_values(source, p, p.names, p.units))
     row_keys = BLOCK_KEYS + ["rate", "object"]
-    grid = complete_months(vals, row_keys, cal)
-    rows = add_row_totals(grid, row_keys)
-    data = rows.select(
-        *BLOCK_KEYS, "rate", F.lit("data").alias("row_kind"), "object",
-        F.lit(None).cast("int").alias("band"), F.lit(None).cast("int").alias("day"),
-        "year", "col_ord", "col_label", "col_kind", "value",
-    )
-    if not with_total_row:
-        return cut(data)
-    tot = total_row(rows, BLOCK_KEYS).select(
-        *BLOCK_KEYS, "rate", F.lit("total").alias("row_kind"), F.lit(None).cast("string").alias("object"),
-        F.lit(None).cast("int").alias("band"), F.lit(None).cast("int").alias("day"),
-        "year", "col_ord", "col_label", "col_kind", "value",
-    )
-    return cut(data.unionByName(tot))
+    sparse = with_row_totals(vals, row_keys)
+    cols = report_columns(cal)
+    out = _grid_cols(expand_columns(row_maps(sparse, row_keys), row_keys, cols), "data")
+    if with_total_row:
+        bk = BLOCK_KEYS + ["rate"]
+        tot = expand_columns(row_maps(total_row(sparse, BLOCK_KEYS), bk), bk, cols)
+        out = out.unionByName(_grid_cols(tot, "total"))
+    return out
+
 
+@dataclass
+class DailyGrid:
+    cells: DataFrame     # one row per (block, object, band, day, column)
+    objects: DataFrame   # (block keys, rate, object): one per object block
 
-def daily_grid(source: Source, p: Prepared, cal: Calendar) -> DataFrame:
+
+def daily_grid(source: Source, p: Prepared, cal: Calendar) -> DailyGrid:
     """Daily rules: always summed, no unit factor. Rows = objects × bands × days
     1..31 within each rule (bands are crossed over all objects of the rule, as
-    the report lays them out), every calendar month, then ``Tot-Y``/``Total``."""
-    names = p.names
+    the report lays them out), every calendar month, ``Tot-Y``/``Total`` and the
+    day number as the last column."""
     cells = cell_values(_cells(source, p, True).withColumn("rate", F.lit(False)))
     day_keys = BLOCK_KEYS + ["rate", "object", "band", "day", "month_start"]
-    merged = cut(rename(cells, names).groupBy(*day_keys).agg(F.sum("value").alias("value")))
+    merged = cut(rename(cells, p.names).groupBy(*day_keys).agg(F.sum("value").alias("value")))
+    row_keys = BLOCK_KEYS + ["rate", "object", "band", "day"]
+    sparse = with_row_totals(merged, row_keys, rate_col=None)
+
     objs = merged.select(*BLOCK_KEYS, "rate", "object").distinct()
+    # Bands of a rule are few; their rank numbers the rows inside an object's block.
     bands = merged.select(*BLOCK_KEYS, "band").distinct()
-    cond = None
-    for k in BLOCK_KEYS:
-        e = objs[k].eqNullSafe(bands[k])
-        cond = e if cond is None else cond & e
-    rows = objs.join(bands, cond, "inner").select(*[objs[k] for k in BLOCK_KEYS], "rate", "object", "band")
-    rows = rows.select("*", F.explode(F.sequence(F.lit(1), F.lit(31))).alias("day"))
-    row_keys = BLOCK_KEYS + ["rate", "object", "band", "day"]
-    grid = complete_months(merged.unionByName(
-        rows.select(*row_keys, F.lit(None).cast("date").alias("month_start"), F.lit(None).cast("double").alias("value"))
-    ), row_keys, cal)
-    out = add_row_totals(grid, row_keys)
-    return cut(out.select(
-        *BLOCK_KEYS, "rate", F.lit("data").alias("row_kind"), "object", "band", "day",
-        "year", "col_ord", "col_label", "col_kind", "value",
+    bands = bands.withColumn("_brank", F.dense_rank().over(Window.partitionBy("rule_ord").orderBy("band")) - 1)
+    rows = null_safe_join(objs, bands, BLOCK_KEYS)
+    rows = rows.select("*", F.explode(F.sequence(F.lit(1), F.lit(DAYS_PER_MONTH))).alias("day"))
+    rows = rows.withColumn("row_idx", (F.col("_brank") * DAYS_PER_MONTH + F.col("day") - 1).cast("int")).drop("_brank")
+
+    full = null_safe_join(rows, row_maps(sparse, row_keys), row_keys, "left")
+    full = full.withColumn("_cells", F.map_concat(
+        F.coalesce(F.col("_cells"), F.create_map().cast("map<int,double>")),
+        F.create_map(F.lit(DAY_ORD), F.col("day").cast("double")),
     ))
+    cols = report_columns(cal, extra=[(DAY_ORD, DAY_COLUMN, EXTRA, None)])
+    grid = expand_columns(full, row_keys + ["row_idx"], cols)
+    return DailyGrid(_grid_cols(grid, "data", band="band", day="day", row_idx="row_idx"), objs)

@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cadence.plans.sizing import config_broadcast
+from cadence.plans.sizing import config_broadcast, known_rows
 from cadence.sources.rules import MAX_NAMES
 
 
@@ -15,7 +15,8 @@ def rename(df: DataFrame, names: DataFrame | None, col: str = "object") -> DataF
     if names is None:
         return df
     m = config_broadcast(
-        names.select(F.col("source_name").alias("_src"), F.col("report_name").alias("_dst")), MAX_NAMES, "name map"
+        known_rows(names, names.select(F.col("source_name").alias("_src"), F.col("report_name").alias("_dst"))),
+        MAX_NAMES, "name map",
     )
     j = df.join(m, df[col] == m["_src"], "left")
     return j.select(

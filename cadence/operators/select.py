@@ -66,7 +66,8 @@ def select_series(source: Source, rules: DataFrame, kinds: set | None = None) ->
         *SEL_RULE_COLS, "_r_prop", "_r_class", "_r_cats", "_r_ts", "_r_parent",
         F.lit(None).cast("string").alias("parent"),
     )
-    flat_b = config_broadcast(flat, MAX_RULES, "rules")
+    # Rules were bounded (MAX_RULES) when they were collected in ``prepare``.
+    flat_b = F.broadcast(flat)
     cond = (
         (s._s_prop == flat_b._r_prop)
         & (flat_b._r_class.isNull() | (s._s_class == flat_b._r_class))

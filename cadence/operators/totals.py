@@ -1,11 +1,17 @@
-"""Grid completion and totals on long cells.
+"""Row totals, 'Total' rows and grid completion on sparse cells.
+
+Absent cells read 0, and 0 adds nothing to a sum and is skipped by the
+non-zero mean, so every total is computed on the cells that exist:
 
-* complete: every row gets every calendar month (0.0 where absent);
 * row totals: ``Tot-Y`` per year and ``Total`` — sums, or for rate rows the mean
-  of the non-zero months (0 when none); the rate ``Total`` averages months,
-  not year totals;
+  of the non-zero months (0 when none); the rate ``Total`` averages months, not
+  year totals;
 * 'Total' row: per column, the sum over rows, or for rate blocks the mean of the
-  non-zero row values — applied to the total columns too.
+  non-zero row values — over the total columns too.
+
+Completion comes last: each row's cells are gathered into a map (at most one
+entry per report column) and a literal column list is expanded against it by a
+generator, so the dense grid is produced without a join.
 """
 
 from __future__ import annotations
@@ -16,64 +22,81 @@ from pyspark.sql import functions as F
 from cadence.functions.calendar import (
     TOTAL_LABEL,
     TOTAL_ORD,
+    YEAR_TOTAL_PREFIX,
     YEAR_TOTAL_SLOT,
     Calendar,
-    year_total_label,
+    month_ord,
 )
 from cadence.functions.numeric import nonzero_mean
 
 # Column kinds.
-MONTH, YEAR_TOTAL, GRAND_TOTAL = "month", "year_total", "total"
-
-
-def complete_months(values: DataFrame, row_keys: list[str], cal: Calendar, value: str = "value") -> DataFrame:
-    """rows × calendar months, left-filled with 0.0. Output: row_keys + year,
-    col_ord, col_label, col_kind, value. The months come from a literal array
-    (a generator), so no join builds the grid."""
-    rows = values.select(*row_keys).distinct()
-    grid = rows.select(*row_keys, F.inline(cal.month_array()))
-    v = values.select(*row_keys, "month_start", F.col(value).alias("_v"))
-    j = grid.join(v, row_keys_eq(grid, v, row_keys + ["month_start"]), "left")
-    return j.select(
-        *[grid[k] for k in row_keys],
-        grid["year"], grid["col_ord"], grid["col_label"], F.lit(MONTH).alias("col_kind"),
-        F.coalesce(F.col("_v"), F.lit(0.0)).alias("value"),
-    )
+MONTH, YEAR_TOTAL, GRAND_TOTAL, EXTRA = "month", "year_total", "total", "extra"
 
 
-def row_keys_eq(a: DataFrame, b: DataFrame, keys: list[str]):
-    c = None
-    for k in keys:
-        e = a[k].eqNullSafe(b[k])
-        c = e if c is None else c & e
-    return c
+def report_columns(cal: Calendar, totals: bool = True, extra: list | None = None):
+    """Literal array of (col_ord, col_label, col_kind, year): months, then per
+    year ``Tot-Y``, then ``Total`` (when ``totals``), then ``extra`` columns."""
+    cols = []
+    for ms, y, lab in cal.months:
+        cols.append((y * 100 + ms.month, lab, MONTH, y))
+    if totals:
+        for y in cal.years:
+            cols.append((y * 100 + YEAR_TOTAL_SLOT, f"{YEAR_TOTAL_PREFIX}{y}", YEAR_TOTAL, y))
+        cols.append((TOTAL_ORD, TOTAL_LABEL, GRAND_TOTAL, None))
+    for c in extra or []:
+        cols.append(c)
+    # One SQL literal (a single call into the JVM) rather than a Column per field.
+    def s(x):
+        return "NULL" if x is None else "'" + str(x).replace("'", "''") + "'"
+
+    items = ", ".join(
+        f"named_struct('col_ord', CAST({o} AS INT), 'col_label', {s(lab)}, 'col_kind', {s(k)}, "
+        f"'year', CAST({'NULL' if y is None else y} AS INT))"
+        for o, lab, k, y in cols
+    )
+    return F.expr(f"array({items})")
 
 
-def add_row_totals(grid: DataFrame, row_keys: list[str], rate_col: str | None = "rate") -> DataFrame:
-    """Month cells + ``Tot-Y`` + ``Total`` per row, in one aggregation
-    (grouping sets over year and row)."""
-    months = grid.where(F.col("col_kind") == MONTH)
+def with_row_totals(values: DataFrame, row_keys: list[str], rate_col: str | None = "rate",
+                    value: str = "value") -> DataFrame:
+    """Sparse (row_keys, month_start, value) -> sparse (row_keys, col_ord, value):
+    the month cells plus ``Tot-Y`` and ``Total``, one aggregation (grouping sets)."""
+    v = values.select(*row_keys, F.year("month_start").alias("year"),
+                      month_ord("month_start").alias("col_ord"), F.col(value).alias("value"))
     keys = [F.col(k) for k in row_keys]
-    t = months.groupingSets([keys + [F.col("year")], keys], *keys, F.col("year")).agg(
-        F.sum("value").alias("_sum"),
-        nonzero_mean("value").alias("_nzm"),
-        F.grouping("year").alias("_gy"),
+    t = v.groupingSets([keys + [F.col("year")], keys], *keys, F.col("year")).agg(
+        F.sum("value").alias("_sum"), nonzero_mean("value").alias("_nzm"), F.grouping("year").alias("_gy"),
     )
     rate = F.col(rate_col) if rate_col else F.lit(False)
     totals = t.select(
         *row_keys,
-        F.when(F.col("_gy") == 0, F.col("year")).alias("year"),
-        F.when(F.col("_gy") == 0, (F.col("year") * 100 + YEAR_TOTAL_SLOT).cast("int")).otherwise(F.lit(TOTAL_ORD)).alias("col_ord"),
-        F.when(F.col("_gy") == 0, year_total_label("year")).otherwise(F.lit(TOTAL_LABEL)).alias("col_label"),
-        F.when(F.col("_gy") == 0, F.lit(YEAR_TOTAL)).otherwise(F.lit(GRAND_TOTAL)).alias("col_kind"),
+        F.when(F.col("_gy") == 0, (F.col("year") * 100 + YEAR_TOTAL_SLOT).cast("int"))
+        .otherwise(F.lit(TOTAL_ORD)).alias("col_ord"),
         F.when(rate, F.col("_nzm")).otherwise(F.col("_sum")).alias("value"),
     )
-    return months.select(*totals.columns).unionByName(totals)
+    return v.select(*row_keys, "col_ord", "value").unionByName(totals)
 
 
-def total_row(grid: DataFrame, block_keys: list[str], rate_col: str | None = "rate") -> DataFrame:
-    """Per block and column: sum over rows, or non-zero mean for rate blocks."""
+def total_row(sparse: DataFrame, block_keys: list[str], rate_col: str | None = "rate") -> DataFrame:
+    """Per block and column over the sparse cells: sum, or non-zero mean."""
+    keys = block_keys + ([rate_col] if rate_col else []) + ["col_ord"]
+    t = sparse.groupBy(*keys).agg(F.sum("value").alias("_sum"), nonzero_mean("value").alias("_nzm"))
     rate = F.col(rate_col) if rate_col else F.lit(False)
-    keys = block_keys + ([rate_col] if rate_col else []) + ["year", "col_ord", "col_label", "col_kind"]
-    t = grid.groupBy(*keys).agg(F.sum("value").alias("_sum"), nonzero_mean("value").alias("_nzm"))
     return t.select(*keys, F.when(rate, F.col("_nzm")).otherwise(F.col("_sum")).alias("value"))
+
+
+def row_maps(sparse: DataFrame, row_keys: list[str]) -> DataFrame:
+    """One row per report row with its cells as a map col_ord -> value (bounded
+    by the number of report columns)."""
+    return sparse.groupBy(*row_keys).agg(
+        F.map_from_entries(F.collect_list(F.struct("col_ord", "value"))).alias("_cells")
+    )
+
+
+def expand_columns(rows: DataFrame, row_keys: list[str], columns) -> DataFrame:
+    """Rows (with an optional ``_cells`` map) -> one cell per report column;
+    absent cells 0.0."""
+    has_map = "_cells" in rows.columns
+    e = rows.select(*row_keys, *(["_cells"] if has_map else []), F.inline(columns))
+    v = F.coalesce(F.col("_cells")[F.col("col_ord")], F.lit(0.0)) if has_map else F.lit(0.0)
+    return e.select(*row_keys, "year", "col_ord", "col_label", "col_kind", v.alias("value"))

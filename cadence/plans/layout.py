@@ -17,9 +17,6 @@ from cadence.functions.text import alias_label, nested_subheader
 from cadence.operators.names import rename
 from cadence.schemas import BLOCK_KEYS
 
-# The daily block's day column and its ordinal.
-DAY_COLUMN = "Day_Id"
-DAY_ORD = TOTAL_ORD + 1
 TOTAL_ROW_LABEL = "Total"
 
 SUB_TITLE, SUB_HEADER, SUB_DATA, SUB_COMPONENT, SUB_TOTAL, SUB_SPACER = 0, 1, 2, 3, 4, 5
@@ -119,8 +116,9 @@ def standard_cells(monthly: DataFrame, daily: DataFrame | None, rules: DataFrame
         parts.extend(_stacked_cells(st, rules, report, section, section_ord, cal, components))
 
     if daily is not None:
-        d = with_section(_with_rule(daily, rules))
-        parts.extend(_daily_cells(d, report, section, section_ord))
+        d = with_section(_with_rule(daily.cells, rules))
+        objs = with_section(_with_rule(daily.objects, rules))
+        parts.extend(_daily_cells(d, objs, report, section, section_ord))
 
     out = parts[0]
     for p in parts[1:]:
@@ -158,19 +156,12 @@ def _stacked_cells(st: DataFrame, rules: DataFrame, report: str, section: Column
     return parts
 
 
-def _daily_cells(d: DataFrame, report: str, section: Column, section_ord: Column) -> list[DataFrame]:
-    # running row number inside an object's block, blank for the first row
-    rows = d.select("rule_ord", "header", "_sec_ord", "object", "band", "day").distinct()
-    w = Window.partitionBy("rule_ord", "object").orderBy("band", "day")
-    rows = rows.withColumn("_idx", F.row_number().over(w) - 1)
-    rows = rows.withColumn("_lab", F.when(F.col("_idx") == 0, F.lit(" ")).otherwise(F.col("_idx").cast("string")))
-    j = d.join(rows.select("rule_ord", "object", "band", "day", "_lab"), ["rule_ord", "object", "band", "day"], "inner")
-    parts = [_cells(j, report, section, section_ord, group="object", sub=SUB_DATA, band="band", day="day",
-                    row_kind="data", row_label="_lab", col_ord="col_ord", col_label="col_label", value="value")]
-    parts.append(_cells(rows, report, section, section_ord, group="object", sub=SUB_DATA, band="band", day="day",
-                        row_kind="data", row_label="_lab", col_ord=F.lit(DAY_ORD), col_label=F.lit(DAY_COLUMN),
-                        value="day"))
-    objs = rows.select("rule_ord", "header", "_sec_ord", "object").distinct()
+def _daily_cells(d: DataFrame, objs: DataFrame, report: str, section: Column, section_ord: Column) -> list[DataFrame]:
+    """Per object: a title row, its band × day rows (labelled by their running
+    number, blank for the first) with the Day_Id column, a spacer."""
+    lab = F.when(F.col("row_idx") == 0, F.lit(" ")).otherwise(F.col("row_idx").cast("string"))
+    parts = [_cells(d, report, section, section_ord, group="object", sub=SUB_DATA, band="band", day="day",
+                    row_kind="data", row_label=lab, col_ord="col_ord", col_label="col_label", value="value")]
     parts.append(_cells(objs, report, section, section_ord, group="object", sub=SUB_TITLE, row_kind="title",
                         row_label="object"))
     parts.append(_cells(objs, report, section, section_ord, group="object", sub=SUB_SPACER, row_kind="spacer",
@@ -178,13 +169,11 @@ def _daily_cells(d: DataFrame, report: str, section: Column, section_ord: Column
     return parts
 
 
-def ratings_cells(monthly: DataFrame, rules: DataFrame, timeslices: DataFrame, report: str = "Ratings") -> DataFrame:
+def ratings_cells(monthly: DataFrame, rules: DataFrame, report: str = "Ratings") -> DataFrame:
     """One section per timeslice (ordered by timeslice id); rows `object:alias`,
     no Total row."""
     m = _with_rule(monthly, rules).where(F.col("row_kind") == "data")
-    ts = F.broadcast(timeslices.select(F.col("timeslice").alias("_ts"), F.col("timeslice_id").alias("_ts_id")))
-    m = m.join(ts, m.timeslice == ts._ts, "inner")
-    return _cells(m, report, F.col("timeslice"), F.col("_ts_id"), sub=SUB_DATA, obj="object", row_kind="data",
+    return _cells(m, report, F.col("timeslice"), F.col("timeslice_id"), sub=SUB_DATA, obj="object", row_kind="data",
                   row_label=alias_label(F.col("object"), F.col("alias")), col_ord="col_ord",
                   col_label="col_label", value="value")
 

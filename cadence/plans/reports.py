@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from cadence.api import MONTHLY_KINDS, calendar_of
 from cadence.functions.calendar import Calendar
 from cadence.operators.blocks import daily_grid, monthly_grid
+from cadence.plans.sizing import cut
 from cadence.plans.layout import ordered_lines, ratings_cells, report_lines, standard_cells
 from cadence.sources.base import Source
 from cadence.sources.rules import RuleSet, prepare
@@ -19,7 +20,8 @@ def standard_report(source: Source, rs: RuleSet, cal: Calendar | None = None, ru
     cal = cal or calendar_of(source)
     p = prepare(rs, "standard", rule_ords)
     kinds = p.kinds()
-    monthly = monthly_grid(source, p.only(MONTHLY_KINDS), cal) if kinds & MONTHLY_KINDS else None
+    # The grid feeds several layout branches: cut it once (report-sized).
+    monthly = cut(monthly_grid(source, p.only(MONTHLY_KINDS), cal)) if kinds & MONTHLY_KINDS else None
     daily = daily_grid(source, p.only({"daily"}), cal) if "daily" in kinds else None
     return standard_cells(monthly, daily, p.rules, p.names, cal, rs.components)
 
@@ -29,7 +31,7 @@ def emissions_report(source: Source, rs: RuleSet, cal: Calendar | None = None) -
     flat blocks or monthly summaries."""
     cal = cal or calendar_of(source)
     p = prepare(rs, "emissions")
-    monthly = monthly_grid(source, p, cal)
+    monthly = cut(monthly_grid(source, p, cal))
     return standard_cells(monthly, None, p.rules, p.names, cal, rs.components, report="Emissions")
 
 
@@ -39,7 +41,7 @@ def timeslice_report(source: Source, rs: RuleSet, cal: Calendar | None = None) -
     cal = cal or calendar_of(source)
     p = prepare(rs, "ratings")
     monthly = monthly_grid(source, p, cal, with_total_row=False)
-    return ratings_cells(monthly, p.rules, source.timeslices())
+    return ratings_cells(monthly, p.rules)
 
 
 def write_report(cells: DataFrame, out_dir: str, name: str) -> None:

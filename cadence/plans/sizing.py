@@ -34,6 +34,14 @@ def localize(df: DataFrame, max_rows: int, what: str) -> tuple[DataFrame, list]:
     return local, rows
 
 
+def known_rows(src: DataFrame, derived: DataFrame) -> DataFrame:
+    """Carry a known row count to a row-preserving projection of ``src``."""
+    n = getattr(src, "_cadence_rows", None)
+    if n is not None:
+        derived._cadence_rows = n
+    return derived
+
+
 def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
     return row_count_at_most(df, max_rows) <= max_rows
 
@@ -52,11 +60,16 @@ def config_broadcast(df: DataFrame, max_rows: int, what: str) -> DataFrame:
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """Cut lineage after an expensive, report-sized result: a reliable
-    checkpoint in the session's shared checkpoint folder. Later branches of the
-    plan read the small result instead of re-running the fact scan, and a lost
-    executor does not force that scan again."""
+    """Cut lineage after an expensive, report-sized result: write it as a
+    Parquet table in the session's shared checkpoint folder and read it back.
+    The result is computed once; later branches of the plan read the small
+    table instead of re-running the fact scan, and a lost executor does not
+    force that scan again."""
+    import uuid
+
     from cadence.session import checkpoint_dir
 
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/cut-{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)

@@ -26,7 +26,7 @@ SERIES_ATTRS = [
 
 # Block key carried by every cell: a rule, an optional component of a stacked
 # rule, the timeslice and an optional parent (nested rules).
-BLOCK_KEYS = ["rule_ord", "component", "timeslice", "parent"]
+BLOCK_KEYS = ["rule_ord", "component", "timeslice_id", "timeslice", "parent"]
 
 # ---------------------------------------------------------------------------
 # Solution layout (the simulator's Parquet export).

@@ -267,6 +267,9 @@ class Prepared:
 
 
 def prepare(rs: RuleSet, which: str = "standard", rule_ords=None) -> Prepared:
+    """Normalise one rule table with Spark expressions and collect it once
+    (bounded: it is config). The rule-level frame is rebuilt from the same
+    rows, so no second action runs."""
     from cadence.plans.sizing import localize
 
     if which == "standard":
@@ -277,16 +280,28 @@ def prepare(rs: RuleSet, which: str = "standard", rule_ords=None) -> Prepared:
         rules = ratings_rules(rs.ratings, rs.groups)
     if rule_ords is not None:
         rules = rules.where(F.col("rule_ord").isin(list(rule_ords)))
-    rules, rule_rows = localize(rules, MAX_RULES, "rules")
+    rule_cols = rules.columns
+    sel, sel_rows = localize(predicate_columns(selection_rules(rules, rs.groups, rs.components)), MAX_RULES,
+                             "selection rules")
+    spark = sel.sparkSession
+    seen, rule_rows = set(), []
+    for r in sel_rows:
+        if r["rule_ord"] in seen:
+            continue
+        seen.add(r["rule_ord"])
+        rule_rows.append(r)
+    # A stacked rule appears once per component; its rule row then carries the
+    # first component's property, which the layout does not read.
+    rules_local = spark.createDataFrame([tuple(r[c] for c in rule_cols) for r in rule_rows],
+                                        rules.schema)
+    rules_local._cadence_rows = len(rule_rows)
     bad = [r["rule_ord"] for r in rule_rows if r["kind"] == "stacked" and r["summary"]]
     if bad:
         raise ValueError(f"stacked fuel rules cannot use monthly-summary: rules {bad}")
-    sel, sel_rows = localize(predicate_columns(selection_rules(rules, rs.groups, rs.components)), MAX_RULES,
-                             "selection rules")
     names = localize(names_frame(rs.names), MAX_NAMES, "name map")[0] if rs.names is not None else None
     units = localize(units_frame(rs.units).withColumn("_u_ord", F.monotonically_increasing_id()), MAX_UNITS,
                      "unit conversion")[0] if rs.units is not None else None
-    return Prepared(rules, sel, sel_rows, names, units)
+    return Prepared(rules_local, sel, sel_rows, names, units)
 
 
 def predicate_columns(rules: DataFrame) -> DataFrame:
