@@ -29,7 +29,7 @@ def _series_norm(source: Source) -> DataFrame:
     ]
     if "timeslice" not in source.fact_attrs:
         cols.append(norm("timeslice").alias("_s_ts"))
-    # A NULL object cannot be grouped (the reference drops it as a group key).
+    # A NULL object name is not a report row: such series are dropped.
     return s.where(F.col("object").isNotNull()).select("*", *cols)
 
 

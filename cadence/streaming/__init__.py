@@ -1,0 +1,7 @@
+"""Streaming: none.
+
+The reports are batch jobs over a finished solution; no operator needs a
+watermark, state or late data. A new solution (or data file) is a new batch
+run — the fact scan is one job for all rules, so re-running is the incremental
+path. Nothing here on purpose.
+"""
