@@ -23,9 +23,8 @@ from cadence.operators.cells import cell_values, rule_cells
 from cadence.operators.names import rename, rename_and_merge
 from cadence.operators.totals import (
     EXTRA,
-    expand_columns,
-    report_columns,
-    row_maps,
+    column_list,
+    dense_cells,
     total_row,
     with_row_totals,
 )
@@ -84,11 +83,12 @@ def monthly_grid(source: Source, p: Prepared, cal: Calendar, with_total_row: boo
     vals = cut(monthly_values(source, p, p.names, p.units))
     row_keys = BLOCK_KEYS + ["rate", "object"]
     sparse = with_row_totals(vals, row_keys)
-    cols = report_columns(cal)
-    out = _grid_cols(expand_columns(row_maps(sparse, row_keys), row_keys, cols), "data")
+    cols = column_list(cal)
+    spark = vals.sparkSession
+    out = _grid_cols(dense_cells(spark, sparse, row_keys, cols), "data")
     if with_total_row:
         bk = BLOCK_KEYS + ["rate"]
-        tot = expand_columns(row_maps(total_row(sparse, BLOCK_KEYS), bk), bk, cols)
+        tot = dense_cells(spark, total_row(sparse, BLOCK_KEYS), bk, cols)
         out = out.unionByName(_grid_cols(tot, "total"))
     return out
 
@@ -118,11 +118,7 @@ def daily_grid(source: Source, p: Prepared, cal: Calendar) -> DailyGrid:
     rows = rows.select("*", F.explode(F.sequence(F.lit(1), F.lit(DAYS_PER_MONTH))).alias("day"))
     rows = rows.withColumn("row_idx", (F.col("_brank") * DAYS_PER_MONTH + F.col("day") - 1).cast("int")).drop("_brank")
 
-    full = null_safe_join(rows, row_maps(sparse, row_keys), row_keys, "left")
-    full = full.withColumn("_cells", F.map_concat(
-        F.coalesce(F.col("_cells"), F.create_map().cast("map<int,double>")),
-        F.create_map(F.lit(DAY_ORD), F.col("day").cast("double")),
-    ))
-    cols = report_columns(cal, extra=[(DAY_ORD, DAY_COLUMN, EXTRA, None)])
-    grid = expand_columns(full, row_keys + ["row_idx"], cols)
+    cols = column_list(cal, extra=[(DAY_ORD, DAY_COLUMN, EXTRA, None)])
+    grid = dense_cells(merged.sparkSession, sparse, row_keys, cols, rows=rows,
+                       extra_values={DAY_ORD: F.col("day")})
     return DailyGrid(_grid_cols(grid, "data", band="band", day="day", row_idx="row_idx"), objs)

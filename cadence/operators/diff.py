@@ -18,10 +18,10 @@ RTOL = 1e-5
 
 def keyed(cells: DataFrame, row_order: list[str]) -> DataFrame:
     """(section, row_key, col_label, value, text) with row_key = label#n."""
-    rows = cells.select("section", "row_label", *row_order).distinct()
+    # Occurrence of a label inside its section: a dense rank over the row order,
+    # partitioned by (section, label) — a group is one label's cells.
     w = Window.partitionBy("section", "row_label").orderBy(*row_order)
-    rows = rows.withColumn("_occ", F.row_number().over(w))
-    j = cells.join(rows, ["section", "row_label", *row_order], "inner")
+    j = cells.withColumn("_occ", F.dense_rank().over(w))
     return j.select(
         "section",
         F.concat(F.coalesce("row_label", F.lit("")), F.lit("#"), F.col("_occ").cast("string")).alias("row_key"),

@@ -33,28 +33,17 @@ from cadence.functions.numeric import nonzero_mean
 MONTH, YEAR_TOTAL, GRAND_TOTAL, EXTRA = "month", "year_total", "total", "extra"
 
 
-def report_columns(cal: Calendar, totals: bool = True, extra: list | None = None):
-    """Literal array of (col_ord, col_label, col_kind, year): months, then per
-    year ``Tot-Y``, then ``Total`` (when ``totals``), then ``extra`` columns."""
-    cols = []
-    for ms, y, lab in cal.months:
-        cols.append((y * 100 + ms.month, lab, MONTH, y))
+def column_list(cal: Calendar, totals: bool = True, extra: list | None = None) -> list[tuple]:
+    """(col_ord, col_label, col_kind, year): months, then per year ``Tot-Y``,
+    then ``Total`` (when ``totals``), then ``extra`` columns."""
+    cols = [(y * 100 + ms.month, lab, MONTH, y) for ms, y, lab in cal.months]
     if totals:
-        for y in cal.years:
-            cols.append((y * 100 + YEAR_TOTAL_SLOT, f"{YEAR_TOTAL_PREFIX}{y}", YEAR_TOTAL, y))
+        cols += [(y * 100 + YEAR_TOTAL_SLOT, f"{YEAR_TOTAL_PREFIX}{y}", YEAR_TOTAL, y) for y in cal.years]
         cols.append((TOTAL_ORD, TOTAL_LABEL, GRAND_TOTAL, None))
-    for c in extra or []:
-        cols.append(c)
-    # One SQL literal (a single call into the JVM) rather than a Column per field.
-    def s(x):
-        return "NULL" if x is None else "'" + str(x).replace("'", "''") + "'"
-
-    items = ", ".join(
-        f"named_struct('col_ord', CAST({o} AS INT), 'col_label', {s(lab)}, 'col_kind', {s(k)}, "
-        f"'year', CAST({'NULL' if y is None else y} AS INT))"
-        for o, lab, k, y in cols
-    )
-    return F.expr(f"array({items})")
+    return cols + list(extra or [])
+
+
+COLUMNS_SCHEMA = "col_ord int, col_label string, col_kind string, year int"
 
 
 def with_row_totals(values: DataFrame, row_keys: list[str], rate_col: str | None = "rate",
@@ -85,18 +74,24 @@ def total_row(sparse: DataFrame, block_keys: list[str], rate_col: str | None = "
     return t.select(*keys, F.when(rate, F.col("_nzm")).otherwise(F.col("_sum")).alias("value"))
 
 
-def row_maps(sparse: DataFrame, row_keys: list[str]) -> DataFrame:
-    """One row per report row with its cells as a map col_ord -> value (bounded
-    by the number of report columns)."""
-    return sparse.groupBy(*row_keys).agg(
-        F.map_from_entries(F.collect_list(F.struct("col_ord", "value"))).alias("_cells")
-    )
-
-
-def expand_columns(rows: DataFrame, row_keys: list[str], columns) -> DataFrame:
-    """Rows (with an optional ``_cells`` map) -> one cell per report column;
-    absent cells 0.0."""
-    has_map = "_cells" in rows.columns
-    e = rows.select(*row_keys, *(["_cells"] if has_map else []), F.inline(columns))
-    v = F.coalesce(F.col("_cells")[F.col("col_ord")], F.lit(0.0)) if has_map else F.lit(0.0)
-    return e.select(*row_keys, "year", "col_ord", "col_label", "col_kind", v.alias("value"))
+def dense_cells(spark, sparse: DataFrame, row_keys: list[str], cols: list[tuple],
+                rows: DataFrame | None = None, extra_values: dict | None = None) -> DataFrame:
+    """Sparse (row_keys, col_ord, value) -> one cell per row and report column,
+    absent cells 0.0. A pivot on the explicit column list (one aggregation)
+    then an unpivot (Expand) — both inside generated code, no per-row maps.
+    ``rows`` (optional) lists every report row, also those without cells;
+    ``extra_values`` adds computed columns {col_ord: Column}."""
+    ords = [c[0] for c in cols if c[0] not in (extra_values or {})]
+    wide = sparse.groupBy(*row_keys).pivot("col_ord", ords).agg(F.first("value"))
+    if rows is not None:
+        from cadence.operators.blocks import null_safe_join
+
+        wide = null_safe_join(rows, wide, row_keys, "left")
+    for o, expr in (extra_values or {}).items():
+        wide = wide.withColumn(str(o), expr.cast("double"))
+    ids = [c for c in wide.columns if c not in {str(c0[0]) for c0 in cols}]
+    long = wide.unpivot(ids, [str(c[0]) for c in cols], "_col", "value")
+    meta = F.broadcast(spark.createDataFrame(cols, COLUMNS_SCHEMA))
+    j = long.join(meta, long["_col"].cast("int") == meta["col_ord"], "inner")
+    return j.select(*ids, "year", "col_ord", "col_label", "col_kind",
+                    F.coalesce(F.col("value"), F.lit(0.0)).alias("value"))

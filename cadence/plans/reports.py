@@ -40,7 +40,7 @@ def timeslice_report(source: Source, rs: RuleSet, cal: Calendar | None = None) -
     timeslice a grouping key of one job."""
     cal = cal or calendar_of(source)
     p = prepare(rs, "ratings")
-    monthly = monthly_grid(source, p, cal, with_total_row=False)
+    monthly = cut(monthly_grid(source, p, cal, with_total_row=False))
     return ratings_cells(monthly, p.rules)
 
 
