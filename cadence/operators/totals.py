@@ -49,21 +49,22 @@ COLUMNS_SCHEMA = "col_ord int, col_label string, col_kind string, year int"
 def with_row_totals(values: DataFrame, row_keys: list[str], rate_col: str | None = "rate",
                     value: str = "value") -> DataFrame:
     """Sparse (row_keys, month_start, value) -> sparse (row_keys, col_ord, value):
-    the month cells plus ``Tot-Y`` and ``Total``, one aggregation (grouping sets)."""
+    the month cells, ``Tot-Y`` and ``Total`` in one aggregation (grouping sets
+    over month, year and row; a month "group" is its single cell)."""
     v = values.select(*row_keys, F.year("month_start").alias("year"),
-                      month_ord("month_start").alias("col_ord"), F.col(value).alias("value"))
+                      month_ord("month_start").alias("_m"), F.col(value).alias("value"))
     keys = [F.col(k) for k in row_keys]
-    t = v.groupingSets([keys + [F.col("year")], keys], *keys, F.col("year")).agg(
-        F.sum("value").alias("_sum"), nonzero_mean("value").alias("_nzm"), F.grouping("year").alias("_gy"),
+    y, m = F.col("year"), F.col("_m")
+    t = v.groupingSets([keys + [y, m], keys + [y], keys], *keys, y, m).agg(
+        F.sum("value").alias("_sum"), nonzero_mean("value").alias("_nzm"),
+        F.grouping("_m").alias("_gm"), F.grouping("year").alias("_gy"),
     )
     rate = F.col(rate_col) if rate_col else F.lit(False)
-    totals = t.select(
-        *row_keys,
-        F.when(F.col("_gy") == 0, (F.col("year") * 100 + YEAR_TOTAL_SLOT).cast("int"))
-        .otherwise(F.lit(TOTAL_ORD)).alias("col_ord"),
-        F.when(rate, F.col("_nzm")).otherwise(F.col("_sum")).alias("value"),
-    )
-    return v.select(*row_keys, "col_ord", "value").unionByName(totals)
+    col_ord = (F.when(F.col("_gm") == 0, F.col("_m"))
+               .when(F.col("_gy") == 0, (F.col("year") * 100 + YEAR_TOTAL_SLOT).cast("int"))
+               .otherwise(F.lit(TOTAL_ORD)))
+    val = F.when(F.col("_gm") == 0, F.col("_sum")).when(rate, F.col("_nzm")).otherwise(F.col("_sum"))
+    return t.select(*row_keys, col_ord.cast("int").alias("col_ord"), val.alias("value"))
 
 
 def total_row(sparse: DataFrame, block_keys: list[str], rate_col: str | None = "rate") -> DataFrame:

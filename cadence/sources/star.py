@@ -132,8 +132,26 @@ SUPPLIER_CLASS = "Supplier"
 NATION_CLASS = "Nation"
 
 
+_SCHEMAS: dict = {}
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """Parquet table; its footer schema is inferred once per file version and
+    then given to the reader (no inference job on later reads)."""
+    import os
+
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    try:
+        key = (path, os.stat(path).st_mtime_ns)
+    except OSError:
+        key = None
+    schema = _SCHEMAS.get(key) if key else None
+    if schema is not None:
+        return spark.read.schema(schema).parquet(path)
+    df = spark.read.parquet(path)
+    if key:
+        _SCHEMAS[key] = df.schema
+    return df
 
 
 def supplier_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
