@@ -18,7 +18,8 @@ from cadence.functions.calendar import month_start
 from cadence.functions.numeric import clean, safe_ratio
 from cadence.functions.text import norm
 from cadence.operators.select import select_series
-from cadence.plans.sizing import BROADCAST_MAX_ROWS, fits_broadcast
+from cadence.plans import sizing
+from cadence.plans.sizing import fits_broadcast
 from cadence.schemas import BLOCK_KEYS
 from cadence.sources.base import Source
 
@@ -35,7 +36,7 @@ def _needs_timeslices(rules: DataFrame) -> bool:
 
 
 def rule_cells(source: Source, rules: DataFrame, daily: bool = False,
-               broadcast_max_rows: int = BROADCAST_MAX_ROWS, *, props: list[str] | None = None,
+               broadcast_max_rows: int | None = None, *, props: list[str] | None = None,
                expand: bool | None = None, kinds: set | None = None) -> DataFrame:
     """(block keys, rate, object, band, month_start[, day], v_sum, v_cnt).
 
@@ -76,6 +77,8 @@ def rule_cells(source: Source, rules: DataFrame, daily: bool = False,
                 cols.append(right[k])
         return j.select(*cols, v_sum.alias("_vs"), v_cnt.alias("_vc"))
 
+    if broadcast_max_rows is None:
+        broadcast_max_rows = sizing.BROADCAST_MAX_ROWS
     if fits_broadcast(sel, broadcast_max_rows):
         right = F.broadcast(sel)
         j = obs.join(right, join_cond(obs, right), "inner")
