@@ -51,8 +51,9 @@ def write_report(cells: DataFrame, out_dir: str, name: str) -> None:
     ordered_lines(report_lines(cells)).select("line").write.mode("overwrite").text(f"{out_dir}/{name}_text")
 
 
-def run(source: Source, rs: RuleSet, out_dir: str) -> dict:
-    """Both reports (when their rules are given) -> ``out_dir``."""
+def run(source: Source, rs: RuleSet, out_dir: str, golden_dir: str | None = None) -> dict:
+    """Both reports (when their rules are given) -> ``out_dir``; with
+    ``golden_dir``, validate against it and raise when a section fails."""
     cal = calendar_of(source)
     written = {}
     if rs.standard is not None:
@@ -61,4 +62,59 @@ def run(source: Source, rs: RuleSet, out_dir: str) -> dict:
     if rs.ratings is not None:
         write_report(timeslice_report(source, rs, cal), out_dir, "Ratings_Report")
         written["ratings"] = f"{out_dir}/Ratings_Report_cells"
+    if golden_dir:
+        names = tuple(n for n, k in (("Standard_Report", "standard"), ("Ratings_Report", "ratings")) if k in written)
+        findings = validate(source.spark, golden_dir, out_dir, out_dir, names)
+        failed = findings.where("NOT passed").select("report", "section", "status").limit(20).collect()
+        if failed:
+            raise RuntimeError(f"validation against {golden_dir} failed: {[tuple(r) for r in failed]}")
     return written
+
+
+def read_report(spark, path: str) -> DataFrame:
+    """Report cells from a written report: the Parquet cells when present,
+    else the sectioned text (golden files)."""
+    from pyspark.errors import AnalysisException
+    from pyspark.sql import functions as F
+
+    from cadence.sources.report_text import read_report_cells
+
+    try:
+        c = spark.read.parquet(f"{path}_cells")
+        return c.select("section", "row_label", "col_label", "value", "text", "rule_ord", "s_parent", "s_group",
+                        "s_sub", "s_obj", "s_band", "s_day", "s_comp")
+    except AnalysisException:
+        pass
+    for target in (f"{path}_text", path):
+        try:
+            c = read_report_cells(spark, target)
+            c.schema  # resolves the path
+            return c.select("section", "row_label", "col_label", "value", "text", F.col("row_pos").alias("rule_ord"))
+        except AnalysisException:
+            continue
+    raise FileNotFoundError(f"no report cells or text at {path}")
+
+
+def validate(spark, golden_dir: str, generated_dir: str, out_dir: str | None = None,
+             reports=("Standard_Report", "Ratings_Report")) -> DataFrame:
+    """Golden vs generated for each report: findings per section
+    (report, section, presence, shapes, mismatches, status); written as JSON to
+    ``out_dir`` when given. The caller fails the run when any ``passed`` is false."""
+    from pyspark.sql import functions as F
+
+    from cadence.operators.diff import diff_sections, keyed
+
+    parts = []
+    for name in reports:
+        gold = read_report(spark, f"{golden_dir.rstrip('/')}/{name}")
+        gen = read_report(spark, f"{generated_dir.rstrip('/')}/{name}")
+        order = [c for c in ("rule_ord", "s_parent", "s_group", "s_sub", "s_obj", "s_band", "s_day", "s_comp")
+                 if c in gold.columns and c in gen.columns]
+        f = diff_sections(keyed(gold, order), keyed(gen, order))
+        parts.append(f.select(F.lit(name).alias("report"), "*"))
+    findings = parts[0]
+    for p_ in parts[1:]:
+        findings = findings.unionByName(p_)
+    if out_dir:
+        findings.write.mode("overwrite").json(f"{out_dir.rstrip('/')}/validation_findings")
+    return findings

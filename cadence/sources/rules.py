@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -319,3 +319,96 @@ def predicate_columns(rules: DataFrame) -> DataFrame:
         F.lower(F.trim("timeslice_rule")).alias("_r_ts"),
         F.lower(blank_to_null("parent_rule")).alias("_r_parent"),
     )
+
+
+# ---------------------------------------------------------------------------
+# Rule tables from files
+# ---------------------------------------------------------------------------
+# The rule tables' expected columns (after stripping and
+# title-casing the headers) and their file names.
+STD_COLUMNS = ["Header", "Class", "Group", "Property", "Pattern", "Rate", "Unit"]
+RAT_COLUMNS = ["Class", "Group", "Property", "Alias", "Unit"]
+RULE_FILES = {
+    "standard": "Blueprint_std",
+    "ratings": "Blueprint_rat",
+    "groups": "Groups",
+    "units": "UnitConversion",
+    "names": "Generator_name_map",
+    "emissions": "Emissions",
+}
+# The name map's source and target columns.
+NAME_MAP_COLUMNS = ("Resources_Plexos", "Resources_RTSim")
+TRUE_TEXT = ("true", "yes", "y", "1")
+FALSE_TEXT = ("false", "no", "n", "0")
+
+
+def normalise_headers(df: DataFrame, expected: list[str]) -> DataFrame:
+    """Headers stripped and title-cased (Python's rule, on the driver: metadata
+    only); expected columns that are missing are added as ''."""
+    renamed = df.toDF(*[str(c).strip().title() for c in df.columns])
+    for c in expected:
+        if c not in renamed.columns:
+            renamed = renamed.withColumn(c, F.lit(""))
+    return renamed
+
+
+def with_row_order(df: DataFrame) -> DataFrame:
+    """``rule_ord``: the row's position in the file (ids grow with file order)."""
+    # A rule table is config (bounded), so one ordered window over it is fine.
+    return df.withColumn("rule_ord", F.row_number().over(Window.orderBy(F.monotonically_increasing_id())).cast("int"))
+
+
+def strict_flag(c) -> "F.Column":
+    t = F.lower(F.trim(F.col(c).cast("string")))
+    return F.when(t.isin(*TRUE_TEXT), F.lit(True)).when(t.isin(*FALSE_TEXT), F.lit(False))
+
+
+def load_rules(spark: SparkSession, path: str, fmt: str = "csv") -> RuleSet:
+    """Rule tables from ``path`` (one file or folder per table, named as in
+    :data:`RULE_FILES`). A blank or unreadable Rate flag is an error naming the
+    row; the name map keeps the last row per source name."""
+    from pyspark.errors import AnalysisException
+
+    def read(name):
+        r = spark.read.format(fmt)
+        if fmt == "csv":
+            r = r.option("header", True)
+        for p in (f"{path.rstrip('/')}/{name}.{fmt}", f"{path.rstrip('/')}/{name}"):
+            try:
+                return r.load(p)
+            except AnalysisException:
+                continue
+        return None
+
+    std = read(RULE_FILES["standard"])
+    if std is not None:
+        std = with_row_order(normalise_headers(std, STD_COLUMNS))
+        std = std.select("rule_ord", *[F.col(c).cast("string").alias(c) for c in STD_COLUMNS if c != "Rate"],
+                         strict_flag("Rate").alias("Rate"), F.col("Rate").cast("string").alias("_rate_text"))
+        bad = std.where(F.col("Rate").isNull()).select("rule_ord", "_rate_text").limit(5).collect()
+        if bad:
+            raise ValueError(f"Blueprint_std: Rate must be true/false, rows {[(r[0], r[1]) for r in bad]}")
+        std = std.select("rule_ord", "Header", "Class", "Group", "Property", "Pattern", "Rate", "Unit")
+    rat = read(RULE_FILES["ratings"])
+    if rat is not None:
+        rat = with_row_order(normalise_headers(rat, RAT_COLUMNS))
+        rat = rat.select("rule_ord", *[F.col(c).cast("string").alias(c) for c in RAT_COLUMNS])
+    groups = read(RULE_FILES["groups"])
+    groups = groups.select(*[F.col(c).cast("string").alias(c) for c in ("Class", "Group", "Assets")])
+    units = read(RULE_FILES["units"])
+    if units is not None:
+        units = units.select(F.col("UnitFrom").cast("string").alias("UnitFrom"),
+                             F.col("UnitTo").cast("string").alias("UnitTo"),
+                             F.col("ConversionRate").cast("double").alias("ConversionRate"))
+    names = read(RULE_FILES["names"])
+    if names is not None:
+        src, dst = NAME_MAP_COLUMNS
+        names = with_row_order(names).select(F.col("rule_ord").alias("map_ord"),
+                                             F.col(src).cast("string").alias("source_name"),
+                                             F.col(dst).cast("string").alias("report_name"))
+    emissions = read(RULE_FILES["emissions"])
+    if emissions is not None:
+        cols = ["Header", "Class", "Gas", "Pattern", "Unit", "Property"]
+        emissions = with_row_order(normalise_headers(emissions, cols)).select(
+            "rule_ord", *[F.col(c).cast("string").alias(c) for c in cols])
+    return RuleSet(standard=std, ratings=rat, groups=groups, units=units, names=names, emissions=emissions)
