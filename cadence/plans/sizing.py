@@ -15,7 +15,8 @@ BROADCAST_MAX_ROWS = 2_000_000
 
 
 def row_count_at_most(df: DataFrame, max_rows: int) -> int:
-    """Rows of ``df``, counting no further than ``max_rows + 1``."""
+    """Rows of ``df`` (or a known upper bound), counting no further than
+    ``max_rows + 1``."""
     known = getattr(df, "_cadence_rows", None)
     if known is not None:
         return known
@@ -35,7 +36,8 @@ def localize(df: DataFrame, max_rows: int, what: str) -> tuple[DataFrame, list]:
 
 
 def known_rows(src: DataFrame, derived: DataFrame) -> DataFrame:
-    """Carry a known row count to a row-preserving projection of ``src``."""
+    """Carry a known row count of ``src`` to ``derived`` as its upper bound
+    (valid for projections, filters and aggregations of ``src``)."""
     n = getattr(src, "_cadence_rows", None)
     if n is not None:
         derived._cadence_rows = n

@@ -76,6 +76,7 @@ def units_frame(units: DataFrame) -> DataFrame:
         F.trim("UnitFrom").alias("UnitFrom"),
         F.trim("UnitTo").alias("UnitTo"),
         F.col("ConversionRate").cast("double").alias("ConversionRate"),
+        *([F.col("_u_ord")] if "_u_ord" in units.columns else []),
     )
 
 
@@ -270,7 +271,7 @@ def prepare(rs: RuleSet, which: str = "standard", rule_ords=None) -> Prepared:
     """Normalise one rule table with Spark expressions and collect it once
     (bounded: it is config). The rule-level frame is rebuilt from the same
     rows, so no second action runs."""
-    from cadence.plans.sizing import localize
+    from cadence.plans.sizing import known_rows, localize
 
     if which == "standard":
         rules = standard_rules(rs.standard, rs.groups, rs.fuel_header)
@@ -298,9 +299,14 @@ def prepare(rs: RuleSet, which: str = "standard", rule_ords=None) -> Prepared:
     bad = [r["rule_ord"] for r in rule_rows if r["kind"] == "stacked" and r["summary"]]
     if bad:
         raise ValueError(f"stacked fuel rules cannot use monthly-summary: rules {bad}")
+    # Config tables are collected once (bounded); the unit table's trimming
+    # stays lazy, its collected size an upper bound for the broadcast check.
     names = localize(names_frame(rs.names), MAX_NAMES, "name map")[0] if rs.names is not None else None
-    units = localize(units_frame(rs.units).withColumn("_u_ord", F.monotonically_increasing_id()), MAX_UNITS,
-                     "unit conversion")[0] if rs.units is not None else None
+    units = None
+    if rs.units is not None:
+        raw = localize(rs.units.withColumn("_u_ord", F.monotonically_increasing_id()), MAX_UNITS,
+                       "unit conversion")[0]
+        units = known_rows(raw, units_frame(raw))
     return Prepared(rules_local, sel, sel_rows, names, units)
 
 
