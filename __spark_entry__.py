@@ -202,8 +202,8 @@ def q_report_diff(spark, sf):
     from cadence.operators.diff import diff_sections, keyed
 
     cells = _ratings_cells(spark, sf).withColumn("text", F.lit(None).cast("string"))
-    gold = keyed(cells.withColumn("value", round4("value")), ["rule_ord"])
-    gen = keyed(_perturbed(cells), ["rule_ord"])
+    gold = keyed(cells.withColumn("value", round4("value")), ["rule_ord", "s_obj"])
+    gen = keyed(_perturbed(cells), ["rule_ord", "s_obj"])
     return diff_sections(gold, gen)
 
 

@@ -1,32 +1,30 @@
 """Report validation: golden vs generated report cells.
 
 Sections are matched by title (full outer join); cells by (section, row key,
-column label), where the row key is the row label plus its occurrence number
-within the section, so repeated labels pair up in order. Numbers pass when
+column label), where the row key is the row label plus the row's structural
+keys (or, for parsed text, its row number within the section). Numbers pass when
 ``|gen - gold| <= atol + rtol * |gen|`` (NaN equals NaN); text cells must be
 equal. Findings come per section, then per report.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 ATOL = 1e-5
 RTOL = 1e-5
 
 
-def keyed(cells: DataFrame, row_order: list[str]) -> DataFrame:
-    """(section, row_key, col_label, value, text) with row_key = label#n."""
-    # Occurrence of a label inside its section: a dense rank over the row order,
-    # partitioned by (section, label) — a group is one label's cells.
-    w = Window.partitionBy("section", "row_label").orderBy(*row_order)
-    j = cells.withColumn("_occ", F.dense_rank().over(w))
-    return j.select(
-        "section",
-        F.concat(F.coalesce("row_label", F.lit("")), F.lit("#"), F.col("_occ").cast("string")).alias("row_key"),
-        "col_label", "value", "text",
-    )
+def keyed(cells: DataFrame, row_keys: list[str]) -> DataFrame:
+    """(section, row_key, col_label, value, text). The row key is the label plus
+    the row's structural keys (rule, parent, object, band, day, component for
+    report cells; the row number inside its section for parsed text), so rows
+    pair up without any window: no label's cells are gathered in one task."""
+    parts = [F.coalesce(F.col("row_label"), F.lit(""))] + [
+        F.coalesce(F.col(c).cast("string"), F.lit("")) for c in row_keys
+    ]
+    return cells.select("section", F.concat_ws("|", *parts).alias("row_key"), "col_label", "value", "text")
 
 
 def close(gold, gen, atol: float = ATOL, rtol: float = RTOL):

@@ -71,25 +71,24 @@ def run(source: Source, rs: RuleSet, out_dir: str, golden_dir: str | None = None
     return written
 
 
-def read_report(spark, path: str) -> DataFrame:
-    """Report cells from a written report: the Parquet cells when present,
-    else the sectioned text (golden files)."""
+def read_report(spark, path: str, text: bool = False) -> DataFrame:
+    """Report cells from a written report: the Parquet cells when present (and
+    ``text`` is false), else the sectioned text (golden files)."""
     from pyspark.errors import AnalysisException
-    from pyspark.sql import functions as F
 
     from cadence.sources.report_text import read_report_cells
 
-    try:
-        c = spark.read.parquet(f"{path}_cells")
-        return c.select("section", "row_label", "col_label", "value", "text", "rule_ord", "s_parent", "s_group",
-                        "s_sub", "s_obj", "s_band", "s_day", "s_comp")
-    except AnalysisException:
-        pass
+    if not text:
+        try:
+            c = spark.read.parquet(f"{path}_cells")
+            return c.select("section", "row_label", "col_label", "value", "text", "rule_ord", "s_parent",
+                            "s_group", "s_sub", "s_obj", "s_band", "s_day", "s_comp")
+        except AnalysisException:
+            pass
     for target in (f"{path}_text", path):
         try:
             c = read_report_cells(spark, target)
-            c.schema  # resolves the path
-            return c.select("section", "row_label", "col_label", "value", "text", F.col("row_pos").alias("rule_ord"))
+            return c.select("section", "row_label", "col_label", "value", "text", "row_no")
         except AnalysisException:
             continue
     raise FileNotFoundError(f"no report cells or text at {path}")
@@ -108,8 +107,14 @@ def validate(spark, golden_dir: str, generated_dir: str, out_dir: str | None = N
     for name in reports:
         gold = read_report(spark, f"{golden_dir.rstrip('/')}/{name}")
         gen = read_report(spark, f"{generated_dir.rstrip('/')}/{name}")
-        order = [c for c in ("rule_ord", "s_parent", "s_group", "s_sub", "s_obj", "s_band", "s_day", "s_comp")
-                 if c in gold.columns and c in gen.columns]
+        structural = ["rule_ord", "s_parent", "s_group", "s_sub", "s_obj", "s_band", "s_day", "s_comp"]
+        order = structural
+        if "row_no" in gold.columns or "row_no" in gen.columns:
+            # A text golden file: compare text with text, rows paired by their
+            # position inside the section (each file is parsed by its own task).
+            gold = read_report(spark, f"{golden_dir.rstrip('/')}/{name}", text=True)
+            gen = read_report(spark, f"{generated_dir.rstrip('/')}/{name}", text=True)
+            order = ["row_no"]
         f = diff_sections(keyed(gold, order), keyed(gen, order))
         parts.append(f.select(F.lit(name).alias("report"), "*"))
     findings = parts[0]

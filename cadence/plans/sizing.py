@@ -10,8 +10,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Default row bound for hinting a broadcast of a data-dependent side.
-BROADCAST_MAX_ROWS = 2_000_000
+# Default row bound for hinting a broadcast of a data-dependent side: about
+# 50 MB for a rule-series selection row (~100 bytes), copied to every executor.
+BROADCAST_MAX_ROWS = 500_000
 
 
 def row_count_at_most(df: DataFrame, max_rows: int) -> int:

@@ -30,7 +30,8 @@ def _unquote(c):
 
 
 def parse_sections(lines: DataFrame) -> DataFrame:
-    """(file, pos, line) -> (file, section, row_pos, row_label, col_pos, col_label, value, text)."""
+    """(file, pos, line) -> (file, section, row_pos, row_no, row_label, col_pos, col_label, value, text);
+    ``row_no`` is the data row's position inside its section (0-based)."""
     w = Window.partitionBy("file").orderBy("pos")
     t = lines.withColumn("line", F.regexp_replace("line", r"\s+$", ""))
     t = t.withColumn("_blank", F.trim("line") == "")
@@ -53,12 +54,13 @@ def parse_sections(lines: DataFrame) -> DataFrame:
     header = fields.where(F.col("_n") == 1).select(
         "file", "_sec_no", "col_pos", F.col("_f").alias("col_label"))
     data = fields.where(F.col("_n") > 1)
-    labels = data.where(F.col("col_pos") == 0).select("file", "_sec_no", "pos", F.col("_f").alias("row_label"))
+    labels = data.where(F.col("col_pos") == 0).select("file", "_sec_no", "pos", (F.col("_n") - 2).alias("row_no"),
+                                                      F.col("_f").alias("row_label"))
     cells = data.where(F.col("col_pos") > 0).join(header, ["file", "_sec_no", "col_pos"], "left") \
         .join(labels, ["file", "_sec_no", "pos"], "left")
     num = F.expr("try_cast(_f AS DOUBLE)")
     return cells.select(
-        "file", "section", F.col("pos").alias("row_pos"), "row_label", "col_pos", "col_label",
+        "file", "section", F.col("pos").alias("row_pos"), "row_no", "row_label", "col_pos", "col_label",
         num.alias("value"),
         F.when(num.isNull() & (F.col("_f") != ""), F.col("_f")).alias("text"),
     )

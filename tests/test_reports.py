@@ -77,7 +77,7 @@ def test_text_roundtrip(spark, ratings):
 
 
 def _k(cells):
-    return keyed(cells.withColumn("value", F.round("value", 4)), ["rule_ord"])
+    return keyed(cells.withColumn("value", F.round("value", 4)), ["rule_ord", "s_obj"])
 
 
 def test_diff_pass_on_copy(ratings):
