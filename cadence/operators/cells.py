@@ -16,7 +16,9 @@ from pyspark.sql import functions as F
 
 from cadence.functions.calendar import month_start
 from cadence.functions.numeric import clean, safe_ratio
-from cadence.functions.text import norm
+from cadence.functions.text import DEFAULT_TIMESLICE, norm
+
+ALL_PERIODS_N = DEFAULT_TIMESLICE.lower()
 from cadence.operators.select import select_series
 from cadence.plans import sizing
 from cadence.plans.sizing import fits_broadcast
@@ -63,9 +65,16 @@ def rule_cells(source: Source, rules: DataFrame, daily: bool = False,
             e = left[k] == right[k]
             c = e if c is None else c & e
         if ts_fact_side:
-            c = c & (right["_r_ts"].isNull() | (norm(left["timeslice"]) == right["_r_ts"]))
+            # Facts carry their own timeslice; a rule for 'All Periods' takes
+            # every timeslice and is rolled up after the aggregation.
+            c = c & (right["_r_ts"].isNull() | (right["_r_ts"] == ALL_PERIODS_N)
+                     | (norm(left["timeslice"]) == right["_r_ts"]))
         return c
 
+    rollup = ts_fact_side and expand
+    if rollup:
+        keys = keys + ["_r_ts"]
+
     def project(j: DataFrame, left: DataFrame, right: DataFrame, v_sum, v_cnt) -> DataFrame:
         cols = []
         for k in keys:
@@ -90,6 +99,32 @@ def rule_cells(source: Source, rules: DataFrame, daily: bool = False,
         j = parts.join(sel, join_cond(parts, sel), "inner")
         j = project(j, parts, sel, F.col("value"), F.col("n"))
         out = j.groupBy(*keys).agg(F.sum("_vs").alias("v_sum"), F.sum("_vc").alias("v_cnt"))
+    if rollup:
+        out = _roll_up_timeslices(out, keys)
+    return out
+
+
+def _roll_up_timeslices(cells: DataFrame, keys: list[str]) -> DataFrame:
+    """Per-timeslice cells -> plus 'All Periods' cells, by grouping sets over
+    the aggregated cells (small), not by duplicating fact rows. Sum and count
+    add up, so means stay exact. Each rule keeps the cells it asked for: one
+    timeslice, 'All Periods', or (no timeslice) all of them."""
+    ts_cols = ["timeslice_id", "timeslice"]
+    base = [F.col(k) for k in keys if k not in ts_cols]
+    t = cells.groupingSets([base + [F.col(c) for c in ts_cols], base], *base, *[F.col(c) for c in ts_cols]).agg(
+        F.sum("v_sum").alias("v_sum"), F.sum("v_cnt").alias("v_cnt"), F.grouping("timeslice").alias("_g"),
+    )
+    rolled = F.col("_g") == 1
+    r_ts = F.col("_r_ts")
+    keep = (r_ts.isNull()
+            | (rolled & (r_ts == ALL_PERIODS_N))
+            | (~rolled & (r_ts != ALL_PERIODS_N)))
+    out = t.where(keep).select(
+        *[c for c in keys if c not in ts_cols + ["_r_ts"]],
+        F.when(rolled, F.lit(0)).otherwise(F.col("timeslice_id")).cast("int").alias("timeslice_id"),
+        F.when(rolled, F.lit(DEFAULT_TIMESLICE)).otherwise(F.col("timeslice")).alias("timeslice"),
+        "v_sum", "v_cnt",
+    )
     return out
 
 

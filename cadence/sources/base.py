@@ -33,13 +33,3 @@ class Source:
     def period_starts(self) -> DataFrame:  # pragma: no cover
         """A relation with a ``period_start`` column covering the horizon."""
         raise NotImplementedError
-
-    def timeslices(self) -> DataFrame:
-        """Distinct (timeslice_id, timeslice), one row per name, lowest id."""
-        from pyspark.sql import functions as F
-
-        if "timeslice" in self.fact_attrs:
-            src = self.observations(expand_timeslices=True)
-        else:
-            src = self.series()
-        return src.groupBy("timeslice").agg(F.min("timeslice_id").alias("timeslice_id"))

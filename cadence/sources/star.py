@@ -4,7 +4,7 @@ The fact table holds one or more measure columns; each measure is a property.
 A series is (dimension key, property). Band and timeslice, when the star has
 them, are fact columns (``fact_attrs``). Every fact row also belongs to the
 aggregate timeslice 'All Periods' (id 0), like the simulator's all-period
-series.
+series; its cells are rolled up from the per-timeslice cells.
 """
 
 from __future__ import annotations
@@ -84,7 +84,6 @@ class StarSource(Source):
         if not measures:
             measures = s.measures[:1]
         band = s.band if s.band is not None else F.lit(1)
-        all_ts = F.struct(F.lit(0).alias("timeslice_id"), F.lit(DEFAULT_TIMESLICE).alias("timeslice"))
         f = s.fact.select(
             F.col(s.fact_key).cast("long").alias("series_id"),
             band.cast("int").alias("band"),
@@ -93,10 +92,9 @@ class StarSource(Source):
             *([s.timeslice.alias("_ts"), s.timeslice_id.cast("int").alias("_tsid")] if s.timeslice is not None else []),
         )
         if expand_timeslices and s.timeslice is not None:
-            f = f.select("*", F.explode(F.array(
-                all_ts,
-                F.struct(F.col("_tsid").alias("timeslice_id"), F.col("_ts").alias("timeslice")),
-            )).alias("_t")).select("*", "_t.timeslice_id", "_t.timeslice").drop("_t", "_ts", "_tsid")
+            # each fact row in its own timeslice; 'All Periods' is rolled up
+            # from the aggregated cells, never by duplicating rows
+            f = f.withColumnRenamed("_tsid", "timeslice_id").withColumnRenamed("_ts", "timeslice")
         else:
             f = f.withColumn("timeslice_id", F.lit(0)).withColumn("timeslice", F.lit(DEFAULT_TIMESLICE))
             f = f.drop("_ts", "_tsid")
