@@ -59,10 +59,12 @@ def _cells(source: Source, p: Prepared, daily: bool) -> DataFrame:
 
 
 def monthly_values(source: Source, p: Prepared, names: DataFrame | None = None,
-                   units: DataFrame | None = None) -> DataFrame:
+                   units: DataFrame | None = None, cells: DataFrame | None = None) -> DataFrame:
     """(block keys, rate, object, month_start, value): per rule and object after
-    renaming, band merge and unit scaling — sparse, before completion."""
-    cells = cell_values(_cells(source, p, False))
+    renaming, band merge and unit scaling — sparse, before completion.
+    ``cells`` (optional): clean cell values already computed for ``p``."""
+    if cells is None:
+        cells = cell_values(_cells(source, p, False))
     merged = rename_and_merge(cells, names, BLOCK_KEYS + ["rate", "object", "month_start"])
     return apply_factors(merged, unit_factors(source, p.sel, units))
 
@@ -79,8 +81,13 @@ def _grid_cols(df: DataFrame, row_kind: str, band=None, day=None, row_idx=None)
     )
 
 
-def monthly_grid(source: Source, p: Prepared, cal: Calendar, with_total_row: bool = True) -> DataFrame:
-    vals = cut(monthly_values(source, p, p.names, p.units))
+def monthly_grid(source: Source, p: Prepared, cal: Calendar, with_total_row: bool = True,
+                 cells: DataFrame | None = None) -> DataFrame:
+    """``cells`` (optional): this grid's clean cells, already cut by the caller."""
+    if cells is None:
+        vals = cut(monthly_values(source, p, p.names, p.units))
+    else:
+        vals = monthly_values(source, p, p.names, p.units, cells=cells)
     row_keys = BLOCK_KEYS + ["rate", "object"]
     sparse = with_row_totals(vals, row_keys)
     cols = column_list(cal)
@@ -99,14 +106,18 @@ class DailyGrid:
     objects: DataFrame   # (block keys, rate, object): one per object block
 
 
-def daily_grid(source: Source, p: Prepared, cal: Calendar) -> DailyGrid:
+def daily_grid(source: Source, p: Prepared, cal: Calendar, cells: DataFrame | None = None) -> DailyGrid:
     """Daily rules: always summed, no unit factor. Rows = objects × bands × days
     1..31 within each rule (bands are crossed over all objects of the rule, as
     the report lays them out), every calendar month, ``Tot-Y``/``Total`` and the
     day number as the last column."""
-    cells = cell_values(_cells(source, p, True).withColumn("rate", F.lit(False)))
     day_keys = BLOCK_KEYS + ["rate", "object", "band", "day", "month_start"]
-    merged = cut(rename(cells, p.names).groupBy(*day_keys).agg(F.sum("value").alias("value")))
+    if cells is None:
+        cells = cell_values(_cells(source, p, True).withColumn("rate", F.lit(False)))
+        merged = cut(rename(cells, p.names).groupBy(*day_keys).agg(F.sum("value").alias("value")))
+    else:
+        merged = rename(cells.withColumn("rate", F.lit(False)), p.names).groupBy(*day_keys).agg(
+            F.sum("value").alias("value"))
     row_keys = BLOCK_KEYS + ["rate", "object", "band", "day"]
     sparse = with_row_totals(merged, row_keys, rate_col=None)
 

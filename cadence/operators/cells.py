@@ -37,11 +37,13 @@ def _needs_timeslices(rules: DataFrame) -> bool:
     return rules.where(F.col("_r_ts").isNull() | (F.col("_r_ts") != "all periods")).limit(1).count() > 0
 
 
-def rule_cells(source: Source, rules: DataFrame, daily: bool = False,
+def rule_cells(source: Source, rules: DataFrame, daily: bool | None = False,
                broadcast_max_rows: int | None = None, *, props: list[str] | None = None,
                expand: bool | None = None, kinds: set | None = None) -> DataFrame:
     """(block keys, rate, object, band, month_start[, day], v_sum, v_cnt).
 
+    ``daily=None`` serves monthly and daily rules from the same scan: ``day``
+    is set only on daily rules' cells (NULL for the others).
     ``props``, ``expand`` and ``kinds`` describe the (collected) rules; when
     absent they are read from ``rules``."""
     sel = select_series(source, rules, kinds)
@@ -52,10 +54,11 @@ def rule_cells(source: Source, rules: DataFrame, daily: bool = False,
     except TypeError:
         obs = source.observations(expand_timeslices=expand)
     obs = obs.withColumn("month_start", month_start("period_start"))
-    if daily:
+    with_day = daily is None or daily
+    if with_day:
         obs = obs.withColumn("day", F.dayofmonth("period_start"))
-    grain = ["month_start"] + (["day"] if daily else [])
-    keys = CELL_KEYS + (["day"] if daily else [])
+    grain = ["month_start"] + (["day"] if with_day else [])
+    keys = CELL_KEYS + (["day"] if with_day else [])
 
     ts_fact_side = "timeslice" in source.fact_attrs
 
@@ -78,7 +81,9 @@ def rule_cells(source: Source, rules: DataFrame, daily: bool = False,
     def project(j: DataFrame, left: DataFrame, right: DataFrame, v_sum, v_cnt) -> DataFrame:
         cols = []
         for k in keys:
-            if k in ("month_start", "day"):
+            if k == "day" and daily is None:
+                cols.append(F.when(right["kind"] == "daily", left["day"]).alias("day"))
+            elif k in ("month_start", "day"):
                 cols.append(left[k])
             elif k in source.fact_attrs:
                 cols.append(left[k])

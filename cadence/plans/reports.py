@@ -5,10 +5,12 @@ writes them."""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from cadence.api import MONTHLY_KINDS, calendar_of
 from cadence.functions.calendar import Calendar
 from cadence.operators.blocks import daily_grid, monthly_grid
+from cadence.operators.cells import cell_values, rule_cells
 from cadence.plans.sizing import cut
 from cadence.plans.layout import ordered_lines, ratings_cells, report_lines, standard_cells
 from cadence.sources.base import Source
@@ -20,9 +22,20 @@ def standard_report(source: Source, rs: RuleSet, cal: Calendar | None = None, ru
     cal = cal or calendar_of(source)
     p = prepare(rs, "standard", rule_ords)
     kinds = p.kinds()
-    # The grid feeds several layout branches: cut it once (report-sized).
-    monthly = cut(monthly_grid(source, p.only(MONTHLY_KINDS), cal)) if kinds & MONTHLY_KINDS else None
-    daily = daily_grid(source, p.only({"daily"}), cal) if "daily" in kinds else None
+    monthly = daily = None
+    if kinds & MONTHLY_KINDS and "daily" in kinds:
+        # One fact scan for every rule: daily rules' cells keep their day,
+        # the others have none. The cells are report-sized: cut them once.
+        cells = cut(cell_values(rule_cells(source, p.sel, daily=None, props=p.properties(),
+                                           expand=p.needs_timeslices(), kinds=kinds)))
+        monthly = cut(monthly_grid(source, p.only(MONTHLY_KINDS), cal,
+                                   cells=cells.where(F.col("day").isNull()).drop("day")))
+        daily = daily_grid(source, p.only({"daily"}), cal, cells=cells.where(F.col("day").isNotNull()))
+    elif kinds & MONTHLY_KINDS:
+        # The grid feeds several layout branches: cut it once (report-sized).
+        monthly = cut(monthly_grid(source, p.only(MONTHLY_KINDS), cal))
+    elif "daily" in kinds:
+        daily = daily_grid(source, p.only({"daily"}), cal)
     return standard_cells(monthly, daily, p.rules, p.names, cal, rs.components)
 
 

@@ -130,3 +130,16 @@ def test_entry_contract(spark):
     qs, sqls = E.queries(), E.oracle_sql()
     assert set(sqls) <= set(qs)
     assert len(qs) - len(sqls) <= 1
+
+
+def test_standard_report_one_fact_scan_for_monthly_and_daily(spark, src):
+    from cadence.operators.cells import rule_cells
+    from cadence.sources.rules import prepare
+
+    p = prepare(analog.ruleset(spark, ratings=[]))
+    assert "daily" in p.kinds() and "flat" in p.kinds()
+    cells = rule_cells(src, p.sel, daily=None, props=p.properties(), expand=p.needs_timeslices(), kinds=p.kinds())
+    plan = cells._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("lineitem.parquet") == 1
+    days = {r[0] for r in cells.select((F.col("day").isNull()).alias("m")).distinct().collect()}
+    assert days == {True, False}
