@@ -207,6 +207,19 @@ def q_report_diff(spark, sf):
     return diff_sections(gold, gen)
 
 
+EVENTS_DAILY = (1, "( 9 ) Daily Events", "User", "All", "Value", "daily", False, None)
+
+
+def q_daily_events(spark, sf):
+    from cadence.sources.star import events_source
+
+    configure(spark)
+    rs = analog.ruleset(spark, standard=[EVENTS_DAILY], ratings=[])
+    g = daily_block(events_source(spark, sf), rs)
+    g = g.where(F.col("col_kind") != "extra")
+    return g.select("rule_ord", "object", "band", "day", "col_label", round4("value").alias("value"))
+
+
 def q_no_data_rules(spark, sf):
     return no_data_rules(_src(spark, sf), _rs(spark))
 
@@ -302,6 +315,31 @@ def _daily_sql() -> str:
     """
 
 
+def _daily_events_sql() -> str:
+    return f"""
+    WITH obs AS (SELECT 'User#' || CAST(user_id AS VARCHAR) AS object, 1 AS band,
+                        CAST(date_trunc('month', ts) AS DATE) AS month_start, CAST(day(ts) AS INTEGER) AS day,
+                        CAST(value AS DOUBLE) AS v
+                 FROM events WHERE user_id IS NOT NULL),
+    cal AS (SELECT DISTINCT CAST(date_trunc('month', ts) AS DATE) AS month_start FROM events WHERE ts IS NOT NULL),
+    cell AS (SELECT object, band, month_start, day, SUM(v) AS v FROM obs GROUP BY ALL),
+    mapped AS (SELECT COALESCE(nm.dst, c.object) AS object, c.band, c.month_start, c.day, SUM({O.clean('c.v')}) AS v
+               FROM cell c LEFT JOIN ({O.names_cte()}) nm ON c.object = nm.src GROUP BY ALL),
+    objs AS (SELECT DISTINCT object FROM mapped), bands AS (SELECT DISTINCT band FROM mapped),
+    days AS (SELECT CAST(range AS INTEGER) AS day FROM range(1, 32)),
+    grid AS (SELECT o.object, b.band, d.day, cal.month_start, COALESCE(m.v, 0.0) AS v
+             FROM objs o CROSS JOIN bands b CROSS JOIN days d CROSS JOIN cal
+             LEFT JOIN mapped m ON m.object = o.object AND m.band = b.band AND m.day = d.day
+                               AND m.month_start = cal.month_start),
+    rws AS (
+      SELECT object, band, day, strftime(month_start, '%b-%Y') AS col_label, v FROM grid
+      UNION ALL SELECT object, band, day, 'Tot-' || CAST(year(month_start) AS VARCHAR), SUM(v) FROM grid
+                GROUP BY object, band, day, year(month_start)
+      UNION ALL SELECT object, band, day, 'Total', SUM(v) FROM grid GROUP BY object, band, day)
+    SELECT 1 AS rule_ord, object, band, day, col_label, {R4('v')} AS value FROM rws
+    """
+
+
 def _ratings_sql(rules=None) -> str:
     rules = analog.RATINGS if rules is None else rules
     return " UNION ALL ".join(O.ratings_rule_sql(r) for r in rules)
@@ -529,6 +567,7 @@ def _registry():
         "sections_from_text": (q_sections_from_text, _sections_from_text_sql()),
         "report_diff": (q_report_diff, _report_diff_sql()),
         "no_data_rules": (q_no_data_rules, _no_data_sql()),
+        "daily_events": (q_daily_events, _daily_events_sql()),
         "schema_contract": (q_schema_contract, None),
     }
 

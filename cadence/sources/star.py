@@ -189,3 +189,32 @@ def lineitem_source(spark: SparkSession, sf_dir: str) -> StarSource:
     )
     return StarSource(spark, spec)
 
+
+
+# The events analog (users as series, event types as timeslices).
+EVENT_MEASURES = [Measure("Value", "value", "USD")]
+USER_CLASS = "User"
+
+
+def events_source(spark: SparkSession, sf_dir: str) -> StarSource:
+    """events as the fact: series = (user, 'Value'), object 'User#<id>', one
+    band, timeslice = event type (id from its first letter and length),
+    period start = the event's timestamp. The series catalogue is the distinct
+    users of the fact (one aggregation; there is no user table)."""
+    ev = read_table(spark, sf_dir, "events")
+    users = ev.select("user_id").where(F.col("user_id").isNotNull()).distinct()
+    spec = StarSpec(
+        fact=ev,
+        fact_key="user_id",
+        dimension=users,
+        dim_key="user_id",
+        measures=EVENT_MEASURES,
+        start="ts",
+        attrs={
+            "child_name": F.concat(F.lit("User#"), F.col("user_id").cast("string")),
+            "child_class": F.lit(USER_CLASS),
+        },
+        timeslice=F.col("event_type"),
+        timeslice_id=F.ascii(F.col("event_type")) * 1000 + F.length(F.col("event_type")),
+    )
+    return StarSource(spark, spec)
