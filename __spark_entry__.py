@@ -220,6 +220,19 @@ def q_daily_events(spark, sf):
     return g.select("rule_ord", "object", "band", "day", "col_label", round4("value").alias("value"))
 
 
+EVENTS_RATING = (1, "User", "All", "Value", "usd", None)
+
+
+def q_events_timeslice_report(spark, sf):
+    from cadence.plans.reports import timeslice_report
+    from cadence.sources.star import events_source
+
+    configure(spark)
+    rs = analog.ruleset(spark, standard=[], ratings=[EVENTS_RATING])
+    c = timeslice_report(events_source(spark, sf), rs)
+    return c.select("section", "section_ord", "rule_ord", "row_label", "col_label", round4("value").alias("value"))
+
+
 def q_no_data_rules(spark, sf):
     return no_data_rules(_src(spark, sf), _rs(spark))
 
@@ -340,6 +353,32 @@ def _daily_events_sql() -> str:
     """
 
 
+def _events_timeslice_sql() -> str:
+    return f"""
+    WITH obs AS (SELECT 'User#' || CAST(user_id AS VARCHAR) AS object, 1 AS band,
+                        CAST(date_trunc('month', ts) AS DATE) AS month_start,
+                        event_type AS tsn, ascii(event_type) * 1000 + length(event_type) AS ts_id,
+                        CAST(value AS DOUBLE) AS v
+                 FROM events WHERE user_id IS NOT NULL),
+    obs2 AS (SELECT * FROM obs UNION ALL SELECT object, band, month_start, 'All Periods', 0, v FROM obs),
+    cal AS (SELECT DISTINCT CAST(date_trunc('month', ts) AS DATE) AS month_start FROM events WHERE ts IS NOT NULL),
+    cell AS (SELECT tsn, ts_id, object, band, month_start, SUM(v) AS v FROM obs2 GROUP BY ALL),
+    mapped AS (SELECT c.tsn, c.ts_id, COALESCE(nm.dst, c.object) AS object, c.month_start, SUM({O.clean('c.v')}) AS v
+               FROM cell c LEFT JOIN ({O.names_cte()}) nm ON c.object = nm.src GROUP BY ALL),
+    objs AS (SELECT DISTINCT tsn, ts_id, object FROM mapped),
+    grid AS (SELECT o.tsn, o.ts_id, o.object, cal.month_start, COALESCE(m.v, 0.0) AS v
+             FROM objs o CROSS JOIN cal LEFT JOIN mapped m
+             ON m.object = o.object AND m.tsn = o.tsn AND m.month_start = cal.month_start),
+    rws AS (
+      SELECT tsn, ts_id, object, strftime(month_start, '%b-%Y') AS col_label, v FROM grid
+      UNION ALL SELECT tsn, ts_id, object, 'Tot-' || CAST(year(month_start) AS VARCHAR), SUM(v) FROM grid
+                GROUP BY tsn, ts_id, object, year(month_start)
+      UNION ALL SELECT tsn, ts_id, object, 'Total', SUM(v) FROM grid GROUP BY tsn, ts_id, object)
+    SELECT tsn AS section, CAST(ts_id AS BIGINT) AS section_ord, 1 AS rule_ord, object || ':usd' AS row_label,
+           col_label, {R4('v')} AS value FROM rws
+    """
+
+
 def _ratings_sql(rules=None) -> str:
     rules = analog.RATINGS if rules is None else rules
     return " UNION ALL ".join(O.ratings_rule_sql(r) for r in rules)
@@ -568,6 +607,7 @@ def _registry():
         "report_diff": (q_report_diff, _report_diff_sql()),
         "no_data_rules": (q_no_data_rules, _no_data_sql()),
         "daily_events": (q_daily_events, _daily_events_sql()),
+        "events_timeslice_report": (q_events_timeslice_report, _events_timeslice_sql()),
         "schema_contract": (q_schema_contract, None),
     }
 
