@@ -114,10 +114,18 @@ REPORT_CELLS = T.StructType([
     T.StructField("section_ord", T.LongType()),
     T.StructField("section", T.StringType()),
     T.StructField("rule_ord", T.IntegerType()),
-    T.StructField("row_key", T.StringType()),
+    # row sort keys: parent, object group, kind of row, object, band, day, component
+    T.StructField("s_parent", T.StringType()),
+    T.StructField("s_group", T.StringType()),
+    T.StructField("s_sub", T.IntegerType()),
+    T.StructField("s_obj", T.StringType()),
+    T.StructField("s_band", T.IntegerType()),
+    T.StructField("s_day", T.IntegerType()),
+    T.StructField("s_comp", T.IntegerType()),
     T.StructField("row_kind", T.StringType()),
     T.StructField("row_label", T.StringType()),
     T.StructField("col_ord", T.IntegerType()),
     T.StructField("col_label", T.StringType()),
     T.StructField("value", T.DoubleType()),
+    T.StructField("text", T.StringType()),
 ])
