@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 from cadence import analog
 from cadence import oracle as O
 from cadence.api import (
-    calendar_of,
     daily_block,
     metric_cells,
     metric_matrix,

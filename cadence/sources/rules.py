@@ -14,7 +14,6 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cadence import schemas
 from cadence.functions.text import (
     DEFAULT_TIMESLICE,
     blank_to_null,
