@@ -1,7 +1,8 @@
 """Quality classifier on subword embeddings.
 
 Words and byte n-grams of 3 to 5 bytes (spaces included) are hashed into one
-table of learned vectors; a document is the mean of its features' vectors, and
+table of learned vectors, and a word that repeats the one before it also counts
+as one more, fixed entry; a document is the mean of its features' vectors, and
 a softmax over two classes scores it. Both are fitted by plain stochastic
 gradient descent in numpy on the sample of :mod:`cadence.llm.labelled`; the
 sample's equal classes are put right by the classes' true odds.
@@ -25,8 +26,8 @@ from cadence.llm import labelled
 from cadence.llm.tables import byte_rows, free_name, read
 from cadence.llm.words import word_hashes
 
-BITS, DIM, EPOCHS, RATE = 18, 12, 20, 1.5
-GRAMS = (3, 4, 5)
+BITS, DIM, EPOCHS, RATE = 18, 12, 8, 1.5
+GRAMS, REPEAT = (3, 4, 5), 0
 #: A document with at least this score is good.
 LEAST_SCORE = 0.3
 LETTER = np.random.Generator(np.random.PCG64(41)).integers(0, 2**32, 256, dtype=np.uint64).astype(np.uint32)
@@ -37,6 +38,8 @@ def features(data: np.ndarray, offsets: np.ndarray):
     """(table entries, their rows) of every kind of feature in turn."""
     words, rows = word_hashes(data, offsets, lower=False)
     yield (words >> np.uint64(64 - BITS)).astype(np.int64), rows
+    again = np.flatnonzero((words[1:] == words[:-1]) & (rows[1:] == rows[:-1])) + 1
+    yield np.full(len(again), REPEAT), rows[again]
     n = len(data)
     letters, h = LETTER[data], np.zeros(0, np.uint32)
     row = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets)) if n else np.zeros(0, np.int64)

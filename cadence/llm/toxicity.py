@@ -31,6 +31,7 @@ from cadence.llm.words import word_hashes
 
 BITS, HALF_DIM, FILTERS, WIDTHS = 17, 8, 12, (1, 2, 3)
 EPOCHS, BATCH, RATE, CALIBRATION, LEAST_ROWS = 8, 16, 0.02, 5, 40
+LEAST_TEXTS, DROP, DECAY = 4, 0.3, 3e-3
 PAD = max(WIDTHS) - 1
 GAP = np.ones(256, bool)
 GAP[0x80:] = False
@@ -136,6 +137,15 @@ class Model:
             v[at] = 0.99 * v[at] + 0.01 * grad * grad
             value[at] -= rate * m[at] / (np.sqrt(v[at]) + 1e-6)
 
+        # words of a few texts only would be learned by heart: they stay unknown
+        seen, n = np.unique(np.concatenate([np.unique(t) for t in texts]), return_counts=True)
+        common = seen[n >= LEAST_TEXTS]
+        texts = [np.where(np.isin(t, common), t, np.uint64(0)) for t in texts]
+        known = entries(common)
+        for t, e in zip(self.tables, known):
+            used = t[e].copy()
+            t[:] = 0
+            t[e] = used
         d, steps, done = 2 * HALF_DIM, EPOCHS * (-(-len(texts) // BATCH)), 0
         constant = np.zeros(1, np.float32)
         for _ in range(EPOCHS):
@@ -147,10 +157,11 @@ class Model:
                 n = np.array([len(texts[i]) for i in pick])
                 hashes, starts = padded(np.concatenate([texts[i] for i in pick]), np.repeat(np.arange(len(pick)), n), len(pick))
                 top, x, (a, b), places = self.maxima(hashes, starts, where=True)
+                top *= (rng.random(top.shape) >= DROP) / np.float32(1 - DROP)
                 p = 1 / (1 + np.exp(-(top @ self.out + constant[0])))
                 err = ((p - truth[pick]) / len(pick)).astype(np.float32)
                 back = np.outer(err, self.out) * (top > 0)
-                step("out", self.out, top.T @ err + 1e-4 * self.out, rate)
+                step("out", self.out, top.T @ err + DECAY * self.out, rate)
                 step("constant", constant, np.array([err.sum()], np.float32), rate)
                 dx: list = []
                 for k, (w, f) in enumerate(zip(WIDTHS, self.filters)):
@@ -161,14 +172,15 @@ class Model:
                         df[j * d : (j + 1) * d] = np.einsum("tfd,tf->df", x[at], g)
                         live = np.nonzero(g)
                         dx.append((at[live], f[j * d : (j + 1) * d].T[live[1]] * g[live][:, None]))
-                    step(f"filter{k}", f, df, rate)
+                    step(f"filter{k}", f, df + DECAY * f, rate)
                     step(f"bias{k}", self.bias[k], g.sum(axis=0), rate)
                 at, grad = np.concatenate([q for q, _ in dx]), np.concatenate([q for _, q in dx])
                 for t, e, part in ((0, a[at], grad[:, :HALF_DIM]), (1, b[at], grad[:, HALF_DIM:])):
                     rows, of = np.unique(e, return_inverse=True)
                     total = np.zeros((len(rows), HALF_DIM), np.float32)
                     np.add.at(total, of, part)
-                    step(f"table{t}", self.tables[t], total[rows != 0], rate, rows[rows != 0])
+                    rows, total = rows[rows != 0], total[rows != 0]
+                    step(f"table{t}", self.tables[t], total + DECAY * self.tables[t][rows], rate, rows)
         self.constant = float(constant[0])
 
     def calibrate(self, logits: np.ndarray, truth: np.ndarray, lang: np.ndarray, weight: float) -> None:
