@@ -49,27 +49,31 @@ def hub_pairs(shared: DataFrame) -> DataFrame:
     return best.select(F.col("node").alias("a"), (-F.col("best.less")).alias("b"))
 
 
-def open_pairs(shared: DataFrame, comps: DataFrame) -> DataFrame:
-    """Pairs that share a bucket and are not in one component yet. Buckets
-    whose nodes are all in one component have nothing left to find."""
+def open_members(shared: DataFrame, comps: DataFrame) -> DataFrame:
+    """(key, node, c, n): the rows of buckets whose nodes are in several components,
+    with each node's component and the bucket's size. Buckets within one
+    component have nothing left to find."""
     at = shared.select("key", "node").join(comps, "node", "left").select("key", "node", F.coalesce("component", "node").alias("c"))
-    left = at.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("key")
-    at = cut(at.join(left, "key"))
+    left = at.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.count("*").alias("n")).where("lo < hi")
+    return cut(at.join(left.select("key", "n"), "key"))
+
+
+def cross_pairs(at: DataFrame) -> DataFrame:
+    """Of open_members(): pairs of a bucket's nodes in different components."""
     x, y = at.alias("x"), at.alias("y")
     pairs = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.c") < F.col("y.c")))
     return pairs.select(F.greatest("x.node", "y.node").alias("a"), F.least("x.node", "y.node").alias("b")).distinct()
 
 
-def link_buckets(members: DataFrame, verify) -> tuple[DataFrame, DataFrame]:
-    """Links between nodes that share a bucket, enough of them for the components
-    to be those of all such links: first each node with one hub, then every
-    pair of a bucket that this left in different components. ``verify`` takes
-    pairs (a, b) and returns those that are links. Returns links and components."""
-    shared = cut(shared_buckets(members.distinct()))
-    links = cut(verify(hub_pairs(shared)))
-    comps = components(links)
-    more = cut(verify(open_pairs(shared, comps)))
-    if more.isEmpty():
-        return links, comps
-    links = links.union(more)
-    return links, components(links)
+def link_buckets(members: DataFrame, verify, settle) -> DataFrame:
+    """Components of the links between nodes that share a bucket. First each node
+    is paired with one hub: ``verify`` takes pairs (a, b) and returns those that are
+    links. Buckets that still span several components go to ``settle``, which takes
+    the rows of open_members() and returns links that join up all that is linked."""
+    shared = cut(shared_buckets(members))
+    comps = components(verify(hub_pairs(shared)))
+    at = open_members(shared, comps)
+    if at.isEmpty():
+        return comps
+    stars = comps.where("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b"))
+    return components(stars.union(settle(at)))

@@ -132,7 +132,8 @@ def near_vectors(vectors: DataFrame) -> DataFrame:
         side = lambda c: nodes.select(F.col("node").alias(c), F.col("unit").alias(f"u{c}"))
         return pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(_linked, "a long, b long")
 
-    _, comps = graph.link_buckets(nodes.select(F.explode("keys").alias("key"), "node"), verify)
+    members = nodes.select(F.explode("keys").alias("key"), "node")
+    comps = cut(graph.link_buckets(members, verify, lambda at: verify(graph.cross_pairs(at))))
     held = cut(nodes.drop("keys").join(comps, "node").withColumn("dim", F.size("unit")))
     sizes = held.groupBy("component").count().select("component", F.ceil(F.col("count") / BLOCK_ROWS).cast("int").alias("blocks"))
     held = held.join(sizes, "component").withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))

@@ -2,18 +2,42 @@
 
 from __future__ import annotations
 
+import pathlib
+import sys
+import tempfile
+import zipfile
+
 import numpy as np
 import pyarrow as pa
+from pyspark import SparkFiles
+from pyspark.sql import functions as F
 
 from cadence.plans.sizing import cut
 
-__all__ = ["byte_rows", "cut", "free_name", "read", "row_runs"]
+__all__ = ["byte_rows", "cut", "free_name", "read", "row_runs", "ship_code", "thinned"]
 
 #: Bytes of text that a task turns into arrays at a time.
 RUN_BYTES = 1 << 20
 
 
+def ship_code(spark) -> None:
+    """Sends this package to the executors, once for each Spark context, so that
+    their Python workers need no copy of it on their path."""
+    sc = spark.sparkContext
+    if getattr(sc, "_cadence_shipped", False):
+        return
+    top = pathlib.Path(__file__).resolve().parent.parent
+    path = f"{tempfile.mkdtemp(dir=SparkFiles.getRootDirectory())}/cadence-code.zip"  # Spark serves it and removes it in the end
+    with zipfile.ZipFile(path, "w") as z:
+        for f in sorted(top.rglob("*.py")):
+            z.write(f, f.relative_to(top.parent))
+    sc.addPyFile(path)
+    sys.path[:] = [p for p in sys.path if not p.endswith("cadence-code.zip")]
+    sc._cadence_shipped = True
+
+
 def read(spark, sf_dir: str, table: str):
+    ship_code(spark)
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
@@ -24,6 +48,24 @@ def free_name(docs, name: str) -> str:
     return name
 
 
+#: Bits of the filter that thinned() sends to every task: 4 MB.
+FILTER_BITS = 25
+
+
+def thinned(rows, column: str, ids):
+    """``rows`` without most of those whose ``column`` is not among ``ids`` (one
+    column): a hash filter of a fixed size, ahead of an exact join on the same
+    column, so that the join shuffles few rows that it drops. The more ids, the
+    less the filter keeps out; it never keeps out a row that the join needs."""
+    h = lambda c: F.pmod(F.xxhash64(c), F.lit(1 << FILTER_BITS))
+    hashed = ids.select(h(F.col(ids.columns[0])).alias("h"))
+    maps = hashed.groupBy(F.bitmap_bucket_number("h").alias("_part")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("h")).alias("_map"))
+    at = F.bitmap_bit_position(h(F.col(column)))
+    byte = F.conv(F.hex(F.substring(F.col("_map"), (at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("long")
+    met = rows.join(F.broadcast(maps), F.bitmap_bucket_number(h(F.col(column))) == F.col("_part"))
+    return met.where(F.getbit(byte, (at % 8).cast("int")) == 1).select(*rows.columns)
+
+
 def byte_rows(column) -> tuple[np.ndarray, np.ndarray]:
     """The bytes of an Arrow binary column as one array, and the offsets of its
     rows in it (one more than rows). A null row is empty."""

@@ -113,7 +113,7 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
         if b - a >= SHINGLE:
             out.append(np.unique(whole[a : b - SHINGLE + 1]))
         elif b > a:
-            out.append(mix(np.atleast_1d((words[a:b] * STEP[: b - a]).sum(dtype=np.uint64) + STEP[SHINGLE + b - a - 1])))
+            out.append(mix((words[a:b] * STEP[: b - a]).sum(dtype=np.uint64, keepdims=True) + STEP[SHINGLE + b - a - 1]))
         else:
             out.append(np.zeros(0, np.uint64))
     return out
