@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from cadence.llm import minhash, packing, quality, suffix, toxicity
-from cadence.llm.tables import cut, read
+from cadence.llm.tables import cut, read, ship_code
 
 
 def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -27,16 +27,19 @@ def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates: that with the smallest doc_id."""
+    ship_code(spark)
     return minhash.without_near_duplicates(docs)
 
 
 def unrepeated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the long strings that occur earlier in the corpus."""
+    ship_code(spark)
     return suffix.without_repeats(docs)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of token sequences."""
+    ship_code(spark)
     return packing.pack(docs, public_tokenizers.path(packing.TOKENIZER))
 
 
