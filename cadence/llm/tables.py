@@ -16,13 +16,17 @@ from cadence.plans.sizing import cut
 
 __all__ = ["byte_rows", "cut", "free_name", "read", "row_runs", "ship_code", "thinned"]
 
+#: Rows that a task hands to Python at a time: texts are long.
+BATCH_ROWS = 1000
 #: Bytes of text that a task turns into arrays at a time.
 RUN_BYTES = 1 << 20
 
 
 def ship_code(spark) -> None:
     """Sends this package to the executors, once for each Spark context, so that
-    their Python workers need no copy of it on their path."""
+    their Python workers need no copy of it on their path; and sets the session's
+    Arrow batches to BATCH_ROWS."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
     sc = spark.sparkContext
     if getattr(sc, "_cadence_shipped", False):
         return
