@@ -256,10 +256,16 @@ def _cells_sql(rule) -> str:
 
 def _monthly_matrix_sql() -> str:
     inner = O.flat_rule_sql(1, total_row=False)
+    # every month of the tables, by name: a view cannot store a PIVOT without a list
+    names = "Jan Feb Mar Apr May Jun Jul Aug Sep Oct Nov Dec".split()
+    months = [f"{m}-{y}" for y in range(1995, 2002) for m in names][:83]
+    cells = ", ".join(f'COALESCE("{m}", 0.0) AS "{m}"' for m in months)
+    listed = ", ".join(O.q(m) for m in months)
     return f"""
-    PIVOT (SELECT object, col_label, value FROM ({inner}) b
-           WHERE row_kind = 'data' AND col_label NOT LIKE 'Tot%')
-    ON col_label USING first(value) GROUP BY object
+    SELECT object, {cells} FROM (
+        PIVOT (SELECT object, col_label, value FROM ({inner}) b
+               WHERE row_kind = 'data' AND col_label NOT LIKE 'Tot%')
+        ON col_label IN ({listed}) USING first(value) GROUP BY object)
     """
 
 

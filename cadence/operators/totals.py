@@ -52,7 +52,9 @@ def with_row_totals(values: DataFrame, row_keys: list[str], rate_col: str | None
     the month cells, ``Tot-Y`` and ``Total`` in one aggregation (grouping sets
     over month, year and row; a month "group" is its single cell)."""
     v = values.select(*row_keys, F.year("month_start").alias("year"),
-                      month_ord("month_start").alias("_m"), F.col(value).alias("value"))
+                      month_ord("month_start").alias("_m"),
+                      # undated rows are in no month or year, so in no total; their object stays
+                      F.when(F.col("month_start").isNotNull(), F.col(value)).alias("value"))
     keys = [F.col(k) for k in row_keys]
     y, m = F.col("year"), F.col("_m")
     t = v.groupingSets([keys + [y, m], keys + [y], keys], *keys, y, m).agg(
