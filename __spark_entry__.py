@@ -176,14 +176,12 @@ def q_report_lines(spark, sf):
 def q_sections_from_text(spark, sf):
     import uuid
 
-    from cadence.plans.layout import ordered_lines, report_lines
+    from cadence.plans.reports import read_report, write_report
     from cadence.session import checkpoint_dir
-    from cadence.sources.report_text import read_report_cells
 
     out = f"{checkpoint_dir(spark).rstrip('/')}/report-text-{uuid.uuid4().hex}"
-    ordered_lines(report_lines(_ratings_cells(spark, sf))).select("line").coalesce(1) \
-        .write.mode("overwrite").text(out)
-    cells = read_report_cells(spark, out)
+    write_report(_ratings_cells(spark, sf), out, "Ratings_Report")
+    cells = read_report(spark, f"{out}/Ratings_Report", text=True)
     return cells.select("section", "row_label", "col_label", "value")
 
 

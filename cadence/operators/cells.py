@@ -1,12 +1,10 @@
 """Metric cells: the fact aggregated per rule, object, band and month (or day).
 
-One plan for all rules: the fact is scanned once. Two physical shapes, picked
-by a checked size of the rule-series selection:
-
-* selection small enough to broadcast — fact ⋈ broadcast(selection), then one
-  aggregation (partial on the map side, one shuffle);
-* larger — the fact is first aggregated per series and month (sum and count,
-  so means stay exact), and only those partials are joined to the selection.
+One plan for all rules, whatever their number: the fact is scanned once, kept to
+the series that some rule wants, and aggregated per series and month (day only
+for series that a daily rule wants) to sum and count, so means stay exact. Only
+those partials meet the rules; a fact row is never copied per rule. Which side
+of a join is broadcast is left to Catalyst and AQE.
 """
 
 from __future__ import annotations
@@ -20,8 +18,6 @@ from cadence.functions.text import DEFAULT_TIMESLICE, norm
 
 ALL_PERIODS_N = DEFAULT_TIMESLICE.lower()
 from cadence.operators.select import select_series
-from cadence.plans import sizing
-from cadence.plans.sizing import fits_broadcast
 from cadence.schemas import BLOCK_KEYS
 from cadence.sources.base import Source
 
@@ -38,7 +34,7 @@ def _needs_timeslices(rules: DataFrame) -> bool:
 
 
 def rule_cells(source: Source, rules: DataFrame, daily: bool | None = False,
-               broadcast_max_rows: int | None = None, *, props: list[str] | None = None,
+               *, props: list[str] | None = None,
                expand: bool | None = None, kinds: set | None = None) -> DataFrame:
     """(block keys, rate, object, band, month_start[, day], v_sum, v_cnt).
 
@@ -49,61 +45,39 @@ def rule_cells(source: Source, rules: DataFrame, daily: bool | None = False,
     sel = select_series(source, rules, kinds)
     props = _rule_properties(rules) if props is None else props
     expand = _needs_timeslices(rules) if expand is None else expand
-    try:
-        obs = source.observations(expand_timeslices=expand, properties=props)
-    except TypeError:
-        obs = source.observations(expand_timeslices=expand)
-    obs = obs.withColumn("month_start", month_start("period_start"))
+    obs = source.observations(expand_timeslices=expand, properties=props)
+    wanted = sel.groupBy(*source.key_cols).agg(F.max(F.col("kind") == "daily").alias("_daily"))
+    obs = obs.join(wanted, source.key_cols).withColumn("month_start", month_start("period_start"))
     with_day = daily is None or daily
     if with_day:
-        obs = obs.withColumn("day", F.dayofmonth("period_start"))
+        obs = obs.withColumn("day", F.when(F.col("_daily") | F.lit(bool(daily)), F.dayofmonth("period_start")))
     grain = ["month_start"] + (["day"] if with_day else [])
     keys = CELL_KEYS + (["day"] if with_day else [])
 
     ts_fact_side = "timeslice" in source.fact_attrs
 
-    def join_cond(left: DataFrame, right: DataFrame):
-        c = None
-        for k in source.key_cols:
-            e = left[k] == right[k]
-            c = e if c is None else c & e
-        if ts_fact_side:
-            # Facts carry their own timeslice; a rule for 'All Periods' takes
-            # every timeslice and is rolled up after the aggregation.
-            c = c & (right["_r_ts"].isNull() | (right["_r_ts"] == ALL_PERIODS_N)
-                     | (norm(left["timeslice"]) == right["_r_ts"]))
-        return c
+    cond = F.lit(True)
+    for k in source.key_cols:
+        cond = cond & (F.col(f"p.{k}") == F.col(f"s.{k}"))
+    if ts_fact_side:
+        # Facts carry their own timeslice; a rule for 'All Periods' takes
+        # every timeslice and is rolled up after the aggregation.
+        r_ts = F.col("s._r_ts")
+        cond = cond & (r_ts.isNull() | (r_ts == ALL_PERIODS_N) | (norm("p.timeslice") == r_ts))
 
     rollup = ts_fact_side and expand
     if rollup:
         keys = keys + ["_r_ts"]
 
-    def project(j: DataFrame, left: DataFrame, right: DataFrame, v_sum, v_cnt) -> DataFrame:
-        cols = []
-        for k in keys:
-            if k == "day" and daily is None:
-                cols.append(F.when(right["kind"] == "daily", left["day"]).alias("day"))
-            elif k in ("month_start", "day"):
-                cols.append(left[k])
-            elif k in source.fact_attrs:
-                cols.append(left[k])
-            else:
-                cols.append(right[k])
-        return j.select(*cols, v_sum.alias("_vs"), v_cnt.alias("_vc"))
-
-    if broadcast_max_rows is None:
-        broadcast_max_rows = sizing.BROADCAST_MAX_ROWS
-    if fits_broadcast(sel, broadcast_max_rows):
-        right = F.broadcast(sel)
-        j = obs.join(right, join_cond(obs, right), "inner")
-        j = project(j, obs, right, F.col("value"), F.col("value"))
-        out = j.groupBy(*keys).agg(F.sum("_vs").alias("v_sum"), F.count("_vc").alias("v_cnt"))
-    else:
-        part_keys = source.key_cols + [a for a in source.fact_attrs] + grain
-        parts = obs.groupBy(*part_keys).agg(F.sum("value").alias("value"), F.count("value").alias("n"))
-        j = parts.join(sel, join_cond(parts, sel), "inner")
-        j = project(j, parts, sel, F.col("value"), F.col("n"))
-        out = j.groupBy(*keys).agg(F.sum("_vs").alias("v_sum"), F.sum("_vc").alias("v_cnt"))
+    def key(k):
+        if k == "day" and daily is None:
+            return F.when(F.col("s.kind") == "daily", F.col("p.day")).alias("day")
+        return F.col(f"p.{k}" if k in grain + source.fact_attrs else f"s.{k}")
+
+    part_keys = source.key_cols + [a for a in source.fact_attrs] + grain
+    parts = obs.groupBy(*part_keys).agg(F.sum("value").alias("value"), F.count("value").alias("n"))
+    j = parts.alias("p").join(sel.alias("s"), cond).select(*[key(k) for k in keys], "value", "n")
+    out = j.groupBy(*keys).agg(F.sum("value").alias("v_sum"), F.sum("n").alias("v_cnt"))
     if rollup:
         out = _roll_up_timeslices(out, keys)
     return out

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cadence.functions.text import category_filter_items, norm
-from cadence.plans.sizing import bounded_broadcast, config_broadcast
+from cadence.plans.sizing import config_broadcast
 from cadence.sources.base import Source
 from cadence.sources.rules import MAX_RULES
 
@@ -82,7 +82,7 @@ def select_series(source: Source, rules: DataFrame, kinds: set | None = None) ->
 
     nested_rules = rules.where(F.col("kind") == "nested").select(*SEL_RULE_COLS, "_r_prop", "_r_ts")
     np_ = nested_parents(source, rules)
-    nr = bounded_broadcast(nested_rules.join(np_, "rule_ord", "inner"))
+    nr = nested_rules.join(np_, "rule_ord", "inner")
     cond_n = (s._s_prop == nr._r_prop) & (s._s_parent == nr._np_parent)
     if ts_series_side:
         cond_n = cond_n & (nr._r_ts.isNull() | (s._s_ts == nr._r_ts))

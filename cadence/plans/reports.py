@@ -12,7 +12,7 @@ from cadence.functions.calendar import Calendar
 from cadence.operators.blocks import daily_grid, monthly_grid
 from cadence.operators.cells import cell_values, rule_cells
 from cadence.plans.sizing import cut
-from cadence.plans.layout import ordered_lines, ratings_cells, report_lines, standard_cells
+from cadence.plans.layout import LINE_ORDER, ratings_cells, report_lines, standard_cells
 from cadence.sources.base import Source
 from cadence.sources.rules import RuleSet, prepare
 
@@ -58,10 +58,14 @@ def timeslice_report(source: Source, rs: RuleSet, cal: Calendar | None = None) -
 
 
 def write_report(cells: DataFrame, out_dir: str, name: str) -> None:
-    """Parquet cells (the real sink) and the text view, as ordered part files."""
+    """Parquet cells (the real sink) and, from them, the text view: a folder for each
+    section, whose lines are in order in one file."""
     out_dir = out_dir.rstrip("/")
     cells.write.mode("overwrite").parquet(f"{out_dir}/{name}_cells")
-    ordered_lines(report_lines(cells)).select("line").write.mode("overwrite").text(f"{out_dir}/{name}_text")
+    lines = report_lines(cells.sparkSession.read.schema(cells.schema).parquet(f"{out_dir}/{name}_cells"))
+    order = ["section_ord"] + [c for c in LINE_ORDER if c not in ("report", "section_ord")]
+    whole = lines.repartition("section_ord").sortWithinPartitions(*[F.col(c).asc_nulls_first() for c in order])
+    whole.select("section_ord", "line").write.mode("overwrite").partitionBy("section_ord").text(f"{out_dir}/{name}_text")
 
 
 def run(source: Source, rs: RuleSet, out_dir: str, golden_dir: str | None = None) -> dict:
@@ -78,7 +82,7 @@ def run(source: Source, rs: RuleSet, out_dir: str, golden_dir: str | None = None
     if golden_dir:
         names = tuple(n for n, k in (("Standard_Report", "standard"), ("Ratings_Report", "ratings")) if k in written)
         findings = validate(source.spark, golden_dir, out_dir, out_dir, names)
-        failed = findings.where("NOT passed").select("report", "section", "status").limit(20).collect()
+        failed = findings.where("NOT passed").select("report", "section", "status").collect()
         if failed:
             raise RuntimeError(f"validation against {golden_dir} failed: {[tuple(r) for r in failed]}")
     return written
@@ -96,14 +100,16 @@ def read_report(spark, path: str, text: bool = False) -> DataFrame:
             c = spark.read.parquet(f"{path}_cells")
             return c.select("section", "row_label", "col_label", "value", "text", "rule_ord", "s_parent",
                             "s_group", "s_sub", "s_obj", "s_band", "s_day", "s_comp")
-        except AnalysisException:
-            pass
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
     for target in (f"{path}_text", path):
         try:
             c = read_report_cells(spark, target)
             return c.select("section", "row_label", "col_label", "value", "text", "row_no")
-        except AnalysisException:
-            continue
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
     raise FileNotFoundError(f"no report cells or text at {path}")
 
 

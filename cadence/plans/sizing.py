@@ -1,8 +1,7 @@
-"""Broadcast only behind a checked size.
+"""Config tables behind a checked size, and lineage cuts.
 
-A side is hinted for broadcast only after counting at most ``max_rows + 1`` of
-its rows; beyond that the join is left to Catalyst and AQE, which pick a
-shuffle join (and may still switch to broadcast at runtime from real sizes).
+Only config tables, checked by ``config_broadcast``, are hinted for broadcast; every other join is left to
+Catalyst and AQE, which go by real sizes.
 """
 
 from __future__ import annotations
@@ -10,11 +9,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Default row bound for hinting a broadcast of a data-dependent side: about
-# 50 MB for a rule-series selection row (~100 bytes), copied to every executor.
-BROADCAST_MAX_ROWS = 500_000
-
-
 def row_count_at_most(df: DataFrame, max_rows: int) -> int:
     """Rows of ``df`` (or a known upper bound), counting no further than
     ``max_rows + 1``."""
@@ -45,14 +39,6 @@ def known_rows(src: DataFrame, derived: DataFrame) -> DataFrame:
     return derived
 
 
-def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
-    return row_count_at_most(df, max_rows) <= max_rows
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    return F.broadcast(df) if fits_broadcast(df, max_rows) else df
-
-
 def config_broadcast(df: DataFrame, max_rows: int, what: str) -> DataFrame:
     """Config tables (rules, unit and name maps) are small by contract; a table
     past the bound is rejected rather than silently shuffled."""

@@ -45,7 +45,8 @@ def configure(spark: SparkSession) -> SparkSession:
 
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for lineage cuts. The cluster's ``spark.checkpoint.dir``
-    wins; a scratch folder is only made when none is set (local tests)."""
+    wins; a scratch folder is only made on a local master when none is set
+    (tests). Elsewhere a missing folder is an error: machine-local cuts would lose rows."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
@@ -54,6 +55,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if conf_dir:
         sc.setCheckpointDir(conf_dir)
         return conf_dir
+    if not sc.master.startswith("local"):
+        raise RuntimeError(f"spark.checkpoint.dir is not set: {sc.master} needs a folder that driver and executors share")
     local = tempfile.mkdtemp(prefix="cadence-ckpt-")
     sc.setCheckpointDir(local)
     return local

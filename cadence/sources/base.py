@@ -27,7 +27,7 @@ class Source:
     def series(self) -> DataFrame:  # pragma: no cover - interface
         raise NotImplementedError
 
-    def observations(self, expand_timeslices: bool = False) -> DataFrame:  # pragma: no cover
+    def observations(self, expand_timeslices: bool = False, properties: list[str] | None = None) -> DataFrame:  # pragma: no cover
         raise NotImplementedError
 
     def period_starts(self) -> DataFrame:  # pragma: no cover

@@ -6,7 +6,8 @@ column), and a blank line. A line is a title when it has no comma and either
 starts with '(' or opens a block (first line, or after a blank line). Files
 are read whole (one row per file, ``wholetext``) and split into numbered
 lines, so each report file is parsed by one task and many files in parallel;
-a report file is report-sized, never fact-sized.
+a report file is report-sized, never fact-sized. Data before a file's first
+title is an error: it is a piece of a report, and its section is unknown.
 """
 
 from __future__ import annotations
@@ -44,7 +45,8 @@ def parse_sections(lines: DataFrame) -> DataFrame:
     t = t.withColumn("_sec_no", F.sum(F.col("_title").cast("int")).over(w.rowsBetween(Window.unboundedPreceding, 0)))
     t = t.withColumn("section", F.last(F.when(F.col("_title"), F.trim("line")), ignorenulls=True).over(
         w.rowsBetween(Window.unboundedPreceding, 0)))
-    body = t.where(~F.col("_blank") & ~F.col("_title") & (F.col("_sec_no") > 0))
+    lost = F.raise_error(F.concat(F.lit("data before the first section title: "), "file")).cast("boolean")
+    body = t.where(F.when(F.col("_blank") | F.col("_title"), False).when(F.col("_sec_no") > 0, True).otherwise(lost))
     wb = Window.partitionBy("file", "_sec_no").orderBy("pos")
     body = body.withColumn("_n", F.row_number().over(wb))
     fields = body.select(

@@ -39,7 +39,6 @@ FUEL_COMPONENTS = [
 
 # Bounds for config tables (they are broadcast).
 MAX_RULES = 100_000
-MAX_GROUPS = 100_000
 MAX_UNITS = 100_000
 MAX_NAMES = 5_000_000
 
@@ -371,7 +370,9 @@ def strict_flag(c) -> "F.Column":
 def load_rules(spark: SparkSession, path: str, fmt: str = "csv") -> RuleSet:
     """Rule tables from ``path`` (one file or folder per table, named as in
     :data:`RULE_FILES`). A blank or unreadable Rate flag is an error naming the
-    row; the name map keeps the last row per source name."""
+    row; the name map keeps the last row per source name. A blueprint may be
+    left out, but not both, and the groups are needed; a table that is there
+    and cannot be read is an error."""
     from pyspark.errors import AnalysisException
 
     def read(name):
@@ -381,8 +382,9 @@ def load_rules(spark: SparkSession, path: str, fmt: str = "csv") -> RuleSet:
         for p in (f"{path.rstrip('/')}/{name}.{fmt}", f"{path.rstrip('/')}/{name}"):
             try:
                 return r.load(p)
-            except AnalysisException:
-                continue
+            except AnalysisException as e:
+                if e.getCondition() != "PATH_NOT_FOUND":
+                    raise
         return None
 
     std = read(RULE_FILES["standard"])
@@ -390,7 +392,7 @@ def load_rules(spark: SparkSession, path: str, fmt: str = "csv") -> RuleSet:
         std = with_row_order(normalise_headers(std, STD_COLUMNS))
         std = std.select("rule_ord", *[F.col(c).cast("string").alias(c) for c in STD_COLUMNS if c != "Rate"],
                          strict_flag("Rate").alias("Rate"), F.col("Rate").cast("string").alias("_rate_text"))
-        bad = std.where(F.col("Rate").isNull()).select("rule_ord", "_rate_text").limit(5).collect()
+        bad = std.where(F.col("Rate").isNull()).select("rule_ord", "_rate_text").collect()
         if bad:
             raise ValueError(f"Blueprint_std: Rate must be true/false, rows {[(r[0], r[1]) for r in bad]}")
         std = std.select("rule_ord", "Header", "Class", "Group", "Property", "Pattern", "Rate", "Unit")
@@ -398,7 +400,11 @@ def load_rules(spark: SparkSession, path: str, fmt: str = "csv") -> RuleSet:
     if rat is not None:
         rat = with_row_order(normalise_headers(rat, RAT_COLUMNS))
         rat = rat.select("rule_ord", *[F.col(c).cast("string").alias(c) for c in RAT_COLUMNS])
+    if std is None and rat is None:
+        raise FileNotFoundError(f"{path}: neither {RULE_FILES['standard']} nor {RULE_FILES['ratings']}")
     groups = read(RULE_FILES["groups"])
+    if groups is None:
+        raise FileNotFoundError(f"{path}: no {RULE_FILES['groups']}")
     groups = groups.select(*[F.col(c).cast("string").alias(c) for c in ("Class", "Group", "Assets")])
     units = read(RULE_FILES["units"])
     if units is not None:

@@ -10,7 +10,6 @@ from pyspark.sql import types as T
 from cadence import schemas
 from cadence.functions.text import object_name
 from cadence.sources.base import Source
-from cadence.plans.sizing import bounded_broadcast
 
 
 # Read schema of the fact table including the partition column, so the
@@ -25,13 +24,11 @@ class SolutionSource(Source):
     key_cols = ["series_id", "datafile_id"]
     fact_attrs: list[str] = []
 
-    def __init__(self, spark: SparkSession, fact: DataFrame, fullkeyinfo: DataFrame, period: DataFrame,
-                 broadcast_max_rows: int = 2_000_000):
+    def __init__(self, spark: SparkSession, fact: DataFrame, fullkeyinfo: DataFrame, period: DataFrame):
         self.spark = spark
         self._fact = fact
         self._fki = fullkeyinfo
         self._period = period
-        self.broadcast_max_rows = broadcast_max_rows
 
     def series(self) -> DataFrame:
         f = self._fki
@@ -54,13 +51,12 @@ class SolutionSource(Source):
         )
 
     def _periods(self) -> DataFrame:
-        p = self._period.select(
+        return self._period.select(
             F.col("PeriodId").cast("int").alias("PeriodId"),
             F.col("StartDate").cast("timestamp").alias("period_start"),
         )
-        return bounded_broadcast(p, self.broadcast_max_rows)
 
-    def observations(self, expand_timeslices: bool = False) -> DataFrame:
+    def observations(self, expand_timeslices: bool = False, properties: list[str] | None = None) -> DataFrame:
         d = self._fact.select(
             F.col("SeriesId").cast("long").alias("series_id"),
             F.col("dataFileId").cast("long").alias("datafile_id"),
