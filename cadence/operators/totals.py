@@ -9,9 +9,8 @@ non-zero mean, so every total is computed on the cells that exist:
 * 'Total' row: per column, the sum over rows, or for rate blocks the mean of the
   non-zero row values — over the total columns too.
 
-Completion comes last: each row's cells are gathered into a map (at most one
-entry per report column) and a literal column list is expanded against it by a
-generator, so the dense grid is produced without a join.
+Completion comes last: a pivot on the literal column list and an unpivot give the
+dense grid.
 """
 
 from __future__ import annotations
