@@ -6,18 +6,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cadence.plans.sizing import config_broadcast, known_rows
-from cadence.sources.rules import MAX_NAMES
-
 
 def rename(df: DataFrame, names: DataFrame | None, col: str = "object") -> DataFrame:
     """Left lookup of ``col`` in the name map (source_name, report_name)."""
     if names is None:
         return df
-    m = config_broadcast(
-        known_rows(names, names.select(F.col("source_name").alias("_src"), F.col("report_name").alias("_dst"))),
-        MAX_NAMES, "name map",
-    )
+    m = names.select(F.col("source_name").alias("_src"), F.col("report_name").alias("_dst"))
     j = df.join(m, df[col] == m["_src"], "left")
     return j.select(
         *[F.coalesce(F.col("_dst"), df[c]).alias(c) if c == col else df[c] for c in df.columns]

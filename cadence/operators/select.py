@@ -12,9 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cadence.functions.text import category_filter_items, norm
-from cadence.plans.sizing import config_broadcast
 from cadence.sources.base import Source
-from cadence.sources.rules import MAX_RULES
 
 SEL_RULE_COLS = ["rule_ord", "component", "rate", "kind"]
 
@@ -45,7 +43,7 @@ def nested_parents(source: Source, rules: DataFrame) -> DataFrame:
         "parent_name", norm("parent_class").alias("_pc"), norm("parent_category").alias("_pcat")
     ).where(F.col("parent_name").isNotNull()).distinct()
     j = s.join(
-        config_broadcast(nr, MAX_RULES, "nested rules"),
+        nr,
         (F.col("_pc") == F.col("_np_class"))
         & ((F.size("_np_cats") == 0) | F.array_contains(F.col("_np_cats"), F.col("_pcat"))),
         "inner",
@@ -66,7 +64,7 @@ def select_series(source: Source, rules: DataFrame, kinds: set | None = None) ->
         *SEL_RULE_COLS, "_r_prop", "_r_class", "_r_cats", "_r_ts", "_r_parent",
         F.lit(None).cast("string").alias("parent"),
     )
-    # Rules were bounded (MAX_RULES) when they were collected in ``prepare``.
+    # ``prepare`` collected and bounded the rules (MAX_RULES).
     flat_b = F.broadcast(flat)
     cond = (
         (s._s_prop == flat_b._r_prop)

@@ -27,6 +27,7 @@ from cadence.functions.calendar import (
     month_ord,
 )
 from cadence.functions.numeric import nonzero_mean
+from cadence.plans.sizing import local_frame
 
 # Column kinds.
 MONTH, YEAR_TOTAL, GRAND_TOTAL, EXTRA = "month", "year_total", "total", "extra"
@@ -93,7 +94,7 @@ def dense_cells(spark, sparse: DataFrame, row_keys: list[str], cols: list[tuple]
         wide = wide.withColumn(str(o), expr.cast("double"))
     ids = [c for c in wide.columns if c not in {str(c0[0]) for c0 in cols}]
     long = wide.unpivot(ids, [str(c[0]) for c in cols], "_col", "value")
-    meta = F.broadcast(spark.createDataFrame(cols, COLUMNS_SCHEMA))
+    meta = F.broadcast(local_frame(spark, cols, COLUMNS_SCHEMA))
     j = long.join(meta, long["_col"].cast("int") == meta["col_ord"], "inner")
     return j.select(*ids, "year", "col_ord", "col_label", "col_kind",
                     F.coalesce(F.col("value"), F.lit(0.0)).alias("value"))

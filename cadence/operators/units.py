@@ -11,9 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cadence.functions.text import norm
-from cadence.plans.sizing import config_broadcast, known_rows
 from cadence.sources.base import Source
-from cadence.sources.rules import MAX_UNITS
 
 
 def property_units(source: Source) -> DataFrame:
@@ -34,10 +32,9 @@ def unit_factors(source: Source, sel_rules: DataFrame, units: DataFrame | None)
         return r.select("rule_ord", "component", F.lit(1.0).alias("factor"), F.lit(True).alias("unit_missing"),
                         "db_unit", "unit_to")
     if "_u_ord" not in units.columns:
-        units = known_rows(units, units.withColumn("_u_ord", F.monotonically_increasing_id()))
-    u = config_broadcast(units, MAX_UNITS, "unit conversion")
+        units = units.withColumn("_u_ord", F.monotonically_increasing_id())
     j = r.join(
-        u,
+        units,
         (F.lower(F.col("db_unit")) == F.lower(F.col("UnitFrom"))) & (F.lower(F.trim("unit_to")) == F.lower(F.col("UnitTo"))),
         "left",
     )

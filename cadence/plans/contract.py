@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from cadence import schemas
+from cadence.plans.sizing import local_frame
 from cadence.sources.base import Source
 
 # Canonical types of the relations the operators read.
@@ -57,7 +58,7 @@ def check_source(source: Source) -> DataFrame:
     obs_expected = dict(OBSERVATION_CONTRACT)
     obs_expected.update({k: v for k, v in SERIES_CONTRACT.items() if k in fact_side})
     rows += _compare("observations", source.observations(), obs_expected)
-    return spark.createDataFrame(rows, FINDINGS)
+    return local_frame(spark, rows, FINDINGS)
 
 
 def check_tables(spark: SparkSession, tables: dict) -> DataFrame:
@@ -69,4 +70,4 @@ def check_tables(spark: SparkSession, tables: dict) -> DataFrame:
             rows.append((name, None, None, None, "unknown category"))
             continue
         rows += _compare(name, df, {f.name: f.dataType.simpleString() for f in reg.fields})
-    return spark.createDataFrame(rows, FINDINGS)
+    return local_frame(spark, rows, FINDINGS)

@@ -1,51 +1,35 @@
-"""Config tables behind a checked size, and lineage cuts.
+"""Rule tables as local relations, and lineage cuts.
 
-Only config tables, checked by ``config_broadcast``, are hinted for broadcast; every other join is left to
-Catalyst and AQE, which go by real sizes.
+A rule table is configuration: it is collected once, because the driver branches on it. Joins
+on every other table are left to Catalyst and AQE, which go by real sizes.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
-def row_count_at_most(df: DataFrame, max_rows: int) -> int:
-    """Rows of ``df`` (or a known upper bound), counting no further than
-    ``max_rows + 1``."""
-    known = getattr(df, "_cadence_rows", None)
-    if known is not None:
-        return known
-    return df.limit(max_rows + 1).count()
+
+def local_frame(spark: SparkSession, rows, schema) -> DataFrame:
+    """Rows of the driver as a local relation, handed over by Arrow: Catalyst knows its
+    size, and reading it needs no Python worker."""
+    schema = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    rows = [tuple(r) for r in rows]
+    kinds = to_arrow_schema(schema)
+    columns = [pa.array([r[i] for r in rows], f.type) for i, f in enumerate(kinds)]
+    return spark.createDataFrame(pa.Table.from_arrays(columns, schema=kinds), schema)
 
 
 def localize(df: DataFrame, max_rows: int, what: str) -> tuple[DataFrame, list]:
-    """Collect a config table once (bounded) and rebuild it as a local relation:
-    later plans read it without recomputing its lineage, its size is known,
-    and the driver can branch on its rows."""
+    """Collect a rule table once and rebuild it as a local relation: later plans read it
+    without recomputing its lineage, and the driver can branch on its rows. A table past
+    the bound is an error that states its whole count."""
     rows = df.limit(max_rows + 1).collect()
     if len(rows) > max_rows:
-        raise ValueError(f"{what}: more than {max_rows} rows; not a config table")
-    local = df.sparkSession.createDataFrame(rows, df.schema)
-    local._cadence_rows = len(rows)
-    return local, rows
-
-
-def known_rows(src: DataFrame, derived: DataFrame) -> DataFrame:
-    """Carry a known row count of ``src`` to ``derived`` as its upper bound
-    (valid for projections, filters and aggregations of ``src``)."""
-    n = getattr(src, "_cadence_rows", None)
-    if n is not None:
-        derived._cadence_rows = n
-    return derived
-
-
-def config_broadcast(df: DataFrame, max_rows: int, what: str) -> DataFrame:
-    """Config tables (rules, unit and name maps) are small by contract; a table
-    past the bound is rejected rather than silently shuffled."""
-    n = row_count_at_most(df, max_rows)
-    if n > max_rows:
-        raise ValueError(f"{what}: more than {max_rows} rows; not a config table")
-    return F.broadcast(df)
+        raise ValueError(f"{what}: {df.count()} rows, more than {max_rows}; not a rule table")
+    return local_frame(df.sparkSession, rows, df.schema), rows
 
 
 def cut(df: DataFrame) -> DataFrame:

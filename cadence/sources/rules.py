@@ -21,6 +21,7 @@ from cadence.functions.text import (
     category_list,
     summary_label,
 )
+from cadence.plans.sizing import local_frame, localize
 
 # Rule patterns.
 PATTERN_MONTHLY = "monthly"
@@ -37,14 +38,13 @@ FUEL_COMPONENTS = [
     ("        (Topping)", None),
 ]
 
-# Bounds for config tables (they are broadcast).
+# Rule and unit tables are configuration and are collected; the name map is not.
 MAX_RULES = 100_000
 MAX_UNITS = 100_000
-MAX_NAMES = 5_000_000
 
 @dataclass
 class RuleSet:
-    """Typed rule tables; every frame is small and broadcast when joined."""
+    """Typed rule tables."""
 
     standard: DataFrame | None
     ratings: DataFrame | None
@@ -57,7 +57,7 @@ class RuleSet:
 
 
 def rows_frame(spark: SparkSession, rows, schema: T.StructType) -> DataFrame:
-    return spark.createDataFrame(list(rows), schema)
+    return local_frame(spark, rows, schema)
 
 
 def groups_frame(groups: DataFrame) -> DataFrame:
@@ -86,7 +86,7 @@ def names_frame(names: DataFrame) -> DataFrame:
 
 
 def _with_categories(rules: DataFrame, groups: DataFrame, class_col) -> DataFrame:
-    g = F.broadcast(groups_frame(groups))
+    g = groups_frame(groups)
     r = rules.join(
         g, (class_col == g.g_class) & (F.trim(F.col("Group")) == g.g_group), "left"
     ).drop("g_class", "g_group")
@@ -206,13 +206,6 @@ def emission_rules(rules: DataFrame) -> DataFrame:
     )
 
 
-def check_rules(rules: DataFrame) -> None:
-    """Rejects rule combinations that cannot give a meaningful block."""
-    bad = rules.where((F.col("kind") == "stacked") & F.col("summary")).select("rule_ord").limit(5).collect()
-    if bad:
-        raise ValueError(f"stacked fuel rules cannot use monthly-summary: rules {[r[0] for r in bad]}")
-
-
 def selection_rules(rules: DataFrame, groups: DataFrame, components=None) -> DataFrame:
     """One row per series selection. A stacked rule expands to one row per
     component that has a property (a generator over the fixed component list,
@@ -227,7 +220,7 @@ def selection_rules(rules: DataFrame, groups: DataFrame, components=None) -> Dat
     ])
     st = rules.where(F.col("kind") == "stacked").select("*", F.explode(arr).alias("_c"))
     g = groups_frame(groups).withColumnRenamed("categories", "_g_cats")
-    st = st.join(F.broadcast(g), (F.col("class") == g.g_class) & (F.col("_c.c_group") == g.g_group), "left")
+    st = st.join(g, (F.col("class") == g.g_class) & (F.col("_c.c_group") == g.g_group), "left")
     st = st.select(
         *[c for c in rules.columns if c not in ("property", "categories")],
         F.col("_c.c_prop").alias("property"),
@@ -260,8 +253,7 @@ class Prepared:
 
     def only(self, kinds) -> "Prepared":
         keep = [r for r in self.sel_rows if r["kind"] in kinds]
-        sel = self.sel.sparkSession.createDataFrame(keep, self.sel.schema)
-        sel._cadence_rows = len(keep)
+        sel = local_frame(self.sel.sparkSession, keep, self.sel.schema)
         return Prepared(self.rules, sel, keep, self.names, self.units)
 
 
@@ -269,8 +261,6 @@ def prepare(rs: RuleSet, which: str = "standard", rule_ords=None) -> Prepared:
     """Normalise one rule table with Spark expressions and collect it once
     (bounded: it is config). The rule-level frame is rebuilt from the same
     rows, so no second action runs."""
-    from cadence.plans.sizing import known_rows, localize
-
     if which == "standard":
         rules = standard_rules(rs.standard, rs.groups, rs.fuel_header)
     elif which == "emissions":
@@ -291,20 +281,17 @@ def prepare(rs: RuleSet, which: str = "standard", rule_ords=None) -> Prepared:
         rule_rows.append(r)
     # A stacked rule appears once per component; its rule row then carries the
     # first component's property, which the layout does not read.
-    rules_local = spark.createDataFrame([tuple(r[c] for c in rule_cols) for r in rule_rows],
-                                        rules.schema)
-    rules_local._cadence_rows = len(rule_rows)
+    rules_local = local_frame(spark, [tuple(r[c] for c in rule_cols) for r in rule_rows], rules.schema)
     bad = [r["rule_ord"] for r in rule_rows if r["kind"] == "stacked" and r["summary"]]
     if bad:
         raise ValueError(f"stacked fuel rules cannot use monthly-summary: rules {bad}")
-    # Config tables are collected once (bounded); the unit table's trimming
-    # stays lazy, its collected size an upper bound for the broadcast check.
-    names = localize(names_frame(rs.names), MAX_NAMES, "name map")[0] if rs.names is not None else None
+    names = names_frame(rs.names) if rs.names is not None else None
     units = None
     if rs.units is not None:
-        raw = localize(rs.units.withColumn("_u_ord", F.monotonically_increasing_id()), MAX_UNITS,
-                       "unit conversion")[0]
-        units = known_rows(raw, units_frame(raw))
+        # file order, once: the first matching row wins
+        rows = localize(rs.units, MAX_UNITS, "unit conversion")[1]
+        schema = T.StructType(rs.units.schema.fields + [T.StructField("_u_ord", T.LongType())])
+        units = units_frame(local_frame(spark, [(*r, i) for i, r in enumerate(rows)], schema))
     return Prepared(rules_local, sel, sel_rows, names, units)
 
 
@@ -340,8 +327,8 @@ RULE_FILES = {
     "names": "Generator_name_map",
     "emissions": "Emissions",
 }
-# The name map's source and target columns.
-NAME_MAP_COLUMNS = ("Resources_Plexos", "Resources_RTSim")
+# The name map's source and target columns, unless the caller names others.
+NAME_MAP_COLUMNS = ("source_name", "report_name")
 TRUE_TEXT = ("true", "yes", "y", "1")
 FALSE_TEXT = ("false", "no", "n", "0")
 
@@ -367,7 +354,7 @@ def strict_flag(c) -> "F.Column":
     return F.when(t.isin(*TRUE_TEXT), F.lit(True)).when(t.isin(*FALSE_TEXT), F.lit(False))
 
 
-def load_rules(spark: SparkSession, path: str, fmt: str = "csv") -> RuleSet:
+def load_rules(spark: SparkSession, path: str, fmt: str = "csv", name_columns=NAME_MAP_COLUMNS) -> RuleSet:
     """Rule tables from ``path`` (one file or folder per table, named as in
     :data:`RULE_FILES`). A blank or unreadable Rate flag is an error naming the
     row; the name map keeps the last row per source name. A blueprint may be
@@ -413,10 +400,11 @@ def load_rules(spark: SparkSession, path: str, fmt: str = "csv") -> RuleSet:
                              F.col("ConversionRate").cast("double").alias("ConversionRate"))
     names = read(RULE_FILES["names"])
     if names is not None:
-        src, dst = NAME_MAP_COLUMNS
-        names = with_row_order(names).select(F.col("rule_ord").alias("map_ord"),
-                                             F.col(src).cast("string").alias("source_name"),
-                                             F.col(dst).cast("string").alias("report_name"))
+        src, dst = name_columns
+        # ids grow with the file's order: enough for "the last row wins", without a window
+        names = names.select(F.monotonically_increasing_id().alias("map_ord"),
+                             F.col(src).cast("string").alias("source_name"),
+                             F.col(dst).cast("string").alias("report_name"))
     emissions = read(RULE_FILES["emissions"])
     if emissions is not None:
         cols = ["Header", "Class", "Gas", "Pattern", "Unit", "Property"]

@@ -35,12 +35,12 @@ def rule_dir(spark):
                [r[1:5] for r in analog.RATINGS])
     _write_csv(f"{d}/Groups.csv", ["Class", "Group", "Assets"], analog.GROUPS)
     _write_csv(f"{d}/UnitConversion.csv", ["UnitFrom", "UnitTo", "ConversionRate"], analog.UNITS)
-    _write_csv(f"{d}/Generator_name_map.csv", ["Resources_Plexos", "Resources_RTSim"], [r[1:] for r in analog.NAMES])
+    _write_csv(f"{d}/Generator_name_map.csv", ["asset", "asset_in_report"], [r[1:] for r in analog.NAMES])
     return d
 
 
 def test_load_rules_normalises_headers_and_order(spark, rule_dir):
-    rs = load_rules(spark, rule_dir)
+    rs = load_rules(spark, rule_dir, name_columns=("asset", "asset_in_report"))
     rows = rs.standard.orderBy("rule_ord").collect()
     assert [r["rule_ord"] for r in rows] == [1, 2, 3]
     assert rows[1]["Rate"] is True and rows[0]["Rate"] is False
@@ -65,7 +65,7 @@ def test_blank_rate_is_an_error(spark, rule_dir):
 
 def test_run_and_validate(spark, rule_dir):
     src = lineitem_source(spark, SF_SMALL)
-    rs = load_rules(spark, rule_dir)
+    rs = load_rules(spark, rule_dir, name_columns=("asset", "asset_in_report"))
     rs.components = analog.COMPONENTS
     out = f"{checkpoint_dir(spark)}/out-{uuid.uuid4().hex}"
     run(src, rs, out)
