@@ -21,6 +21,7 @@ from cadence.api import (
     metric_matrix,
     monthly_block,
     no_data_rules,
+    report_findings,
     rule_units,
 )
 from cadence.functions.calendar import calendar_frame
@@ -234,6 +235,38 @@ def q_no_data_rules(spark, sf):
     return no_data_rules(_src(spark, sf), _rs(spark))
 
 
+FINDING_RULE = (10, "( 7 ) Filtered", "Supplier", "AsiaEurope", "Quantity", "monthly", False, "furlongs")
+
+
+def q_report_findings(spark, sf):
+    rs = analog.ruleset(spark, standard=analog.STANDARD + [FINDING_RULE])
+    return report_findings(_src(spark, sf), rs)
+
+
+def q_solution_findings(spark, sf):
+    configure(spark)
+    return report_findings(analog.solution(spark, sf), analog.ruleset(spark, standard=[analog.STANDARD[0], FINDING_RULE], ratings=[analog.RATINGS[1]]))
+
+
+def q_solution_flat_block(spark, sf):
+    configure(spark)
+    g = monthly_block(analog.solution(spark, sf), _rs(spark, [1]))
+    return g.select("rule_ord", "row_kind", "object", "col_label", round4("value").alias("value"))
+
+
+def q_object_name_fallback(spark, sf):
+    configure(spark)
+    g = monthly_block(analog.solution(spark, sf, blank_names=True), _rs(spark, [1], names=False))
+    return g.select("rule_ord", "row_kind", "object", "col_label", round4("value").alias("value"))
+
+
+def q_solution_timeslice_report(spark, sf):
+    configure(spark)
+    rs = analog.ruleset(spark, standard=[], ratings=[analog.RATINGS[0]])
+    g = monthly_block(analog.solution(spark, sf), rs, which="ratings", with_total_row=False)
+    return g.select("rule_ord", "timeslice", "object", "col_label", round4("value").alias("value"))
+
+
 def q_schema_contract(spark, sf):
     from cadence.plans.contract import check_source
 
@@ -580,6 +613,28 @@ def _no_data_sql() -> str:
     return f"WITH obs AS ({O.OBS}) " + " UNION ALL ".join(parts)
 
 
+def _report_findings_sql() -> str:
+    return f"""
+    SELECT 'standard' AS report, 'no data' AS kind, rule_ord, property AS subject, CAST(NULL AS BIGINT) AS n FROM ({_no_data_sql()}) d
+    UNION ALL SELECT 'standard', 'no unit rule', {FINDING_RULE[0]}, 'units to {FINDING_RULE[7]}', NULL WHERE EXISTS (SELECT 1 FROM supplier)
+    """
+
+
+def _solution_findings_sql() -> str:
+    units = "count(DISTINCT CASE WHEN l_linenumber = 7 THEN 'crates' ELSE 'units' END)"
+    return f"""
+    SELECT 'source' AS report, 'several units' AS kind, CAST(NULL AS INTEGER) AS rule_ord, 'quantity' AS subject, {units} AS n
+    FROM lineitem JOIN supplier ON l_suppkey = s_suppkey HAVING {units} > 1
+    UNION ALL SELECT 'standard', 'no unit rule', {FINDING_RULE[0]}, 'units to {FINDING_RULE[7]}', NULL WHERE EXISTS (SELECT 1 FROM lineitem)
+    UNION ALL SELECT 'ratings', 'no data', {analog.RATINGS[1][0]}, '{analog.RATINGS[1][3]}', NULL
+    """
+
+
+def _object_name_fallback_sql() -> str:
+    blank = f"(SELECT * REPLACE (CASE WHEN s_suppkey % {analog.BLANK_EVERY} = 0 THEN ' ' ELSE s_name END AS s_name) FROM supplier)"
+    return O.flat_rule_sql(1, names=False).replace("JOIN supplier s", f"JOIN {blank} s")
+
+
 def _registry():
     return {
         "calendar": (q_calendar, f"""
@@ -611,6 +666,12 @@ def _registry():
         "no_data_rules": (q_no_data_rules, _no_data_sql()),
         "daily_events": (q_daily_events, _daily_events_sql()),
         "events_timeslice_report": (q_events_timeslice_report, _events_timeslice_sql()),
+        "report_findings": (q_report_findings, _report_findings_sql()),
+        "solution_findings": (q_solution_findings, _solution_findings_sql()),
+        "solution_flat_block": (q_solution_flat_block, O.flat_rule_sql(1)),
+        "solution_timeslice_report": (q_solution_timeslice_report, f"SELECT rule_ord, ts AS timeslice, object, col_label, value "
+                                                                   f"FROM ({O.ratings_rule_sql(analog.RATINGS[0])}) x"),
+        "object_name_fallback": (q_object_name_fallback, _object_name_fallback_sql()),
         "schema_contract": (q_schema_contract, None),
     }
 

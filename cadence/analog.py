@@ -10,10 +10,13 @@ line numbers, timeslices = return flags plus 'All Periods'.
 from __future__ import annotations
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 from cadence import schemas
 from cadence.sources.rules import EMISSIONS as EMISSIONS_SCHEMA
 from cadence.sources.rules import RuleSet, rows_frame
+from cadence.sources.solution import SolutionSource
+from cadence.sources.star import read_table, supplier_dimension
 
 FUEL = "( 3 ) Thermal Unit Fuel Use (MBTU)"
 
@@ -99,3 +102,34 @@ def ruleset(spark: SparkSession, standard=None, ratings=None, names=True, units=
 
 def rules_by_ord(ords):
     return [r for r in STANDARD if r[0] in set(ords)]
+
+
+# In solution(): every n-th supplier's child name is blanked, so that its parent's name stands in.
+BLANK_EVERY = 7
+
+
+def solution(spark: SparkSession, sf_dir: str, blank_names: bool = False) -> SolutionSource:
+    """The test star's quantities in the solution layout. A series is (supplier, line number,
+    timeslice); as in a solution, 'All Periods' is a series of its own beside each return
+    flag's. Periods are the ship dates, data files the suppliers modulo 4. The series of line
+    number 7 are stored in another unit."""
+    li = read_table(spark, sf_dir, "lineitem").select("l_suppkey", "l_linenumber", "l_returnflag", "l_shipdate", "l_quantity")
+    flags = F.array(F.struct(F.lit(0).alias("id"), F.lit("All Periods").alias("name")),
+                    F.struct(F.ascii("l_returnflag").alias("id"), F.col("l_returnflag").alias("name")))
+    rows = li.withColumn("ts", F.explode(flags)).select(
+        F.col("l_suppkey").cast("long").alias("supplier"), F.col("l_linenumber").cast("int").alias("BandId"),
+        F.col("ts.id").alias("TimesliceId"), F.col("ts.name").alias("TimesliceName"), "l_shipdate", "l_quantity",
+        (F.col("l_suppkey") * 10000 + F.col("l_linenumber") * 1000 + F.col("ts.id")).cast("long").alias("SeriesId"),
+        F.pmod("l_suppkey", F.lit(4)).cast("long").alias("dataFileId"))
+    day = F.datediff("l_shipdate", F.lit("1990-01-01").cast("date"))
+    fact = rows.select("SeriesId", day.alias("PeriodId"), F.col("l_quantity").cast("double").alias("Value"), "dataFileId")
+    child = F.when(F.col("s_suppkey") % BLANK_EVERY == 0, F.lit(" ")).otherwise(F.col("s_name")) if blank_names else F.col("s_name")
+    series = rows.select("SeriesId", "dataFileId", "supplier", "BandId", "TimesliceId", "TimesliceName").distinct()
+    series = series.join(supplier_dimension(spark, sf_dir), F.col("supplier") == F.col("s_suppkey")).select(
+        "SeriesId", F.col("dataFileId").alias("DataFileId"), F.col("SeriesId").alias("KeyId"),
+        child.alias("ChildObjectName"), F.col("n_name").alias("ParentObjectName"), F.lit("Supplier").alias("ChildClassName"),
+        F.lit("Nation").alias("ParentClassName"), F.col("r_name").alias("ChildObjectCategoryName"),
+        F.col("r_name").alias("ParentObjectCategoryName"), F.lit("Quantity").alias("PropertyName"),
+        F.when(F.col("BandId") == 7, "crates").otherwise("units").alias("UnitValue"), "BandId", "TimesliceId", "TimesliceName")
+    period = li.where("l_shipdate IS NOT NULL").select(day.alias("PeriodId"), F.col("l_shipdate").alias("StartDate")).distinct()
+    return SolutionSource(spark, fact, series, period)

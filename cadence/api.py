@@ -12,9 +12,11 @@ from pyspark.sql import functions as F
 
 from cadence.functions.calendar import Calendar, collect_calendar, month_label
 from cadence.functions.numeric import round4
+from cadence.functions.text import DEFAULT_TIMESLICE, norm
 from cadence.operators.blocks import daily_grid, monthly_grid, monthly_values
 from cadence.operators.cells import cell_values, rule_cells
-from cadence.operators.units import unit_factors
+from cadence.operators.select import select_series
+from cadence.operators.units import ambiguous_units, unit_factors
 from cadence.sources.base import Source
 from cadence.sources.rules import Prepared, RuleSet, prepare
 
@@ -74,7 +76,45 @@ def rule_units(source: Source, rs: RuleSet, rule_ords=None, which: str = "standa
 
 
 def no_data_rules(source: Source, rs: RuleSet, which: str = "standard") -> DataFrame:
-    """Rules whose selection finds no series with data: rules ▷ cells."""
+    """Rules whose selection finds no series with data: only the fact's distinct series
+    keys (and timeslices, where the fact has them) meet the selection, no cell is built."""
     p = prepare(rs, which)
-    cells = cells_of(source, p).select("rule_ord").distinct()
-    return p.rules.join(cells, "rule_ord", "left_anti").select("rule_ord", "header", "property")
+    sel = select_series(source, p.sel, p.kinds()).alias("s")
+    obs = source.observations(expand_timeslices=p.needs_timeslices(), properties=p.properties())
+    match = F.lit(True)
+    for k in source.key_cols:
+        match = match & (F.col(f"f.{k}") == F.col(f"s.{k}"))
+    keys = list(source.key_cols)
+    if "timeslice" in source.fact_attrs:
+        keys.append("timeslice")
+        r_ts = F.col("s._r_ts")
+        match = match & (r_ts.isNull() | (r_ts == DEFAULT_TIMESLICE.lower()) | (norm("f.timeslice") == r_ts))
+    fed = sel.join(obs.select(*keys).distinct().alias("f"), match, "left_semi").select("rule_ord")
+    return p.rules.join(fed, "rule_ord", "left_anti").select("rule_ord", "header", "property")
+
+
+def report_findings(source: Source, rs: RuleSet) -> DataFrame:
+    """What a user should know before trusting a report, ordered: (report, kind, rule_ord,
+    subject, n). ``no data``: a rule finds no fact. ``no unit rule``: a rule asks for a unit
+    that no conversion leads to (its factor is 1). ``several units``: a property's series are
+    stored in n units. ``period repeats``: a period id has n rows, so its values count n times."""
+    def rows(df, report, kind, rule, subject, n):
+        return df.select(F.lit(report).alias("report"), F.lit(kind).alias("kind"), rule.cast("int").alias("rule_ord"),
+                         subject.cast("string").alias("subject"), n.cast("long").alias("n"))
+
+    none = F.lit(None)
+    parts = [rows(ambiguous_units(source), "source", "several units", none, F.col("property"), F.col("n_units"))]
+    repeats = source.repeated_periods()
+    if repeats is not None:
+        parts.append(rows(repeats, "source", "period repeats", none, F.col("period"), F.col("n")))
+    for which, table in (("standard", rs.standard), ("ratings", rs.ratings)):
+        if table is None:
+            continue
+        parts.append(rows(no_data_rules(source, rs, which), which, "no data", F.col("rule_ord"), F.col("property"), none))
+        units = rule_units(source, rs, which=which).where("unit_missing AND unit_to IS NOT NULL")
+        change = F.concat(F.coalesce("db_unit", F.lit("?")), F.lit(" to "), F.col("unit_to"))
+        parts.append(rows(units, which, "no unit rule", F.col("rule_ord"), change, none))
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out.orderBy("report", "kind", "rule_ord", "subject")

@@ -66,6 +66,8 @@ def monthly_values(source: Source, p: Prepared, names: DataFrame | None = None,
     if cells is None:
         cells = cell_values(_cells(source, p, False))
     merged = rename_and_merge(cells, names, BLOCK_KEYS + ["rate", "object", "month_start"])
+    if units is None or all(r["unit_to"] is None for r in p.sel_rows):
+        return merged
     return apply_factors(merged, unit_factors(source, p.sel, units))
 
 

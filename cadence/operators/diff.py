@@ -24,7 +24,8 @@ def keyed(cells: DataFrame, row_keys: list[str]) -> DataFrame:
     parts = [F.coalesce(F.col("row_label"), F.lit(""))] + [
         F.coalesce(F.col(c).cast("string"), F.lit("")) for c in row_keys
     ]
-    return cells.select("section", F.concat_ws("|", *parts).alias("row_key"), "col_label", "value", "text")
+    row_key = F.struct(*[p.alias(f"k{i}") for i, p in enumerate(parts)])
+    return cells.select("section", row_key.alias("row_key"), "col_label", "value", "text")
 
 
 def close(gold, gen, atol: float = ATOL, rtol: float = RTOL):
@@ -79,3 +80,12 @@ def diff_sections(golden: DataFrame, generated: DataFrame, atol: float = ATOL, r
 def verdict(findings: DataFrame) -> DataFrame:
     """One row: all sections passed?"""
     return findings.agg(F.bool_and("passed").alias("passed"), F.count("*").alias("n_sections"))
+
+
+def verdicts(findings: DataFrame) -> DataFrame:
+    """(report, passed, n_sections, n_failed) per report and, with a NULL report, over all
+    of them; a comparison without any section has not passed."""
+    return findings.rollup("report").agg(
+        F.coalesce(F.bool_and("passed"), F.lit(False)).alias("passed"), F.count("*").alias("n_sections"),
+        F.count_if(~F.col("passed")).alias("n_failed"),
+    ).orderBy(F.col("report").asc_nulls_last())

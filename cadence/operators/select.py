@@ -51,6 +51,15 @@ def nested_parents(source: Source, rules: DataFrame) -> DataFrame:
     return j.select("rule_ord", F.col("parent_name").alias("parent"), norm("parent_name").alias("_np_parent")).distinct()
 
 
+def _one_timeslice(s: DataFrame) -> DataFrame:
+    """Timeslices are matched by normalised name, so a name is one timeslice however it is
+    spelled and numbered: its lowest id, its first spelling."""
+    t = s.groupBy("_s_ts").agg(F.min("timeslice_id").alias("_ts_id"), F.min(F.trim("timeslice")).alias("_ts_name"))
+    t = t.withColumnRenamed("_s_ts", "_ts_key")
+    j = s.join(t, F.col("_s_ts").eqNullSafe(F.col("_ts_key")), "left")
+    return j.drop("timeslice", "timeslice_id", "_ts_key").withColumnsRenamed({"_ts_id": "timeslice_id", "_ts_name": "timeslice"})
+
+
 def select_series(source: Source, rules: DataFrame, kinds: set | None = None) -> DataFrame:
     """rules (with predicate columns) ⋈ series -> one row per (rule, component,
     parent, series): block keys, series key columns, object and the series-side
@@ -58,10 +67,17 @@ def select_series(source: Source, rules: DataFrame, kinds: set | None = None) ->
     s = _series_norm(source)
     ts_series_side = "timeslice" not in source.fact_attrs
     key_attrs = [c for c in ("band", "timeslice_id", "timeslice") if c not in source.fact_attrs]
-    keep = source.key_cols + ["object"] + key_attrs
+    # A rule that names its timeslice gives it to its cells; the others see what the series have.
+    named = {
+        "timeslice_id": F.when(F.col("_r_ts").isNotNull(), F.lit(0)).otherwise(F.col("timeslice_id")).cast("int"),
+        "timeslice": F.coalesce(F.trim("timeslice_rule"), F.col("timeslice")),
+    }
+    if ts_series_side and (kinds is None or "ratings" in kinds):
+        s = _one_timeslice(s)
+    keep = source.key_cols + ["object"] + [named[c].alias(c) if c in named else c for c in key_attrs]
 
     flat = rules.where(F.col("kind") != "nested").select(
-        *SEL_RULE_COLS, "_r_prop", "_r_class", "_r_cats", "_r_ts", "_r_parent",
+        *SEL_RULE_COLS, "_r_prop", "_r_class", "_r_cats", "_r_ts", "_r_parent", "timeslice_rule",
         F.lit(None).cast("string").alias("parent"),
     )
     # ``prepare`` collected and bounded the rules (MAX_RULES).
@@ -78,7 +94,7 @@ def select_series(source: Source, rules: DataFrame, kinds: set | None = None) ->
     if kinds is not None and "nested" not in kinds:
         return sel_flat
 
-    nested_rules = rules.where(F.col("kind") == "nested").select(*SEL_RULE_COLS, "_r_prop", "_r_ts")
+    nested_rules = rules.where(F.col("kind") == "nested").select(*SEL_RULE_COLS, "_r_prop", "_r_ts", "timeslice_rule")
     np_ = nested_parents(source, rules)
     nr = nested_rules.join(np_, "rule_ord", "inner")
     cond_n = (s._s_prop == nr._r_prop) & (s._s_parent == nr._np_parent)

@@ -15,12 +15,16 @@ from cadence.sources.base import Source
 
 
 def property_units(source: Source) -> DataFrame:
-    """(_u_prop, db_unit, n_units): one stored unit per normalised property."""
+    """(_u_prop, db_unit): one stored unit per normalised property."""
     s = source.series()
-    return s.groupBy(norm("property").alias("_u_prop")).agg(
-        F.trim(F.min_by("unit", "key_id")).alias("db_unit"),
-        F.count_distinct("unit").alias("n_units"),
-    )
+    return s.groupBy(norm("property").alias("_u_prop")).agg(F.trim(F.min_by("unit", "key_id")).alias("db_unit"))
+
+
+def ambiguous_units(source: Source) -> DataFrame:
+    """(property, n_units): properties whose series carry more than one stored unit."""
+    s = source.series().where(F.col("unit").isNotNull())
+    return (s.groupBy(norm("property").alias("property")).agg(F.count_distinct(norm("unit")).alias("n_units"))
+            .where("n_units > 1"))
 
 
 def unit_factors(source: Source, sel_rules: DataFrame, units: DataFrame | None) -> DataFrame:

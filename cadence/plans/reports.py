@@ -7,7 +7,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cadence.api import MONTHLY_KINDS, calendar_of
+from cadence.api import MONTHLY_KINDS, calendar_of, report_findings
 from cadence.functions.calendar import Calendar
 from cadence.operators.blocks import daily_grid, monthly_grid
 from cadence.operators.cells import cell_values, rule_cells
@@ -69,8 +69,8 @@ def write_report(cells: DataFrame, out_dir: str, name: str) -> None:
 
 
 def run(source: Source, rs: RuleSet, out_dir: str, golden_dir: str | None = None) -> dict:
-    """Both reports (when their rules are given) -> ``out_dir``; with
-    ``golden_dir``, validate against it and raise when a section fails."""
+    """Both reports (when their rules are given) and the findings on source and rules ->
+    ``out_dir``; with ``golden_dir``, validate against it and raise when a section fails."""
     cal = calendar_of(source)
     written = {}
     if rs.standard is not None:
@@ -79,6 +79,7 @@ def run(source: Source, rs: RuleSet, out_dir: str, golden_dir: str | None = None
     if rs.ratings is not None:
         write_report(timeslice_report(source, rs, cal), out_dir, "Ratings_Report")
         written["ratings"] = f"{out_dir}/Ratings_Report_cells"
+    report_findings(source, rs).write.mode("overwrite").json(f"{out_dir.rstrip('/')}/report_findings")
     if golden_dir:
         names = tuple(n for n, k in (("Standard_Report", "standard"), ("Ratings_Report", "ratings")) if k in written)
         findings = validate(source.spark, golden_dir, out_dir, out_dir, names)
@@ -118,9 +119,7 @@ def validate(spark, golden_dir: str, generated_dir: str, out_dir: str | None = N
     """Golden vs generated for each report: findings per section
     (report, section, presence, shapes, mismatches, status); written as JSON to
     ``out_dir`` when given. The caller fails the run when any ``passed`` is false."""
-    from pyspark.sql import functions as F
-
-    from cadence.operators.diff import diff_sections, keyed
+    from cadence.operators.diff import diff_sections, keyed, verdicts
 
     parts = []
     for name in reports:
@@ -139,6 +138,10 @@ def validate(spark, golden_dir: str, generated_dir: str, out_dir: str | None = N
     findings = parts[0]
     for p_ in parts[1:]:
         findings = findings.unionByName(p_)
+    findings = findings.orderBy("report", "section")
     if out_dir:
-        findings.write.mode("overwrite").json(f"{out_dir.rstrip('/')}/validation_findings")
+        path = f"{out_dir.rstrip('/')}/validation_findings"
+        findings.write.mode("overwrite").json(path)
+        findings = spark.read.schema(findings.schema).json(path).orderBy("report", "section")
+        verdicts(findings).write.mode("overwrite").json(f"{out_dir.rstrip('/')}/validation_verdicts")
     return findings

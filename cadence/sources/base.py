@@ -33,3 +33,8 @@ class Source:
     def period_starts(self) -> DataFrame:  # pragma: no cover
         """A relation with a ``period_start`` column covering the horizon."""
         raise NotImplementedError
+
+    def repeated_periods(self) -> DataFrame | None:
+        """(period, n): periods that the fact joins more than once; None where there is no
+        period table."""
+        return None

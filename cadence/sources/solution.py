@@ -65,6 +65,9 @@ class SolutionSource(Source):
         )
         return d.join(self._periods(), "PeriodId", "inner").drop("PeriodId")
 
+    def repeated_periods(self) -> DataFrame:
+        return self._period.groupBy(F.col("PeriodId").alias("period")).agg(F.count("*").alias("n")).where("n > 1")
+
     def period_starts(self) -> DataFrame:
         return self._period.select(F.col("StartDate").cast("timestamp").alias("period_start"))
 
