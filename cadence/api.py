@@ -58,10 +58,12 @@ def metric_matrix(source: Source, rs: RuleSet, rule_ord: int, cal: Calendar | No
 
 
 def monthly_block(source: Source, rs: RuleSet, rule_ords=None, which: str = "standard",
-                  cal: Calendar | None = None, with_total_row: bool = True) -> DataFrame:
+                  cal: Calendar | None = None, with_total_row: bool = True, band_merge: str = "sum") -> DataFrame:
+    """Monthly grids of the selected rules. ``band_merge`` says how the band values of a rate
+    become one: their sum (the default) or their mean."""
     cal = cal or calendar_of(source)
     p = prepare(rs, which, rule_ords).only(MONTHLY_KINDS)
-    return monthly_grid(source, p, cal, with_total_row=with_total_row)
+    return monthly_grid(source, p, cal, with_total_row=with_total_row, band_merge=band_merge)
 
 
 def daily_block(source: Source, rs: RuleSet, rule_ords=None, cal: Calendar | None = None) -> DataFrame:
@@ -79,7 +81,7 @@ def no_data_rules(source: Source, rs: RuleSet, which: str = "standard") -> DataF
     """Rules whose selection finds no series with data: only the fact's distinct series
     keys (and timeslices, where the fact has them) meet the selection, no cell is built."""
     p = prepare(rs, which)
-    sel = select_series(source, p.sel, p.kinds()).alias("s")
+    sel = select_series(source, p.sel, p.kinds(), p.properties()).alias("s")
     obs = source.observations(expand_timeslices=p.needs_timeslices(), properties=p.properties())
     match = F.lit(True)
     for k in source.key_cols:

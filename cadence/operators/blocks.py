@@ -59,13 +59,13 @@ def _cells(source: Source, p: Prepared, daily: bool) -> DataFrame:
 
 
 def monthly_values(source: Source, p: Prepared, names: DataFrame | None = None,
-                   units: DataFrame | None = None, cells: DataFrame | None = None) -> DataFrame:
+                   units: DataFrame | None = None, cells: DataFrame | None = None, band_merge: str = "sum") -> DataFrame:
     """(block keys, rate, object, month_start, value): per rule and object after
     renaming, band merge and unit scaling — sparse, before completion.
     ``cells`` (optional): clean cell values already computed for ``p``."""
     if cells is None:
         cells = cell_values(_cells(source, p, False))
-    merged = rename_and_merge(cells, names, BLOCK_KEYS + ["rate", "object", "month_start"])
+    merged = rename_and_merge(cells, names, BLOCK_KEYS + ["rate", "object", "month_start"], band_merge=band_merge)
     if units is None or all(r["unit_to"] is None for r in p.sel_rows):
         return merged
     return apply_factors(merged, unit_factors(source, p.sel, units))
@@ -84,12 +84,12 @@ def _grid_cols(df: DataFrame, row_kind: str, band=None, day=None, row_idx=None)
 
 
 def monthly_grid(source: Source, p: Prepared, cal: Calendar, with_total_row: bool = True,
-                 cells: DataFrame | None = None) -> DataFrame:
+                 cells: DataFrame | None = None, band_merge: str = "sum") -> DataFrame:
     """``cells`` (optional): this grid's clean cells, already cut by the caller."""
     if cells is None:
-        vals = cut(monthly_values(source, p, p.names, p.units))
+        vals = cut(monthly_values(source, p, p.names, p.units, band_merge=band_merge))
     else:
-        vals = monthly_values(source, p, p.names, p.units, cells=cells)
+        vals = monthly_values(source, p, p.names, p.units, cells=cells, band_merge=band_merge)
     row_keys = BLOCK_KEYS + ["rate", "object"]
     sparse = with_row_totals(vals, row_keys)
     cols = column_list(cal)

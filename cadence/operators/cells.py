@@ -42,8 +42,8 @@ def rule_cells(source: Source, rules: DataFrame, daily: bool | None = False,
     is set only on daily rules' cells (NULL for the others).
     ``props``, ``expand`` and ``kinds`` describe the (collected) rules; when
     absent they are read from ``rules``."""
-    sel = select_series(source, rules, kinds)
     props = _rule_properties(rules) if props is None else props
+    sel = select_series(source, rules, kinds, props)
     expand = _needs_timeslices(rules) if expand is None else expand
     obs = source.observations(expand_timeslices=expand, properties=props)
     wanted = sel.groupBy(*source.key_cols).agg(F.max(F.col("kind") == "daily").alias("_daily"))

@@ -18,7 +18,13 @@ def rename(df: DataFrame, names: DataFrame | None, col: str = "object") -> DataF
     )
 
 
-def rename_and_merge(df: DataFrame, names: DataFrame | None, keys: list[str], value: str = "value") -> DataFrame:
+def rename_and_merge(df: DataFrame, names: DataFrame | None, keys: list[str], value: str = "value",
+                     band_merge: str = "sum") -> DataFrame:
     """Rename, then sum ``value`` over ``keys`` (which exclude what is merged away,
-    e.g. the band)."""
-    return rename(df, names).groupBy(*keys).agg(F.sum(value).alias(value))
+    e.g. the band); ``band_merge='mean'`` averages the rows of rates instead."""
+    if band_merge not in ("sum", "mean"):
+        raise ValueError(f"band_merge is 'sum' or 'mean', not {band_merge!r}")
+    merged = F.sum(value)
+    if band_merge == "mean":
+        merged = F.when(F.col("rate"), F.avg(value)).otherwise(merged)
+    return rename(df, names).groupBy(*keys).agg(merged.alias(value))

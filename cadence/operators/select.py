@@ -17,8 +17,12 @@ from cadence.sources.base import Source
 SEL_RULE_COLS = ["rule_ord", "component", "rate", "kind"]
 
 
-def _series_norm(source: Source) -> DataFrame:
+def _series_norm(source: Source, props: list[str] | None) -> DataFrame:
     s = source.series()
+    if props is not None:
+        # known before any join: a predicate on the series is what lets Catalyst prune the
+        # fact's partitions by the series that are left
+        s = s.where(norm("property").isin([norm(F.lit(p)) for p in props]))
     cols = [
         norm("property").alias("_s_prop"),
         norm("child_class").alias("_s_class"),
@@ -60,11 +64,11 @@ def _one_timeslice(s: DataFrame) -> DataFrame:
     return j.drop("timeslice", "timeslice_id", "_ts_key").withColumnsRenamed({"_ts_id": "timeslice_id", "_ts_name": "timeslice"})
 
 
-def select_series(source: Source, rules: DataFrame, kinds: set | None = None) -> DataFrame:
+def select_series(source: Source, rules: DataFrame, kinds: set | None = None, props: list[str] | None = None) -> DataFrame:
     """rules (with predicate columns) ⋈ series -> one row per (rule, component,
     parent, series): block keys, series key columns, object and the series-side
     attributes; ``_r_ts`` is kept when the timeslice is matched on the fact side."""
-    s = _series_norm(source)
+    s = _series_norm(source, props)
     ts_series_side = "timeslice" not in source.fact_attrs
     key_attrs = [c for c in ("band", "timeslice_id", "timeslice") if c not in source.fact_attrs]
     # A rule that names its timeslice gives it to its cells; the others see what the series have.

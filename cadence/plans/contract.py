@@ -6,7 +6,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from cadence import schemas
 from cadence.plans.sizing import local_frame
 from cadence.sources.base import Source
 
@@ -18,13 +17,6 @@ SERIES_CONTRACT = {
 }
 OBSERVATION_CONTRACT = {"period_start": "timestamp", "value": "double"}
 
-# Solution-layout tables by category, in their declared types.
-REGISTRY = {
-    "data": schemas.FACT,
-    "fullkeyinfo": schemas.FULLKEYINFO,
-    "period": schemas.PERIOD,
-}
-
 FINDINGS = T.StructType([
     T.StructField("relation", T.StringType()),
     T.StructField("column", T.StringType()),
@@ -59,15 +51,3 @@ def check_source(source: Source) -> DataFrame:
     obs_expected.update({k: v for k, v in SERIES_CONTRACT.items() if k in fact_side})
     rows += _compare("observations", source.observations(), obs_expected)
     return local_frame(spark, rows, FINDINGS)
-
-
-def check_tables(spark: SparkSession, tables: dict) -> DataFrame:
-    """Findings for solution tables {category: DataFrame} against the registry."""
-    rows = []
-    for name, df in tables.items():
-        reg = REGISTRY.get(name)
-        if reg is None:
-            rows.append((name, None, None, None, "unknown category"))
-            continue
-        rows += _compare(name, df, {f.name: f.dataType.simpleString() for f in reg.fields})
-    return local_frame(spark, rows, FINDINGS)

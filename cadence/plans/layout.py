@@ -20,11 +20,6 @@ TOTAL_ROW_LABEL = "Total"
 
 SUB_TITLE, SUB_HEADER, SUB_DATA, SUB_COMPONENT, SUB_TOTAL, SUB_SPACER = 0, 1, 2, 3, 4, 5
 
-CELL_COLS = [
-    "report", "section_ord", "section", "rule_ord", "s_parent", "s_group", "s_sub", "s_obj", "s_band", "s_day",
-    "s_comp", "row_kind", "row_label", "col_ord", "col_label", "value", "text",
-]
-
 
 def _cells(df: DataFrame, report: str, section: Column, section_ord: Column, *, parent=None, group=None, sub,
            obj=None, band=None, day=None, comp=None, row_kind, row_label, col_ord=None, col_label=None, value=None,

@@ -29,7 +29,8 @@ SERIES_ATTRS = [
 BLOCK_KEYS = ["rule_ord", "component", "timeslice_id", "timeslice", "parent"]
 
 # ---------------------------------------------------------------------------
-# Solution layout (the simulator's Parquet export).
+# Solution layout (the simulator's Parquet export). The column names and
+# types here and in the rule tables below are those of the data.
 # ---------------------------------------------------------------------------
 FACT = T.StructType([
     T.StructField("SeriesId", T.LongType()),
@@ -105,27 +106,3 @@ NAME_MAP = T.StructType([
     T.StructField("source_name", T.StringType()),
     T.StructField("report_name", T.StringType()),
 ])
-
-# ---------------------------------------------------------------------------
-# Report cells: the long table every report is built as.
-# ---------------------------------------------------------------------------
-REPORT_CELLS = T.StructType([
-    T.StructField("report", T.StringType()),
-    T.StructField("section_ord", T.LongType()),
-    T.StructField("section", T.StringType()),
-    T.StructField("rule_ord", T.IntegerType()),
-    # row sort keys: parent, object group, kind of row, object, band, day, component
-    T.StructField("s_parent", T.StringType()),
-    T.StructField("s_group", T.StringType()),
-    T.StructField("s_sub", T.IntegerType()),
-    T.StructField("s_obj", T.StringType()),
-    T.StructField("s_band", T.IntegerType()),
-    T.StructField("s_day", T.IntegerType()),
-    T.StructField("s_comp", T.IntegerType()),
-    T.StructField("row_kind", T.StringType()),
-    T.StructField("row_label", T.StringType()),
-    T.StructField("col_ord", T.IntegerType()),
-    T.StructField("col_label", T.StringType()),
-    T.StructField("value", T.DoubleType()),
-    T.StructField("text", T.StringType()),
-])

@@ -79,4 +79,20 @@ def test_run_and_validate(spark, rule_dir):
     text_only = f"{urlparse(checkpoint_dir(spark)).path}/gold-{uuid.uuid4().hex}"
     shutil.copytree(f"{local_out}/Ratings_Report_text", f"{text_only}/Ratings_Report_text")
     g = validate(spark, text_only, out, reports=("Ratings_Report",))
-    assert g.count() == 4
+    assert g.count() == 4 and g.where("NOT passed").isEmpty()
+
+
+def test_run_writes_findings_and_verdicts(spark, rule_dir):
+    src = lineitem_source(spark, SF_SMALL)
+    rs = load_rules(spark, rule_dir, name_columns=("asset", "asset_in_report"))
+    rs.standard = None
+    gold, out = (f"{checkpoint_dir(spark)}/{n}-{uuid.uuid4().hex}" for n in ("gold", "out"))
+    run(src, rs, gold)
+    run(src, rs, out, golden_dir=gold)
+    verdicts = [tuple(r) for r in spark.read.json(f"{out}/validation_verdicts").select("report", "passed", "n_failed").collect()]
+    assert sorted(verdicts, key=str) == [("Ratings_Report", True, 0), (None, True, 0)]
+    cells = spark.read.parquet(f"{out}/Ratings_Report_cells")
+    cells.where("section != 'R'").write.parquet(f"{out}-cut/Ratings_Report_cells")
+    f = validate(spark, gold, f"{out}-cut", f"{out}-cut", reports=("Ratings_Report",))
+    assert [(r["section"], r["passed"]) for r in f.collect()] == [("A", True), ("All Periods", True), ("N", True), ("R", False)]
+    assert {r["passed"] for r in spark.read.json(f"{out}-cut/validation_verdicts").collect()} == {False}

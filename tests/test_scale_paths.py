@@ -8,9 +8,10 @@ from pyspark.sql import functions as F
 
 from cadence import analog
 from cadence.api import monthly_block
+from cadence.operators.cells import rule_cells
 from cadence.plans.reports import read_report, timeslice_report, write_report
 from cadence.session import checkpoint_dir
-from cadence.sources.rules import RULE_FILES, STD_COLUMNS, load_rules
+from cadence.sources.rules import RULE_FILES, STD_COLUMNS, load_rules, prepare
 from cadence.sources.solution import open_solution
 from cadence.sources.star import lineitem_source
 from tests import fixture as fx
@@ -63,7 +64,13 @@ def test_open_solution_from_parquet_layout(spark):
     src = open_solution(spark, base)
     assert dict(src._fact.dtypes)["dataFileId"] == "bigint"
     rule = (1, "( 1 ) Summary", "Generator", "All", "Generation", "monthly", False, None)
-    g = monthly_block(src, fx.ruleset(spark, [rule]))
+    rs = fx.ruleset(spark, [rule])
+    p = prepare(rs)
+    plan = rule_cells(src, p.sel, props=p.properties(), expand=False, kinds=p.kinds())._jdf.queryExecution()
+    assert "dynamicpruning" in plan.optimizedPlan().toString()
+    # the fact is aggregated below the join with the rules: two aggregates above its scan
+    assert plan.optimizedPlan().toString().count("Aggregate [") >= 3
+    g = monthly_block(src, rs)
     got = {}
     for r in g.collect():
         label = "Total" if r["row_kind"] == "total" else r["object"]
