@@ -3,8 +3,8 @@
 Lower-cased words (runs of letters and digits; any byte above 0x7F counts as
 one) are hashed into two tables of learned vectors, so that a rare word that
 falls on another's entry in one table differs in the other. Filters over one,
-two and three words, the largest value of each over the document, and one
-logistic output follow. All is fitted in numpy by stochastic gradients on most
+two and three words, the largest value of each over the windows that begin at the
+document's own words, and one logistic output follow. All is fitted in numpy by stochastic gradients on most
 of the sample of :mod:`cadence.llm.labelled`.
 
 On the rest of the sample each language gets the threshold with the best F1; the
@@ -73,10 +73,12 @@ def languages(hashes: np.ndarray, rows: np.ndarray, n: int) -> np.ndarray:
 
 
 def padded(hashes: np.ndarray, rows: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes with PAD zeros behind each text's, and where each text starts."""
-    starts = np.concatenate([[0], np.cumsum(np.bincount(rows, minlength=n) + PAD)])
+    """Hashes with PAD zeros behind each text's, and where each text starts. A text
+    without words has one zero more, as its only word."""
+    count = np.bincount(rows, minlength=n)
+    starts = np.concatenate([[0], np.cumsum(np.maximum(count, 1) + PAD)])
     out = np.zeros(starts[-1], np.uint64)
-    out[np.arange(len(hashes)) + rows * PAD] = hashes
+    out[np.arange(len(hashes)) + (starts[:-1] - np.cumsum(count) + count)[rows]] = hashes
     return out, starts
 
 
@@ -106,6 +108,7 @@ class Model:
         vectors and places it comes from, if asked for."""
         a, b = entries(hashes)
         x = np.concatenate([self.tables[0][a], self.tables[1][b]], axis=1)
+        pads = (starts[1:, None] - 1 - np.arange(PAD)).ravel()
         top, places = [], []
         for w, f, bias in zip(WIDTHS, self.filters, self.bias):
             m = len(x) - w + 1
@@ -113,6 +116,7 @@ class Model:
             value = x[:m] @ f[:d]
             for j in range(1, w):
                 value += x[j : j + m] @ f[j * d : (j + 1) * d]
+            value[pads[pads < m]] = -np.inf  # windows that begin there reach into the next text
             best = np.maximum.reduceat(value, starts[:-1], axis=0)
             top.append(np.maximum(best + bias, 0))
             if where:

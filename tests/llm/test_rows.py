@@ -131,6 +131,29 @@ def test_language_from_function_words():
     assert toxicity.languages(h, r, 5).tolist() == [0, 1, 2, 3, 4]
 
 
+def text_arrays(texts):
+    raw = [t.encode() for t in texts]
+    return np.frombuffer(b"".join(raw), np.uint8), np.cumsum([0] + [len(x) for x in raw])
+
+
+def test_toxicity_scores_do_not_depend_on_neighbours():
+    model = toxicity.Model()
+    texts = ["a clean one", "", "grok blarg grok", "?!", "x", "two words", "\u00e9t\u00e9 " * 40, "last of all", " \t"]
+    alone = [model.scores(*text_arrays([t]))[0] for t in texts]
+    rng = np.random.default_rng(6)
+    for _ in range(20):
+        order = rng.permutation(len(texts))
+        assert np.allclose(model.scores(*text_arrays([texts[i] for i in order])), [alone[i] for i in order], atol=1e-6)
+    assert np.allclose(model.scores(*text_arrays(["", "?!"])), alone[1], atol=1e-6)
+
+
+def test_toxicity_learns_from_its_own_windows():
+    words = [toxicity.words_of(*text_arrays([t]))[0] for t in ["grok bad", "fine day", "", "?"] * 8]
+    model = toxicity.Model()
+    model.learn(words, np.array([1, 0, 0, 0] * 8))
+    assert model.scores(*text_arrays(["grok bad", "fine day", "", "grok bad"])).round().tolist() == [1, 0, 0, 1]
+
+
 def test_training_sample_keeps_folds_apart(spark, docs, labels):
     rows, _ = labelled.sample(docs.withColumn("id", F.col("doc_id")), labels, "quality")
     assert rows.count() > 20
