@@ -25,11 +25,16 @@ def held_out(doc_id="doc_id"):
     return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % FOLDS == 0, F.lit(False))
 
 
+def training(labels: DataFrame, label: str) -> DataFrame:
+    """(_id, _label) of all training labels. A doc_id with several labels takes the least."""
+    known = labels.where(F.col("doc_id").isNotNull() & F.col(label).isin(0, 1) & ~held_out())
+    return known.groupBy(F.col("doc_id").cast("long").alias("_id")).agg(F.min(label).cast("int").alias("_label"))
+
+
 def sample(docs: DataFrame, labels: DataFrame, label: str, half: int = HALF) -> tuple[DataFrame, float]:
     """(text, label) of the sample, and the log odds of label 1 over all training
-    labels. A doc_id with several labels takes the least."""
-    known = labels.where(F.col("doc_id").isNotNull() & F.col(label).isin(0, 1) & ~held_out())
-    known = known.groupBy(F.col("doc_id").cast("long").alias("_id")).agg(F.min(label).cast("int").alias("_label"))
+    labels."""
+    known = training(labels, label)
     n = {int(r["_label"]): r["n"] for r in known.groupBy("_label").agg(F.count("*").alias("n")).collect()}
     odds = math.log((n.get(1, 0) + 1) / (n.get(0, 0) + 1))
     chosen = None

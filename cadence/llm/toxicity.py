@@ -7,10 +7,13 @@ two and three words, the largest value of each over the windows that begin at th
 document's own words, and one logistic output follow. All is fitted in numpy by stochastic gradients on most
 of the sample of :mod:`cadence.llm.labelled`.
 
-On the rest of the sample each language gets the threshold with the best F1; the
-score is shifted so that the threshold of the text's language becomes one half.
-The language is told from the text, by its function words; a language with
-few rows to calibrate on, or none, takes the threshold of all.
+All labelled training rows that were not fitted on are then scored and counted
+by language, score bin and label; from these counts each language gets the
+threshold with the best F1, and the score is shifted so that the threshold of the
+text's language becomes one half. The language is told from the text, by its
+function words (texts without one of ``FUNCTION_WORDS`` count as one more language); a
+language with fewer than ``LEAST_ROWS`` such rows of a label takes the threshold
+of all.
 
 Defined cases: null or empty text scores like a text of unknown words. Rows
 that repeat a doc_id, or have a null one, are scored on their own. Without
@@ -26,12 +29,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cadence.llm import labelled
-from cadence.llm.tables import byte_rows, free_name, read
+from cadence.llm.tables import byte_rows, free_name, read, row_runs, thinned
 from cadence.llm.words import word_hashes
 
 BITS, HALF_DIM, FILTERS, WIDTHS = 17, 8, 12, (1, 2, 3)
 EPOCHS, BATCH, RATE, CALIBRATION, LEAST_ROWS = 8, 16, 0.02, 5, 40
 LEAST_TEXTS, DROP, DECAY = 4, 0.3, 3e-3
+#: Width of the bins that logits are counted in, and the last bin on either side.
+BIN, LAST_BIN = 1 / 256, 1 << 14
 PAD = max(WIDTHS) - 1
 GAP = np.ones(256, bool)
 GAP[0x80:] = False
@@ -187,21 +192,23 @@ class Model:
                     step(f"table{t}", self.tables[t], total + DECAY * self.tables[t][rows], rate, rows)
         self.constant = float(constant[0])
 
-    def calibrate(self, logits: np.ndarray, truth: np.ndarray, lang: np.ndarray, weight: float) -> None:
-        """The threshold with the best F1 for all and for each language; rows of
-        label 0 stand for ``weight`` rows each."""
+    def calibrate(self, lang: np.ndarray, bins: np.ndarray, truth: np.ndarray, n: np.ndarray, weight: float) -> None:
+        """The threshold with the best F1 for all and for each language, from the
+        numbers ``n`` of rows by language, bin and label; rows of label 0 stand for
+        ``weight`` rows each."""
 
-        def best(z, y):
-            cuts = np.unique(z)
-            cuts = (cuts[1:] + cuts[:-1]) / 2
-            got = [(2 * (hit := (y[z > c] == 1).sum()) / (hit + (y[z > c] == 0).sum() * weight + (y == 1).sum()), c) for c in cuts]
-            return max(got)[1] if got else 0.0
+        def best(own):
+            at, of = np.unique(bins[own], return_inverse=True)
+            one, zero = (np.bincount(of, n[own] * (truth[own] == k), len(at)) for k in (1, 0))
+            hit, miss = (x.sum() - np.cumsum(x)[:-1] for x in (one, zero))
+            cuts = (at[1:] + at[:-1] + 1) / 2 * BIN
+            return float(max(zip(2 * hit / (hit + miss * weight + one.sum()), cuts))[1]) if len(cuts) else 0.0
 
-        everywhere = best(logits, truth)
+        everywhere = best(np.ones(len(n), bool))
         for k in range(len(self.thresholds)):
             own = lang == k
-            enough = (truth[own] == 1).sum() >= LEAST_ROWS and (truth[own] == 0).sum() >= LEAST_ROWS
-            self.thresholds[k] = best(logits[own], truth[own]) if enough else everywhere
+            enough = n[own & (truth == 1)].sum() >= LEAST_ROWS and n[own & (truth == 0)].sum() >= LEAST_ROWS
+            self.thresholds[k] = best(own) if enough else everywhere
 
     def scores(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         n = len(offsets) - 1
@@ -216,28 +223,52 @@ def _read_words(batches):
         hashes, rows = words_of(data, off)
         cuts = np.searchsorted(rows, np.arange(batch.num_rows + 1))
         lists = pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(hashes.view(np.int64)))
-        lang = languages(hashes, rows, batch.num_rows)
-        yield pa.RecordBatch.from_arrays([batch.column("_label"), batch.column("_order"), pa.array(lang, pa.int32()), lists], names=["label", "order", "lang", "words"])
+        yield pa.RecordBatch.from_arrays([batch.column("_label"), batch.column("_order"), lists], names=["label", "order", "words"])
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", half: int = labelled.HALF) -> Model | float:
     """A calibrated model; or, without labels of both classes, the log odds."""
     rows, odds = labelled.sample(docs, labels, label, half)
-    rows = rows.mapInArrow(_read_words, "label int, order long, lang int, words array<long>").toArrow().sort_by("order")
-    truth, lang = np.asarray(rows.column("label")), np.asarray(rows.column("lang"))
-    held = np.arange(len(truth)) % CALIBRATION == 0
+    rows = rows.mapInArrow(_read_words, "label int, order long, words array<long>").toArrow().sort_by("order")
+    truth, order = np.asarray(rows.column("label")), np.asarray(rows.column("order"))
+    held = np.isin(order, np.unique(order)[::CALIBRATION])
     if len(set(truth[~held].tolist())) < 2:
         return odds
     texts = [np.asarray(x.values).view(np.uint64) for x in rows.column("words")]
     model = Model()
     model.learn([t for t, h in zip(texts, held) if not h], truth[~held])
-    if len(set(truth[held].tolist())) == 2:
-        z = np.concatenate([model.logits(*padded(t, np.zeros(len(t), np.int64), 1)) for t in texts])
-        share = truth.mean()
-        model.calibrate(z[held], truth[held], lang[held], float(np.exp(-odds) * share / (1 - share)))
+    lang, bins, truth, n = unfitted(model, docs, labels, label, np.unique(order[~held]))
+    if len(set(truth.tolist())) == 2:
+        model.calibrate(lang, bins, truth, n, float(np.exp(-odds) * n[truth == 1].sum() / n[truth == 0].sum()))
     return model
 
 
+def unfitted(model: Model, docs: DataFrame, labels: DataFrame, label: str, fitted: np.ndarray) -> np.ndarray:
+    """Language, bin of the logit, label and number of all labelled training rows but
+    those fitted on, which ``fitted`` has the hashes of. Texts are scored where they
+    lie; only numbers are shuffled, and only counts come to the driver."""
+    known = labelled.training(labels, label)
+    rows = thinned(docs.select(F.col("doc_id").cast("long").alias("_id"), "text"), "_id", known.select("_id"))
+    sampled = F.coalesce(F.octet_length("text").between(1, labelled.MOST_BYTES), F.lit(False))
+    shared = docs.sparkSession.sparkContext.broadcast((model, fitted))  # of a fixed size
+
+    def score(batches):
+        model, fitted = shared.value
+        for batch in batches:
+            batch = batch.filter(pa.array(~(np.asarray(batch.column("sampled")) & np.isin(np.asarray(batch.column("order")), fitted))))
+            data, off = byte_rows(batch.column("text"))
+            for a, b in row_runs(off):
+                hashes, of = words_of(data[off[a] : off[b]], off[a : b + 1] - off[a])
+                bins = np.clip(np.floor(model.logits(*padded(hashes, of, b - a)) / BIN), -LAST_BIN, LAST_BIN).astype(np.int32)
+                lang = languages(hashes, of, b - a).astype(np.int32)
+                yield pa.RecordBatch.from_arrays([batch.column("_id").slice(a, b - a), pa.array(lang), pa.array(bins)], names=["_id", "lang", "bin"])
+
+    found = rows.select("_id", "text", sampled.alias("sampled"), F.xxhash64("_id").alias("order")).mapInArrow(score, "_id long, lang int, bin int")
+    counts = found.join(known, "_id").groupBy("lang", "bin", "_label").agg(F.count("*").alias("n")).collect()
+    shared.unpersist()
+    return np.array([tuple(r) for r in counts], np.int64).reshape(-1, 4).T
+
+
 def with_toxicity(docs: DataFrame, labels: DataFrame, name: str) -> DataFrame:
     """``docs`` with the score, between 0 and 1, as column ``name``."""
     model = fit(docs, labels)

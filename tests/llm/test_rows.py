@@ -154,6 +154,36 @@ def test_toxicity_learns_from_its_own_windows():
     assert model.scores(*text_arrays(["grok bad", "fine day", "", "grok bad"])).round().tolist() == [1, 0, 0, 1]
 
 
+def test_thresholds_come_from_all_unfitted_rows(spark, monkeypatch):
+    ship_code(spark)
+    rng = np.random.default_rng(12)
+    rows = []
+    for i in range(1600):
+        lang, toxic = i % 4, i // 4 % 2
+        said = list(toxicity.FUNCTION_WORDS.values())[lang].split()[:6] + [f"w{x}" for x in rng.integers(0, 40, 12)]
+        said += ["grok"] * (toxic or lang == 3) + ["blarg"] * (toxic and lang == 3)  # a milder word in one language
+        rows.append((i, " ".join(rng.permutation(said)), toxic))
+    rows += [(2000 + i, "the of " + "y" * 70000 + " grok" * (i % 2), i % 2) for i in range(30)]  # too long to be fitted on
+    both = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    seen = []
+    calibrate = toxicity.Model.calibrate
+    monkeypatch.setattr(toxicity.Model, "calibrate", lambda self, *a: (seen.append(a), calibrate(self, *a))[1])
+    model = toxicity.fit(both.select("doc_id", "text"), both.select("doc_id", "toxic"), half=80)
+    train = {r["doc_id"] for r in both.where(~labelled.held_out()).collect()}
+    sample = sorted(r["_order"] for r in labelled.sample(both.select("doc_id", "text"), both.select("doc_id", "toxic"), "toxic", 80)[0].collect())
+    fitted = set(sample) - set(sample[:: toxicity.CALIBRATION])
+    order = {r["doc_id"]: r["h"] for r in both.select("doc_id", F.xxhash64("doc_id").alias("h")).collect()}
+    rest = [r for r in rows if r[0] in train and order[r[0]] not in fitted]
+    assert len(rest) > 1000 and seen[0][3].sum() == len(rest)
+    data, off = text_arrays([t for _, t, _ in rest])
+    hashes, of = toxicity.words_of(data, off)
+    z, lang, truth = model.logits(*toxicity.padded(hashes, of, len(rest))), toxicity.languages(hashes, of, len(rest)), np.array([y for _, _, y in rest])
+    f1 = lambda cut, own: 2 * ((z > cut) & own & (truth == 1)).sum() / (((z > cut) & own).sum() + (own & (truth == 1)).sum())
+    for k in range(4):
+        assert f1(model.thresholds[k], lang == k) >= max(f1(c, lang == k) for c in z[lang == k]) - 0.02
+    assert len(set(model.thresholds[:4])) == 4
+
+
 def test_training_sample_keeps_folds_apart(spark, docs, labels):
     rows, _ = labelled.sample(docs.withColumn("id", F.col("doc_id")), labels, "quality")
     assert rows.count() > 20
