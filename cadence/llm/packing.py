@@ -98,7 +98,7 @@ def _placed(batches):
 class Splitter:
     """Token ids of many texts at once, by the tokenizers library."""
 
-    LATIN = 0x250
+    LATIN = 0x280  # all that lead bytes up to 0xC9 open
     CONTRACTIONS = ("s", "t", "re", "ve", "m", "ll", "d")
 
     def __init__(self, path_or_json: str):

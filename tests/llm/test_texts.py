@@ -172,6 +172,16 @@ def test_split_pieces_are_the_librarys():
     assert got == [np.array(split.library.encode(t, add_special_tokens=False).ids, "<u2").tobytes() for t in texts]
 
 
+def test_split_at_the_end_of_the_latin_blocks():
+    split = packing.Splitter(open(public_tokenizers.path(packing.TOKENIZER), encoding="utf-8").read())
+    rng = np.random.default_rng(10)
+    alphabet = list("ab1 '.\n") + [chr(c) for c in (0x24F, 0x250, 0x259, 0x27F, 0x280, 0x294, 0x2B0)]
+    texts = ["".join(rng.choice(alphabet, rng.integers(0, 12))) for _ in range(2000)] + ["g\u0259l\u0259c\u0259k", *(a + chr(c) + b for c in range(0x240, 0x290) for a, b in ((" ", "a"), ("1", "'s")))]
+    raw = [t.encode() for t in texts]
+    got = split.ids(np.frombuffer(b"".join(raw), np.uint8), np.cumsum([0] + [len(r) for r in raw]))
+    assert got == [np.array(split.library.encode(t, add_special_tokens=False).ids, "<u2").tobytes() for t in texts]
+
+
 def test_bpe_round_trip(spark, docs, texts, empty):
     ship_code(spark)
     path = public_tokenizers.path(bpe.RANKS)
