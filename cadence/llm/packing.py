@@ -14,7 +14,8 @@ doc_id's hash, so thousands of equal documents spread over several ranges.
 Token ids are those of the tokenizers library. Texts are split as its
 byte-level rule does, on arrays of code points, and each distinct piece is
 encoded once; texts with characters outside the Latin blocks are encoded whole
-by the library.
+by the library. The string of an added token such as <|endoftext|> in a text is
+ordinary text, as in the call that the README of public_tokenizers gives.
 
 Defined cases: a null or empty text has the end token only; rows that repeat a
 doc_id, or have a null one, are packed on their own. An empty table has no
