@@ -26,7 +26,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cadence.llm import graph
@@ -287,12 +287,19 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 def without_near_duplicates(docs: DataFrame) -> DataFrame:
     """Of each group of near duplicates the row with its smallest doc_id (of rows that
-    repeat a doc_id, the one with the least text); rows with a null doc_id all stay."""
-    name = free_name(docs, "_nth")
-    found = near_duplicates(docs).where("kept").select(F.col("doc_id").alias(name)).distinct()
-    rows = docs.join(found, F.col("doc_id").cast("long") == F.col(name), "left_semi")
-    nth = F.row_number().over(Window.partitionBy("doc_id").orderBy("text"))
-    return rows.withColumn(name, nth).where(F.col(name) == 1).drop(name).union(docs.where("doc_id IS NULL"))
+    repeat it, the one whose text has the least digest); rows with a null doc_id all
+    stay. Rows are told apart by a number of their own, not by their doc_id: a row
+    goes only if another row of its own component stays."""
+    name = free_name(docs, "_row")
+    rows = cut(docs.withColumn(name, F.monotonically_increasing_id()))  # cut: numbers stay as they are
+    known = rows.where("doc_id IS NOT NULL")
+    found = near_duplicates(known.select(F.col(name).alias("doc_id"), "text")).select(F.col("doc_id").alias("_id"), F.col("component_id").alias("_c"))
+    rank = F.struct(F.col("doc_id").cast("long"), F.md5(F.col("text").cast("binary")), F.col(name)).alias("_rank")
+    ranks = known.select(F.col(name).alias("_id"), rank)
+    found = cut(found.join(ranks, "_id"))
+    first = found.groupBy("_c").agg(F.min("_rank").alias("_first"), F.count("*").alias("_n")).where("_n > 1")
+    gone = found.join(first, "_c").where("_rank <> _first").select(F.col("_id").alias(name))
+    return rows.join(gone, name, "left_anti").select(*docs.columns)
 
 
 def op1_minhash(spark, sf_dir: str) -> DataFrame:

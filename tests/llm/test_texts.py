@@ -66,6 +66,22 @@ def test_minhash_components(spark, docs, texts, empty):
     assert minhash.near_duplicates(empty).count() == 0
 
 
+def test_near_dedup_keeps_unlike_rows_of_one_doc_id(spark):
+    ship_code(spark)
+    a, b, c, d = (" ".join(f"{x}{i}" for i in range(120)) for x in "abcd")
+    near = lambda t: t + " changed"
+    kept = [(5, None), (5, ""), (5, a), (6, b), (8, c), (9, d), (9, "short one"), (None, a), (None, a)]
+    gone = [(7, near(a)), (8, near(b)), (10, near(b)), (10, c)]  # 8 and 10 hold unlike texts
+    rows = [(*r, i) for i, r in enumerate(kept + gone + [(11, "x y z"), (11, "x y z")])]  # of the last two one stays
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _row long").repartition(4)
+    out = minhash.without_near_duplicates(docs)
+    assert out.columns == docs.columns
+    assert Counter((r["doc_id"], r["text"]) for r in out.collect()) == Counter(kept + [(11, "x y z")])
+    pair = spark.createDataFrame([(3, a), (3, near(a)), (4, near(a))], "doc_id long, text string")
+    assert [r["doc_id"] for r in minhash.without_near_duplicates(pair).collect()] == [3]
+    assert minhash.without_near_duplicates(docs.limit(0)).count() == 0
+
+
 def test_estimate_corrects_chance():
     rng = np.random.default_rng(5)
     pool = rng.integers(0, 2**63, 1400, dtype=np.uint64)
