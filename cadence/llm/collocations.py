@@ -1,10 +1,11 @@
 """Phrase collocation mining by prefix-free parsing.
 
 Texts are split into pieces at punctuation and line ends, and pieces into words.
-Each piece is parsed into chunks: a chunk begins where a piece does, and where
+Each text's words are parsed into chunks: a chunk begins where the text does, and where
 the hash of the next OVERLAP words is a multiple of TRIGGER (and every LONGEST
-words where none is), so equal passages are cut alike wherever they stand. A chunk
-runs OVERLAP words into the next one of its piece, so each phrase of up to
+words where none is), so equal passages are cut alike wherever they stand. Inside a
+chunk a line end stands between pieces. A chunk runs OVERLAP words into the next one,
+within the piece that its end cuts, so each phrase of up to
 OVERLAP + 1 words that starts in a chunk lies whole in it, and it is counted there
 only: phrases that start in the overlap are the next chunk's. The distinct
 chunks are the dictionary, with their frequencies in the parse; phrases are counted
@@ -64,11 +65,13 @@ def _spans(data: np.ndarray, offsets: np.ndarray):
     return starts, ends, first[:-1]
 
 
-def _texts(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, a: np.ndarray, b: np.ndarray) -> pa.Array:
-    """Words a to b (b not included) of each row, joined by one blank."""
+def _texts(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, first: np.ndarray, a: np.ndarray, b: np.ndarray) -> pa.Array:
+    """Words a to b (b not included) of each row, joined by one blank, or a line end ahead of
+    a word that begins a piece."""
     length = ends - starts + 1  # with the blank behind
     run = np.append(0, np.cumsum(length))
     joined = np.full(run[-1], 0x20, np.uint8)
+    joined[run[1:][np.flatnonzero(first[1:])] - 1] = 0x0A
     total = int((ends - starts).sum())
     from_ = np.arange(total) + np.repeat(starts - np.append(0, np.cumsum(ends - starts))[:-1], ends - starts)
     to = np.arange(total) + np.repeat(np.arange(len(starts)), ends - starts)
@@ -90,23 +93,23 @@ def chunks(data: np.ndarray, offsets: np.ndarray, upto: int | None = None) -> tu
     words, rows = word_hashes(data, offsets, lower=False, gap=GAP)
     piece = np.flatnonzero(first)
     last = np.repeat(np.append(piece[1:], n), np.diff(np.append(piece, n)))  # where each word's piece ends
-    mark = first.copy()
+    mark = np.append(True, rows[1:] != rows[:-1])
     if n > OVERLAP:
-        h = np.zeros(n - OVERLAP, np.uint64)
+        h = np.zeros(n - OVERLAP + 1, np.uint64)
         for j in range(OVERLAP):
             h += words[j : j + len(h)] * PAIR[j]
-        mark[: len(h)] |= (mix(h) % np.uint64(TRIGGER) == 0) & (last[: len(h)] - np.arange(len(h)) > OVERLAP)
+        mark[: len(h)] |= mix(h) % np.uint64(TRIGGER) == 0
     begin = np.flatnonzero(mark)
     since = np.arange(n) - np.repeat(begin, np.diff(np.append(begin, n)))
-    mark |= (since > 0) & (since % LONGEST == 0) & (last - np.arange(n) > OVERLAP)
+    mark |= (since > 0) & (since % LONGEST == 0)
     mine = n if upto is None else int(np.searchsorted(starts, upto, "left"))
     if mine < n:
         mark[mine] = True
     begin = np.flatnonzero(mark)
     stop = np.append(begin[1:], n)
     begin, stop = begin[begin < mine], stop[begin < mine]
-    end = np.minimum(stop + OVERLAP, last[begin])
-    return _texts(data, starts, ends, begin, end), end - stop, rows[begin]
+    end = np.minimum(stop + OVERLAP, last[stop - 1])
+    return _texts(data, starts, ends, first, begin, end), end - stop, rows[begin]
 
 
 def runs(data: np.ndarray, offsets: np.ndarray):
@@ -145,10 +148,11 @@ def dictionary(docs: DataFrame) -> DataFrame:
 
 
 def _words(batch: pa.RecordBatch):
-    """A batch of the dictionary as arrays: its bytes, words' starts and ends, their chunks,
-    whether they are counted, and hashes of the pairs that begin with them (with the language)."""
+    """A batch of the dictionary as arrays: its bytes, words' starts and ends and what begins a
+    piece, their chunks, whether they are counted, hashes of the pairs that begin with them (with
+    the language), and whether there is a pair."""
     data, off = byte_rows(batch.column("chunk").cast(pa.binary()))
-    starts, ends, _ = _spans(data, off)
+    starts, ends, first = _spans(data, off)
     words, row = word_hashes(data, off, lower=False, gap=GAP)
     lang = batch.column("lang").dictionary_encode()
     own, at = word_hashes(*byte_rows(lang.dictionary.cast(pa.binary())), lower=False, gap=np.zeros(256, bool))
@@ -158,14 +162,14 @@ def _words(batch: pa.RecordBatch):
     counted = own_words - np.asarray(batch.column("tail"))
     place = np.arange(len(row)) - np.repeat(np.cumsum(own_words) - own_words, own_words)
     pair = np.zeros(len(row), np.uint64)
-    same = row[1:] == row[:-1]
+    same = (row[1:] == row[:-1]) & ~first[1:]
     pair[:-1][same] = mix(words[:-1] * PAIR[0] + words[1:] * PAIR[1] + tongue[lang.indices.to_numpy()][row[:-1]])[same]
     more = np.append(same, False)  # another word follows
-    return data, starts, ends, row, place < counted[row], pair, more
+    return (data, starts, ends, first), row, place < counted[row], pair, more
 
 
 #: Rows of the dictionary that are turned into arrays at a time.
-PART_ROWS = 1 << 14
+PART_ROWS = 1 << 13
 
 
 def _parts(batch: pa.RecordBatch):
@@ -177,7 +181,7 @@ def _pairs(bits: int):
     def rows(batches):
         for batch in batches:
             for part in _parts(batch):
-                _, _, _, row, counted, pair, more = _words(part)
+                _, row, counted, pair, more = _words(part)
                 at = np.flatnonzero(counted & more)
                 bucket, inverse = np.unique(pair[at] >> np.uint64(64 - bits), return_inverse=True)
                 n = np.bincount(inverse, np.asarray(part.column("n")).astype(np.float64)[row[at]], len(bucket))
@@ -189,9 +193,9 @@ def _pairs(bits: int):
 def _singles(batches):
     for batch in batches:
         for part in _parts(batch):
-            data, starts, ends, row, counted, _, _ = _words(part)
+            text, row, counted, _, _ = _words(part)
             at = np.flatnonzero(counted)
-            table = pa.table({"lang": part.column("lang").take(pa.array(row[at])), "word": _texts(data, starts, ends, at, at + 1), "n": part.column("n").take(pa.array(row[at]))})
+            table = pa.table({"lang": part.column("lang").take(pa.array(row[at])), "word": _texts(*text, at, at + 1), "n": part.column("n").take(pa.array(row[at]))})
             got = table.group_by(["lang", "word"]).aggregate([("n", "sum")]).select(["lang", "word", "n_sum"]).rename_columns(["lang", "word", "n"])
             yield from got.cast(pa.schema([("lang", pa.string()), ("word", pa.string()), ("n", pa.int64())])).to_batches()
 
@@ -203,14 +207,14 @@ def _windows(bits: int, frequent):
     def rows(batches):
         for batch in batches:
             for part in _parts(batch):
-                data, starts, ends, row, counted, pair, more = _words(part)
+                text, row, counted, pair, more = _words(part)
                 bucket = pair >> np.uint64(64 - bits)
                 can = more & ((frequent.value[(bucket >> np.uint64(3)).astype(np.int64)] >> (bucket & np.uint64(7)).astype(np.uint8)) & 1).astype(bool)
                 size = np.ones(len(row), np.int64)
                 for _ in range(OVERLAP):  # pairs in a row
                     size = np.where(can, 1 + np.minimum(np.append(size[1:], 1), OVERLAP), 1)
                 at = np.flatnonzero(counted & (size > 1))
-                table = pa.table({"lang": part.column("lang").take(pa.array(row[at])), "words": pa.array(size[at].astype(np.int32)), "phrase": _texts(data, starts, ends, at, at + size[at]), "n": part.column("n").take(pa.array(row[at]))})
+                table = pa.table({"lang": part.column("lang").take(pa.array(row[at])), "words": pa.array(size[at].astype(np.int32)), "phrase": _texts(*text, at, at + size[at]), "n": part.column("n").take(pa.array(row[at]))})
                 got = table.group_by(["lang", "words", "phrase"]).aggregate([("n", "sum")]).select(["lang", "words", "phrase", "n_sum"]).rename_columns(kinds.names)
                 yield from got.cast(kinds).to_batches()
 

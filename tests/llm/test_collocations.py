@@ -93,8 +93,11 @@ def counted(parts):
     """Phrase counts from the chunks of some texts."""
     f = Counter()
     for text, tail in parts:
-        ws = text.split(" ")
-        f.update(tuple(ws[i : i + n]) for i in range(len(ws) - tail) for n in (1, 2, 3, 4) if i + n <= len(ws))
+        ends = [0]
+        for ws in (piece.split(" ") for piece in text.split("\n")):
+            ends.append(ends[-1] + len(ws))
+            left = len(re.split("[ \n]", text)) - tail - ends[-2]
+            f.update(tuple(ws[i : i + n]) for i in range(min(len(ws), left)) for n in (1, 2, 3, 4) if i + n <= len(ws))
     return f
 
 
