@@ -14,10 +14,11 @@ repeats is read once.
 
 Counting. For each position of a distinct chunk one window is counted, the words
 from there on, four at most; a shorter phrase's count is the sum over the windows
-that begin with it. A window stops ahead of a word pair that cannot be frequent: a
-table of hash buckets of pair counts, as large as the corpus asks for up to
-2**MOST_BITS buckets, tells which can. It only ever keeps too many, so counts of
-phrases that reach ``least`` are exact, and equal those of the plain way.
+that begin with it. A window stops ahead of a word pair or triple that cannot be
+frequent: hash buckets of pair counts, and then of the triples of such pairs, as
+many as the corpus asks for up to 2**MOST_BITS, tell which can. They only ever keep
+too many, so counts of phrases that reach ``least`` are exact, and equal those of
+the plain way.
 
 A phrase's score is 2000000 * a / (l + r), rounded down, for its worst cut in two.
 
@@ -40,7 +41,10 @@ from cadence.llm.words import LOWER, SEGMENT, mix, segments, word_hashes
 LONGEST_PHRASE, LEAST, INSIDE, TOP = 4, 30, 80, 2000
 OVERLAP, TRIGGER, LONGEST = LONGEST_PHRASE - 1, 16, 64
 SCALE, NO_LANG = 2_000_000, "und"
-FEWEST_BITS, MOST_BITS, WORDS_A_BUCKET = 16, 27, 8
+FEWEST_BITS, MOST_BITS, BYTES_A_BUCKET = 14, 27, 48
+RANK_PARTS = 64
+#: log2 of the buckets that are summed up together.
+BLOCK_BITS = 14
 #: Bytes between pieces, and between the words of a piece.
 BREAK = np.zeros(256, bool)
 BREAK[[ord(c) for c in ".,;:!?"] + [0x0A, 0x0B, 0x0C, 0x0D]] = True
@@ -177,19 +181,85 @@ def _parts(batch: pa.RecordBatch):
         yield batch.slice(a, PART_ROWS)
 
 
-def _pairs(bits: int):
+def _chances(pair: np.ndarray, more: np.ndarray, bits: int, tables: list):
+    """For two words and more: hashes of the phrases that begin with each word, and
+    whether they can be frequent as far as ``tables`` tell (one more than tables)."""
+    key, can = pair, more
+    for table in [*tables, None]:
+        if table is not None:
+            bucket = key >> np.uint64(64 - bits)
+            can = can & ((table[(bucket >> np.uint64(3)).astype(np.int64)] >> (bucket & np.uint64(7)).astype(np.uint8)) & 1).astype(bool)
+        yield key, can
+        key = mix(key * PAIR[0] + np.append(key[1:], np.uint64(0)) * PAIR[1])
+        can = can & np.append(can[1:], False)
+
+
+def _summed(buckets: np.ndarray, n: np.ndarray, least: int):
+    """Distinct buckets and their sums; beyond ``least`` all sums are alike."""
+    bucket, inverse = np.unique(buckets, return_inverse=True)
+    return bucket, np.minimum(np.bincount(inverse, n, len(bucket)), least)
+
+
+#: Buckets that a task holds ahead of handing on their sums.
+HELD = 1 << 22
+
+
+def _sums(bits: int, least: int, tables: list):
+    """Sums of a task's buckets for phrases of len(tables) + 2 words: (block, places in it, sums)."""
+    def packed(buckets, n):
+        bucket, total = _summed(np.concatenate(buckets), np.concatenate(n), least)
+        cuts = np.flatnonzero(np.diff(bucket >> np.uint64(BLOCK_BITS), prepend=np.uint64(2**63))) if len(bucket) else []
+        low = (bucket & np.uint64((1 << BLOCK_BITS) - 1)).astype(np.uint16)
+        for a in range(0, len(cuts), 256):
+            at = [*zip(cuts[a : a + 256].tolist(), [*cuts[a + 1 : a + 257].tolist(), len(bucket)])]
+            yield pa.RecordBatch.from_arrays([pa.array([int(bucket[x]) >> BLOCK_BITS for x, _ in at], pa.int32()), pa.array([low[x:y].tobytes() for x, y in at], pa.binary()), pa.array([total[x:y].astype(np.uint32).tobytes() for x, y in at], pa.binary())], names=["block", "place", "n"])
+
     def rows(batches):
+        buckets, n, held = [], [], 0
+        read_in = [t.value for t in tables]
         for batch in batches:
             for part in _parts(batch):
                 _, row, counted, pair, more = _words(part)
-                at = np.flatnonzero(counted & more)
-                bucket, inverse = np.unique(pair[at] >> np.uint64(64 - bits), return_inverse=True)
-                n = np.bincount(inverse, np.asarray(part.column("n")).astype(np.float64)[row[at]], len(bucket))
-                yield pa.RecordBatch.from_arrays([pa.array(bucket.astype(np.int64)), pa.array(n.astype(np.int64))], names=["bucket", "n"])
+                *_, (key, can) = _chances(pair, more, bits, read_in)
+                at = np.flatnonzero(counted & can)
+                got = _summed(key[at] >> np.uint64(64 - bits), np.asarray(part.column("n")).astype(np.float64)[row[at]], least)
+                buckets.append(got[0])
+                n.append(got[1])
+                held += len(got[0])
+                if held > HELD:
+                    yield from packed(buckets, n)
+                    buckets, n, held = [], [], 0
+        if held:
+            yield from packed(buckets, n)
 
     return rows
 
 
+def _frequent(least: int):
+    """Bits of the buckets of each block that reach ``least``."""
+    def rows(batches):
+        sums: dict = {}
+        for batch in batches:
+            for block, place, n in zip(*(batch.column(c).to_pylist() for c in ("block", "place", "n"))):
+                own = sums.setdefault(block, np.zeros(1 << BLOCK_BITS, np.uint32))
+                at = np.frombuffer(place, np.uint16)
+                own[at] = np.minimum(own[at] + np.frombuffer(n, np.uint32), least)
+        for block, own in sums.items():
+            yield pa.RecordBatch.from_arrays([pa.array([block], pa.int32()), pa.array([np.packbits(own >= least, bitorder="little").tobytes()], pa.binary())], names=["block", "bits"])
+
+    return rows
+
+
+def _table(chunked: DataFrame, bits: int, least: int, tables: list):
+    """Broadcast bits of the buckets that reach ``least``: 2**bits / 8 bytes, 16 MB at most."""
+    sums = chunked.mapInArrow(_sums(bits, least, tables), "block int, place binary, n binary").repartition("block")
+    span = 1 << (BLOCK_BITS - 3)
+    table = np.zeros((1 << bits) // 8, np.uint8)
+    for r in sums.mapInArrow(_frequent(least), "block int, bits binary").collect():
+        table[r["block"] * span : (r["block"] + 1) * span] = np.frombuffer(r["bits"], np.uint8)
+    return chunked.sparkSession.sparkContext.broadcast(table)
+
+
 def _singles(batches):
     for batch in batches:
         for part in _parts(batch):
@@ -200,19 +270,18 @@ def _singles(batches):
             yield from got.cast(pa.schema([("lang", pa.string()), ("word", pa.string()), ("n", pa.int64())])).to_batches()
 
 
-def _windows(bits: int, frequent):
-    """Windows of two words or more whose pairs can all be frequent; ``words``: how many words."""
+def _windows(bits: int, tables: list):
+    """Windows of two words or more whose pairs and triples can all be frequent; ``words``: how many words."""
     kinds = pa.schema([("lang", pa.string()), ("words", pa.int32()), ("phrase", pa.string()), ("n", pa.int64())])
 
     def rows(batches):
+        read_in = [t.value for t in tables]
         for batch in batches:
             for part in _parts(batch):
                 text, row, counted, pair, more = _words(part)
-                bucket = pair >> np.uint64(64 - bits)
-                can = more & ((frequent.value[(bucket >> np.uint64(3)).astype(np.int64)] >> (bucket & np.uint64(7)).astype(np.uint8)) & 1).astype(bool)
                 size = np.ones(len(row), np.int64)
-                for _ in range(OVERLAP):  # pairs in a row
-                    size = np.where(can, 1 + np.minimum(np.append(size[1:], 1), OVERLAP), 1)
+                for _, can in _chances(pair, more, bits, read_in):
+                    size += can
                 at = np.flatnonzero(counted & (size > 1))
                 table = pa.table({"lang": part.column("lang").take(pa.array(row[at])), "words": pa.array(size[at].astype(np.int32)), "phrase": _texts(*text, at, at + size[at]), "n": part.column("n").take(pa.array(row[at]))})
                 got = table.group_by(["lang", "words", "phrase"]).aggregate([("n", "sum")]).select(["lang", "words", "phrase", "n_sum"]).rename_columns(kinds.names)
@@ -221,29 +290,21 @@ def _windows(bits: int, frequent):
     return rows
 
 
-def _frequent_pairs(spark, chunked: DataFrame, bits: int, least: int):
-    """Broadcast bits of the buckets that reach ``least``: 2**bits / 8 bytes, 16 MB at most."""
-    sums = chunked.mapInArrow(_pairs(bits), "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
-    span = 1 << 15  # bits of one row
-    rows = sums.groupBy(F.shiftright("bucket", 15).alias("at")).agg(F.bitmap_construct_agg(F.col("bucket") % span).alias("bits")).collect()
-    table = np.zeros(max(1, (1 << bits) // span) * (span // 8), np.uint8)
-    for r in rows:
-        table[r["at"] * (span // 8) : (r["at"] + 1) * (span // 8)] = np.frombuffer(bytes(r["bits"]), np.uint8)
-    return spark.sparkContext.broadcast(table)
-
-
 def counts(docs: DataFrame, least: int = LEAST) -> tuple[DataFrame, DataFrame]:
     """(lang, words, phrase, f) of all phrases that occur ``least`` times, and (lang, n) of all words."""
     spark = docs.sparkSession
     chunked = cut(dictionary(docs))
     singles = cut(chunked.mapInArrow(_singles, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("f")))
     totals = singles.groupBy("lang").agg(F.sum("f").alias("n"))
-    total = totals.agg(F.sum("n")).first()[0] or 0
-    bits = min(MOST_BITS, max(FEWEST_BITS, math.ceil(math.log2(total / WORDS_A_BUCKET + 1))))
-    frequent = _frequent_pairs(spark, chunked, bits, least)
-    windows = chunked.mapInArrow(_windows(bits, frequent), "lang string, words int, phrase string, n long")
+    size = chunked.agg(F.sum(F.octet_length("chunk"))).first()[0] or 0
+    bits = min(MOST_BITS, max(FEWEST_BITS, math.ceil(math.log2(size / BYTES_A_BUCKET + 1))))
+    tables: list = []
+    for _ in range(2):  # pairs, then triples
+        tables.append(_table(chunked, bits, least, tables))
+    windows = chunked.mapInArrow(_windows(bits, tables), "lang string, words int, phrase string, n long")
     level = cut(windows.groupBy("lang", "words", "phrase").agg(F.sum("n").alias("f")))
-    frequent.unpersist()
+    for table in tables:
+        table.unpersist()
     out = singles.where(F.col("f") >= least).select("lang", F.lit(1).alias("words"), F.col("word").alias("phrase"), "f")
     for n in range(LONGEST_PHRASE, 1, -1):  # a phrase's count: all windows that begin with it
         begin = level.where(F.col("words") >= n).select("lang", F.when(F.col("words") == n, F.col("phrase")).otherwise(F.substring_index("phrase", " ", n)).alias("phrase"), "f")
@@ -273,8 +334,11 @@ def collocations(docs: DataFrame, least: int = LEAST, inside: int = INSIDE, top:
     longer = phrases.where("words > 2").select("lang", "f", F.explode(F.flatten(within)).alias("phrase")).groupBy("lang", "phrase").agg(F.max("f").alias("longer"))
     met = worst.join(longer, ["lang", "phrase"], "left")
     left = met.where(F.col("longer").isNull() | (big("longer") * 100 < big("a") * inside)).drop("longer")
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase"))
-    ranked = left.withColumn("rank", rank).where(F.col("rank") <= top)
+    order = [F.desc("score"), F.desc("a"), "phrase"]
+    # first within a part of a language, so that one window never holds all of a hot one
+    some = left.withColumn("part", F.pmod(F.xxhash64("phrase"), F.lit(RANK_PARTS)))
+    some = some.withColumn("rank", F.row_number().over(Window.partitionBy("lang", "part").orderBy(*order))).where(F.col("rank") <= top)
+    ranked = some.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order))).where(F.col("rank") <= top)
     return ranked.join(totals, "lang").select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
 
 

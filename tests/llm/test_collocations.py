@@ -71,8 +71,10 @@ def test_against_brute_force(spark, rows):
 
 def test_few_buckets_change_nothing(spark, rows, monkeypatch):
     ship_code(spark)
-    monkeypatch.setattr(collocations, "FEWEST_BITS", 3)
-    monkeypatch.setattr(collocations, "MOST_BITS", 3)
+    monkeypatch.setattr(collocations, "BLOCK_BITS", 3)
+    monkeypatch.setattr(collocations, "FEWEST_BITS", 4)
+    monkeypatch.setattr(collocations, "MOST_BITS", 4)
+    monkeypatch.setattr(collocations, "HELD", 20)
     assert sorted(tuple(r) for r in collocations.collocations(frame(spark, rows), least=12, inside=60, top=25).collect()) == brute(rows, 12, 60, 25)
 
 
