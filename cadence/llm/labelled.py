@@ -2,14 +2,16 @@
 
 The sample: of each class the ``half`` labelled rows with the smallest hashes of
 their doc_id, without those whose doc_id's crc32 is a multiple of 5 (held out),
-and without texts above ``MOST_BYTES``. The bound is on the rows that a model is
-fitted on, once, on the driver; every document is scored. The classes' shares
+and without texts above ``MOST_BYTES``; one row for each doc_id, that with the least
+text. The bound is on the rows that a model is fitted on, once, in one task; every
+document is scored. The classes' shares
 are counted over all training labels.
 """
 
 from __future__ import annotations
 
 import math
+import pickle
 
 import numpy as np
 import pyarrow as pa
@@ -42,8 +44,22 @@ def sample(docs: DataFrame, labels: DataFrame, label: str, half: int = HALF) ->
         part = known.where(F.col("_label") == value).orderBy(F.xxhash64("_id"), "_id").limit(half)
         chosen = part if chosen is None else chosen.union(part)
     # at most 2 * half rows of two numbers
-    rows = docs.select(F.col("doc_id").cast("long").alias("_id"), "text").join(F.broadcast(chosen), "_id")
-    return rows.where(F.octet_length("text").between(1, MOST_BYTES)).select("text", "_label", F.xxhash64("_id").alias("_order")), odds
+    rows = docs.select(F.col("doc_id").cast("long").alias("_id"), "text").where(F.octet_length("text").between(1, MOST_BYTES)).join(F.broadcast(chosen), "_id")
+    rows = rows.groupBy("_id", "_label").agg(F.min("text").alias("text"))
+    return rows.select("text", "_label", F.xxhash64("_id").alias("_order")), odds
+
+
+def fitted(rows: DataFrame, fit):
+    """``fit`` of a sample (a table of text, _label and _order, in order), called in one task
+    on an executor; only what it returns comes to the driver, as a pickle."""
+    def once(batches):
+        batches = list(batches)
+        table = pa.Table.from_batches(batches, None if batches else pa.schema([("text", pa.string()), ("_label", pa.int32()), ("_order", pa.int64())]))
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(fit(table.sort_by("_order")))], pa.binary())], names=["model"])
+
+    # at most 2 * half rows of MOST_BYTES
+    got = rows.repartition(1).mapInArrow(once, "model binary").collect()
+    return pickle.loads(bytes(got[0]["model"])) if got else None
 
 
 def scored(docs: DataFrame, score_rows, name: str) -> DataFrame:

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from cadence.llm import labelled
 from cadence.llm.tables import byte_rows, free_name, read
-from cadence.llm.words import word_hashes
+from cadence.llm.words import segments, word_hashes
 
 BITS, DIM, EPOCHS, RATE = 18, 12, 8, 1.5
 GRAMS, REPEAT = (3, 4, 5), 0
@@ -35,46 +35,48 @@ STEP = np.array([0x9E3779B1, 0x85EBCA6B, 0xC2B2AE35, 0x27D4EB2F, 0x165667B1], np
 
 
 def features(data: np.ndarray, offsets: np.ndarray):
-    """(table entries, their rows) of every kind of feature in turn."""
-    words, rows = word_hashes(data, offsets, lower=False)
-    yield (words >> np.uint64(64 - BITS)).astype(np.int64), rows
-    again = np.flatnonzero((words[1:] == words[:-1]) & (rows[1:] == rows[:-1])) + 1
-    yield np.full(len(again), REPEAT), rows[again]
-    n = len(data)
-    letters, h = LETTER[data], np.zeros(0, np.uint32)
-    row = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets)) if n else np.zeros(0, np.int64)
-    for size in GRAMS:
-        if n < size:
-            return
-        h = sum((letters[j : n - size + 1 + j] * STEP[j] for j in range(size)), np.zeros(n - size + 1, np.uint32))
-        h ^= h >> np.uint32(15)
-        h *= np.uint32(0x2C1B3C6D + 2 * size)
-        inside = row[: n - size + 1] == row[size - 1 :]
-        yield (h >> np.uint32(32 - BITS)).astype(np.int64)[inside], row[: n - size + 1][inside]
-
-
-def _counted(batches):
+    """(table entries, their rows) of every kind of feature in turn; a long run of texts is
+    read in segments that end behind a word."""
+    before = None
+    for at, end in segments(data, offsets):
+        inside = offsets[(offsets > at) & (offsets < end)]
+        first = int(np.searchsorted(offsets, at, "right")) - 1
+        words, of = word_hashes(data[at:end], np.concatenate([[at], inside, [end]]) - at, lower=False)
+        rows = np.append(first, np.searchsorted(offsets, inside, "right") - 1)[of]
+        yield (words >> np.uint64(64 - BITS)).astype(np.int64), rows
+        again = rows[1:][(words[1:] == words[:-1]) & (rows[1:] == rows[:-1])]
+        if len(words):
+            if before == (words[0], rows[0]):
+                again = np.append(rows[0], again)
+            before = (words[-1], rows[-1])
+        yield np.full(len(again), REPEAT), again
+        letters = LETTER[data[at : end + max(GRAMS) - 1]]
+        row = np.searchsorted(offsets, np.arange(at, at + len(letters)), "right") - 1
+        for size in GRAMS:
+            n = min(end - at, len(letters) - size + 1)
+            if n <= 0:
+                break
+            h = sum((letters[j : n + j] * STEP[j] for j in range(size)), np.zeros(n, np.uint32))
+            h ^= h >> np.uint32(15)
+            h *= np.uint32(0x2C1B3C6D + 2 * size)
+            same = row[:n] == row[size - 1 : n + size - 1]
+            yield (h >> np.uint32(32 - BITS)).astype(np.int64)[same], row[:n][same]
+
+
+def _counted(table: pa.Table):
     """Each document's distinct features and their shares."""
-    for batch in batches:
-        data, off = byte_rows(batch.column("text"))
-        ids, shares = [], []
-        for i in range(batch.num_rows):
-            text = data[off[i] : off[i + 1]]
-            entry, n = np.unique(np.concatenate([e for e, _ in features(text, np.array([0, len(text)]))]), return_counts=True)
-            ids.append(entry.astype(np.int32))
-            shares.append((n / n.sum()).astype(np.float32))
-        yield pa.RecordBatch.from_arrays([batch.column("_label"), batch.column("_order"), pa.array(ids, pa.list_(pa.int32())), pa.array(shares, pa.list_(pa.float32()))], names=["label", "order", "ids", "shares"])
+    data, off = byte_rows(table.column("text").cast(pa.binary()))
+    for a, b in zip(off[:-1].tolist(), off[1:].tolist()):
+        entry, n = np.unique(np.concatenate([e for e, _ in features(data[a:b], np.array([0, b - a]))]), return_counts=True)
+        yield entry.astype(np.int32), (n / n.sum()).astype(np.float32)
 
 
-def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", half: int = labelled.HALF) -> tuple[np.ndarray, float]:
-    """One number for each table entry, and a constant: a document's log odds."""
-    rows, odds = labelled.sample(docs, labels, label, half)
-    rows = rows.mapInArrow(_counted, "label int, order long, ids array<int>, shares array<float>").toArrow().sort_by("order")
-    truth = np.asarray(rows.column("label"))
+def learn(table: pa.Table) -> tuple[np.ndarray, float] | None:
+    """One number for each table entry, and a constant, of a sample; None without both classes."""
+    truth = np.asarray(table.column("_label"))
     if len(set(truth.tolist())) < 2:
-        return np.zeros(1 << BITS, np.float32), odds
-    unpack = lambda c: [np.asarray(x.values) for x in rows.column(c)]
-    ids, shares = unpack("ids"), unpack("shares")
+        return None
+    ids, shares = zip(*_counted(table))
     rng = np.random.Generator(np.random.PCG64(42))
     table = rng.uniform(-1 / DIM, 1 / DIM, (1 << BITS, DIM)).astype(np.float32)
     out, bias = np.zeros((DIM, 2), np.float32), np.zeros(2, np.float32)
@@ -93,8 +95,14 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", half: int =
             bias -= rate * np.float32(0.1) * p
             table[ids[i]] -= rate * shares[i][:, None] * back
     share = truth.mean()
-    shift = odds - float(np.log(share / (1 - share)))
-    return table @ (out[:, 1] - out[:, 0]), float(bias[1] - bias[0]) + shift
+    return table @ (out[:, 1] - out[:, 0]), float(bias[1] - bias[0]) - float(np.log(share / (1 - share)))
+
+
+def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", half: int = labelled.HALF) -> tuple[np.ndarray, float]:
+    """One number for each table entry, and a constant: a document's log odds."""
+    rows, odds = labelled.sample(docs, labels, label, half)
+    weights, constant = labelled.fitted(rows, learn) or (np.zeros(1 << BITS, np.float32), 0.0)
+    return weights, constant + odds
 
 
 def scores(weights: np.ndarray, constant: float, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:

@@ -38,6 +38,8 @@ LEAST_TEXTS, DROP, DECAY = 4, 0.3, 3e-3
 #: Width of the bins that logits are counted in, and the last bin on either side.
 BIN, LAST_BIN = 1 / 256, 1 << 14
 PAD = max(WIDTHS) - 1
+#: Words of one text whose windows are read at a time.
+MOST_WORDS = 1 << 17
 GAP = np.ones(256, bool)
 GAP[0x80:] = False
 for lo, hi in ((0x30, 0x3A), (0x41, 0x5B), (0x61, 0x7B)):
@@ -132,7 +134,15 @@ class Model:
         return (np.concatenate(top, axis=1), x, (a, b), places) if where else np.concatenate(top, axis=1)
 
     def logits(self, hashes: np.ndarray, starts: np.ndarray) -> np.ndarray:
-        return self.maxima(hashes, starts) @ self.out + self.constant
+        if len(starts) == 2 and len(hashes) > MOST_WORDS:  # one long text: part by part
+            top = None
+            for a in range(0, len(hashes) - PAD, MOST_WORDS):
+                part = hashes[a : a + MOST_WORDS + PAD]  # the words behind take the place of the padding
+                got = self.maxima(part, np.array([0, len(part)]))
+                top = got if top is None else np.maximum(top, got)
+        else:
+            top = self.maxima(hashes, starts)
+        return top @ self.out + self.constant
 
     def learn(self, texts: list[np.ndarray], truth: np.ndarray, seed: int = 52) -> None:
         """Adam on filters and output, and on the table entries that a batch touches."""
@@ -217,27 +227,27 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(z, -500, 500)))
 
 
-def _read_words(batches):
-    for batch in batches:
-        data, off = byte_rows(batch.column("text"))
-        hashes, rows = words_of(data, off)
-        cuts = np.searchsorted(rows, np.arange(batch.num_rows + 1))
-        lists = pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(hashes.view(np.int64)))
-        yield pa.RecordBatch.from_arrays([batch.column("_label"), batch.column("_order"), lists], names=["label", "order", "words"])
+def learned(table: pa.Table) -> tuple[Model, np.ndarray] | None:
+    """A model fitted on most of a sample, and the hashes of the rows it saw; None without both classes."""
+    truth, order = np.asarray(table.column("_label")), np.asarray(table.column("_order"))
+    held = np.isin(order, np.unique(order)[::CALIBRATION])
+    if len(set(truth[~held].tolist())) < 2:
+        return None
+    data, off = byte_rows(table.column("text").cast(pa.binary()))
+    texts = [words_of(data[a:b], np.array([0, b - a]))[0] for a, b in zip(off[:-1].tolist(), off[1:].tolist())]
+    model = Model()
+    model.learn([t for t, h in zip(texts, held) if not h], truth[~held])
+    return model, np.unique(order[~held])
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", half: int = labelled.HALF) -> Model | float:
     """A calibrated model; or, without labels of both classes, the log odds."""
     rows, odds = labelled.sample(docs, labels, label, half)
-    rows = rows.mapInArrow(_read_words, "label int, order long, words array<long>").toArrow().sort_by("order")
-    truth, order = np.asarray(rows.column("label")), np.asarray(rows.column("order"))
-    held = np.isin(order, np.unique(order)[::CALIBRATION])
-    if len(set(truth[~held].tolist())) < 2:
+    got = labelled.fitted(rows, learned)
+    if got is None:
         return odds
-    texts = [np.asarray(x.values).view(np.uint64) for x in rows.column("words")]
-    model = Model()
-    model.learn([t for t, h in zip(texts, held) if not h], truth[~held])
-    lang, bins, truth, n = unfitted(model, docs, labels, label, np.unique(order[~held]))
+    model, seen = got
+    lang, bins, truth, n = unfitted(model, docs, labels, label, seen)
     if len(set(truth.tolist())) == 2:
         model.calibrate(lang, bins, truth, n, float(np.exp(-odds) * n[truth == 1].sum() / n[truth == 0].sum()))
     return model

@@ -154,6 +154,27 @@ def test_toxicity_learns_from_its_own_windows():
     assert model.scores(*text_arrays(["grok bad", "fine day", "", "grok bad"])).round().tolist() == [1, 0, 0, 1]
 
 
+def test_long_texts_are_read_in_parts(monkeypatch):
+    text = " ".join(f"w{i * i % 89}" for i in range(3000)) + " grok blarg"
+    model, whole = toxicity.Model(), text_arrays([text])
+    z, entries = model.scores(*whole), [np.concatenate(x) for x in zip(*quality.features(*text_arrays(["a a b", text, "", "b b"])))]
+    monkeypatch.setattr(toxicity, "MOST_WORDS", 100)
+    monkeypatch.setattr("cadence.llm.words.SEGMENT", 64)
+    assert np.allclose(model.scores(*whole), z, atol=1e-6)
+    parts = [np.concatenate(x) for x in zip(*quality.features(*text_arrays(["a a b", text, "", "b b"])))]
+    pairs = lambda x: sorted(zip(x[0].tolist(), x[1].tolist()))
+    assert pairs(parts) == pairs(entries) and len(entries[0]) > 30000
+
+
+@pytest.mark.parametrize("learn", ["quality", "toxic"])
+def test_sample_is_bounded_by_doc_ids(spark, learn):
+    ship_code(spark)
+    many = [(7, f"copy {i} of one id") for i in range(20000)] + [(i, f"text {i}") for i in range(8, 60)]
+    docs = spark.createDataFrame(many, "doc_id long, text string")
+    rows, _ = labelled.sample(docs, docs.select("doc_id").distinct().withColumn(learn, (F.col("doc_id") % 2).cast("int")), learn, 10)
+    assert rows.count() <= 20 and rows.select("_order").distinct().count() == rows.count()
+
+
 def test_thresholds_come_from_all_unfitted_rows(spark, monkeypatch):
     ship_code(spark)
     rng = np.random.default_rng(12)
