@@ -10,6 +10,8 @@ import public_tokenizers
 import tiktoken
 
 from cadence.llm import bpe, bwt, minhash, packing, sharding, suffix, words
+from pyspark.sql import functions as F
+
 from cadence.llm.tables import ship_code
 
 
@@ -133,7 +135,10 @@ def test_suffix_dedup(spark, docs, texts, empty, monkeypatch, tmp_path):
     rows = suffix.with_flags(docs, ["doc_id"]).mapInArrow(suffix._digest, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
     assert Counter(tuple(r) for r in rows.collect()) == want
     assert sum(k[2] for k in want) > 1000
+    for c in ("_null", "_text", "_flags", "_ord", "_tie", "_row", "a.b"):
+        docs = docs.withColumn(c, F.lit(5))
     cut = suffix.without_repeats(docs)
+    assert cut.columns == docs.columns and cut.select("_flags", "`a.b`").distinct().collect() == [(5, 5)]
     assert cut.columns == docs.columns and cut.count() == len(texts)
     assert all(r["n_chars"] == (None if r["text"] is None else len(r["text"])) for r in cut.collect())
     assert suffix.without_repeats(empty).count() == 0
