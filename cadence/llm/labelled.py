@@ -17,8 +17,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
-from cadence.llm.tables import byte_rows, row_runs
+from cadence.llm.tables import byte_rows, lean, row_runs
 
 HALF, MOST_BYTES, FOLDS = 1500, 1 << 16, 5
 
@@ -58,7 +59,7 @@ def fitted(rows: DataFrame, fit):
         yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(fit(table.sort_by("_order")))], pa.binary())], names=["model"])
 
     # at most 2 * half rows of MOST_BYTES
-    got = rows.repartition(1).mapInArrow(once, "model binary").collect()
+    got = rows.repartition(1).mapInArrow(lean(once), "model binary").collect()
     return pickle.loads(bytes(got[0]["model"])) if got else None
 
 
@@ -70,6 +71,5 @@ def scored(docs: DataFrame, score_rows, name: str) -> DataFrame:
             got = [score_rows(data[off[a] : off[b]], off[a : b + 1] - off[a]) for a, b in row_runs(off)]
             yield batch.append_column(name, pa.array(np.concatenate(got) if got else np.zeros(0), pa.float64()))
 
-    kind = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
-    return docs.mapInArrow(rows, f"{kind}, `{name}` double")
+    return docs.mapInArrow(lean(rows), StructType([*docs.schema.fields, StructField(name, DoubleType())]))
 

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cadence.llm import graph
-from cadence.llm.tables import byte_rows, cut, free_name, read, row_runs, thinned
+from cadence.llm.tables import byte_rows, cut, free_name, lean, read, row_runs, thinned
 from cadence.llm.words import mix, shingle_sets
 
 BANDS, ROWS, BITS = 40, 5, 2
@@ -100,7 +100,7 @@ def _signatures(batches):
 
 def signatures(docs: DataFrame) -> DataFrame:
     """doc_id, set size, digest of the set, band keys and bit planes."""
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text")).mapInArrow(_signatures, SIGNATURE)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text")).mapInArrow(lean(_signatures), SIGNATURE)
 
 
 def estimate(x: str, y: str):
@@ -251,7 +251,7 @@ class Verifier:
         texts = self.texts(likely.select(F.explode(F.array("a", "b"))))
         text = lambda c: texts.select(F.col("doc_id").alias(c), F.col("text").alias(f"text_{c}"))
         both = likely.join(text("a"), "a").join(text("b"), "b").select("a", "b", "text_a", "text_b")
-        return both.mapInArrow(_exact, "a long, b long").distinct()
+        return both.mapInArrow(lean(_exact), "a long, b long").distinct()
 
     def buckets(self, at: DataFrame) -> DataFrame:
         """Links that join up the open buckets' nodes, found block by block."""
@@ -263,10 +263,10 @@ class Verifier:
         at = at.select("key", "i", "j", "own", "node", "c", "bands", "planes")
         group = ("key", "i", "j")
         kind = "key long, i int, j int, own int, node long, c long, bands array<long>, planes array<long>"
-        likely = cut(at.repartition(*group).sortWithinPartitions(*group).mapInArrow(_likely_members, kind))
+        likely = cut(at.repartition(*group).sortWithinPartitions(*group).mapInArrow(lean(_likely_members), kind))
         texts = self.texts(likely.select("node")).select(F.col("doc_id").alias("node"), "text")
         rows = likely.join(texts, "node").select(*likely.columns, "text")
-        return rows.repartition(*group).sortWithinPartitions(*group).mapInArrow(_settled, "a long, b long").distinct()
+        return rows.repartition(*group).sortWithinPartitions(*group).mapInArrow(lean(_settled), "a long, b long").distinct()
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:

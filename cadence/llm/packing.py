@@ -34,7 +34,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cadence.llm.tables import byte_rows, cut, read, row_runs
+from cadence.llm.tables import byte_rows, cut, lean, read, row_runs
 from cadence.llm.words import mix, powers, word_hashes
 
 SEQUENCE, END = 2048, 1
@@ -289,7 +289,7 @@ def pack(docs: DataFrame, tokenizer_path: str) -> DataFrame:
     tie = F.pmod(F.xxhash64(F.coalesce(F.col("doc_id").cast("long"), F.lit(-1).cast("long"))), F.lit(1 << TIE_BITS)).cast("long")
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("binary"), F.lit(b"")).alias("text"), tie.alias("tie"))
     place = F.expr(f"place * {1 << TIE_BITS} + tie").alias("place")
-    places = cut(rows.select("text", "tie").mapInArrow(_placed, "place long, tie long, n long").select(place, "n"))
+    places = cut(rows.select("text", "tie").mapInArrow(lean(_placed), "place long, tie long, n long").select(place, "n"))
     total = places.agg(F.sum("n")).first()[0] or 0
     ranges = max(1, -(-total // RANGE_BYTES))
     bounds = []
@@ -314,9 +314,9 @@ def pack(docs: DataFrame, tokenizer_path: str) -> DataFrame:
                     [pa.array(np.searchsorted(bounds, place, "right").astype(np.int32)), pa.array(place), batch.column("doc_id").slice(a, b - a), pa.array(ids, pa.binary())],
                     names=["range", "place", "doc_id", "ids"])
 
-    held = rows.mapInArrow(tokens, "range int, place long, doc_id long, ids binary")
+    held = rows.mapInArrow(lean(tokens), "range int, place long, doc_id long, ids binary")
     held = held.repartitionById(len(bounds) + 1, F.col("range")).sortWithinPartitions("place", "doc_id", "ids")
-    return held.select("doc_id", "ids").mapInArrow(_packed, PIECE)
+    return held.select("doc_id", "ids").mapInArrow(lean(_packed), PIECE)
 
 
 def op2_packing(spark, sf_dir: str) -> DataFrame:

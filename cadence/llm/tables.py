@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import pathlib
 import sys
 import tempfile
@@ -14,7 +16,7 @@ from pyspark.sql import functions as F
 
 from cadence.plans.sizing import cut
 
-__all__ = ["byte_rows", "cut", "free_name", "read", "row_runs", "ship_code", "thinned"]
+__all__ = ["byte_rows", "cut", "free_name", "lean", "read", "row_runs", "ship_code", "thinned"]
 
 #: Rows that a task hands to Python at a time: texts are long.
 BATCH_ROWS = 1000
@@ -40,6 +42,18 @@ def ship_code(spark) -> None:
     sc._cadence_shipped = True
 
 
+def lean(rows):
+    """``rows``, a function for mapInArrow, with a worker that hands freed memory back after
+    each task: workers live on, and the next stage's may need it."""
+    def run(batches):
+        yield from rows(batches)
+        pa.default_memory_pool().release_unused()
+        with contextlib.suppress(OSError, AttributeError):  # a system without malloc_trim keeps it
+            ctypes.CDLL(None).malloc_trim(0)
+
+    return run
+
+
 def read(spark, sf_dir: str, table: str):
     ship_code(spark)
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cadence.llm import labelled
-from cadence.llm.tables import byte_rows, free_name, read, row_runs, thinned
+from cadence.llm.tables import byte_rows, free_name, lean, read, row_runs, thinned
 from cadence.llm.words import word_hashes
 
 BITS, HALF_DIM, FILTERS, WIDTHS = 17, 8, 12, (1, 2, 3)
@@ -273,7 +273,7 @@ def unfitted(model: Model, docs: DataFrame, labels: DataFrame, label: str, fitte
                 lang = languages(hashes, of, b - a).astype(np.int32)
                 yield pa.RecordBatch.from_arrays([batch.column("_id").slice(a, b - a), pa.array(lang), pa.array(bins)], names=["_id", "lang", "bin"])
 
-    found = rows.select("_id", "text", sampled.alias("sampled"), F.xxhash64("_id").alias("order")).mapInArrow(score, "_id long, lang int, bin int")
+    found = rows.select("_id", "text", sampled.alias("sampled"), F.xxhash64("_id").alias("order")).mapInArrow(lean(score), "_id long, lang int, bin int")
     counts = found.join(known, "_id").groupBy("lang", "bin", "_label").agg(F.count("*").alias("n")).collect()
     shared.unpersist()
     return np.array([tuple(r) for r in counts], np.int64).reshape(-1, 4).T
