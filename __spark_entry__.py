@@ -174,18 +174,34 @@ def q_report_lines(spark, sf):
     return lines.select("section_ord", "line_kind", "rule_ord", "s_obj", "line")
 
 
-def q_sections_from_text(spark, sf):
+def _written_report(spark, sf, parts=None):
     import uuid
 
-    from cadence.plans.reports import read_report, write_report
+    from cadence.plans.reports import write_report
     from cadence.session import checkpoint_dir
 
     out = f"{checkpoint_dir(spark).rstrip('/')}/report-text-{uuid.uuid4().hex}"
-    write_report(_ratings_cells(spark, sf), out, "Ratings_Report")
-    cells = read_report(spark, f"{out}/Ratings_Report", text=True)
+    write_report(_ratings_cells(spark, sf), out, "Ratings_Report", parts)
+    return f"{out}/Ratings_Report"
+
+
+def q_sections_from_text(spark, sf):
+    from cadence.plans.reports import read_report
+
+    cells = read_report(spark, _written_report(spark, sf), text=True)
     return cells.select("section", "row_label", "col_label", "value")
 
 
+#: Ranges of lines that report_text_parts writes, so that sections span several files.
+TEXT_PARTS = 24
+
+
+def q_report_text_parts(spark, sf):
+    from cadence.plans.reports import report_text
+
+    return report_text(spark, f"{_written_report(spark, sf, TEXT_PARTS)}_text")
+
+
 def _perturbed(cells):
     """The generated side of the diff check: section A scaled within tolerance,
     section R shifted for one asset, section N missing a rule."""
@@ -548,6 +564,14 @@ def _report_lines_sql() -> str:
     """
 
 
+def _report_text_parts_sql() -> str:
+    return f"""
+    SELECT CAST(section_ord AS INTEGER) AS section_ord, line,
+           row_number() OVER (PARTITION BY section_ord ORDER BY line_kind, rule_ord NULLS FIRST, s_obj NULLS FIRST) AS line_no
+    FROM ({_report_lines_sql()}) x
+    """
+
+
 def _sections_from_text_sql() -> str:
     return f"SELECT ts AS section, row_label, col_label, value FROM ({_ratings_sql()}) x"
 
@@ -662,6 +686,7 @@ def _registry():
         "rule_driven_report": (q_rule_driven_report, _rule_driven_sql()),
         "report_lines": (q_report_lines, _report_lines_sql()),
         "sections_from_text": (q_sections_from_text, _sections_from_text_sql()),
+        "report_text_parts": (q_report_text_parts, _report_text_parts_sql()),
         "report_diff": (q_report_diff, _report_diff_sql()),
         "no_data_rules": (q_no_data_rules, _no_data_sql()),
         "daily_events": (q_daily_events, _daily_events_sql()),

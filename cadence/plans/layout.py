@@ -15,6 +15,7 @@ from cadence.functions.calendar import Calendar
 from cadence.functions.numeric import round4
 from cadence.functions.text import alias_label, nested_subheader
 from cadence.operators.names import rename
+from cadence.operators.ordering import numbered
 
 TOTAL_ROW_LABEL = "Total"
 
@@ -233,3 +234,19 @@ LINE_ORDER = ["report", "section_ord", "line_kind", "rule_ord"] + ROW_SORT
 
 def ordered_lines(lines: DataFrame) -> DataFrame:
     return lines.orderBy(*[F.col(c).asc_nulls_first() for c in LINE_ORDER])
+
+
+def numbered_lines(lines: DataFrame) -> DataFrame:
+    """Lines with ``line_no``, their number in their section (from 1)."""
+    known = numbered(lines, [F.col(c).asc_nulls_first() for c in LINE_ORDER], "_line")
+    first = known.groupBy("report", "section_ord").agg(F.min("_line").alias("_first"))
+    return known.join(first, ["report", "section_ord"]).withColumn("line_no", F.col("_line") - F.col("_first") + 1).drop("_line", "_first")
+
+
+def write_lines(lines: DataFrame, path: str, parts: int | None = None) -> None:
+    """Lines as text, a folder for each section: ranges of the whole order, so a section
+    of any size is dealt over as many files as it has ranges; the files' numbers are their
+    order. ``parts`` is the number of ranges; by default what adaptive execution makes of it."""
+    order = [F.col(c).asc_nulls_first() for c in ["section_ord", *(c for c in LINE_ORDER if c not in ("report", "section_ord"))]]
+    dealt = lines.repartitionByRange(parts, *order) if parts else lines.repartitionByRange(*order)
+    dealt.sortWithinPartitions(*order).select("section_ord", "line").write.mode("overwrite").partitionBy("section_ord").text(path)

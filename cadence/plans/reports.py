@@ -4,7 +4,7 @@ writes them."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cadence.api import MONTHLY_KINDS, calendar_of, report_findings
@@ -12,8 +12,9 @@ from cadence.functions.calendar import Calendar
 from cadence.operators.blocks import daily_grid, monthly_grid
 from cadence.operators.cells import cell_values, rule_cells
 from cadence.plans.sizing import cut
-from cadence.plans.layout import LINE_ORDER, ratings_cells, report_lines, standard_cells
+from cadence.plans.layout import ratings_cells, report_lines, standard_cells, write_lines
 from cadence.sources.base import Source
+from cadence.sources.report_text import read_report_cells, read_report_lines
 from cadence.sources.rules import RuleSet, prepare
 
 
@@ -57,15 +58,32 @@ def timeslice_report(source: Source, rs: RuleSet, cal: Calendar | None = None) -
     return ratings_cells(monthly, p.rules)
 
 
-def write_report(cells: DataFrame, out_dir: str, name: str) -> None:
-    """Parquet cells (the real sink) and, from them, the text view: a folder for each
-    section, whose lines are in order in one file."""
+def write_report(cells: DataFrame, out_dir: str, name: str, parts: int | None = None) -> None:
+    """Parquet cells (the real sink); from them, the text view: a folder for each section,
+    whose lines are in order over its files; and an index of the files: the number of the
+    first line of each in its section, and how many it has. ``parts``: text ranges to write."""
     out_dir = out_dir.rstrip("/")
     cells.write.mode("overwrite").parquet(f"{out_dir}/{name}_cells")
-    lines = report_lines(cells.sparkSession.read.schema(cells.schema).parquet(f"{out_dir}/{name}_cells"))
-    order = ["section_ord"] + [c for c in LINE_ORDER if c not in ("report", "section_ord")]
-    whole = lines.repartition("section_ord").sortWithinPartitions(*[F.col(c).asc_nulls_first() for c in order])
-    whole.select("section_ord", "line").write.mode("overwrite").partitionBy("section_ord").text(f"{out_dir}/{name}_text")
+    write_lines(report_lines(cells.sparkSession.read.schema(cells.schema).parquet(f"{out_dir}/{name}_cells")), f"{out_dir}/{name}_text", parts)
+    text_index(cells.sparkSession, f"{out_dir}/{name}_text").write.mode("overwrite").json(f"{out_dir}/{name}_index")
+
+
+SECTION = r"section_ord=(-?\d+)$"
+
+
+def report_text(spark, path: str) -> DataFrame:
+    """(section_ord, line_no, line) of a written report's text: lines counted from 1 in their section."""
+    lines = read_report_lines(spark, path)
+    return lines.select(F.regexp_extract("file", SECTION, 1).cast("int").alias("section_ord"), (F.col("pos") + 1).alias("line_no"), "line")
+
+
+def text_index(spark, path: str) -> DataFrame:
+    """(section_ord, path, first_line, n_lines): one row for each text file."""
+    n = spark.read.text(path).groupBy(F.col("_metadata.file_path").alias("path")).agg(F.count("*").alias("n_lines"))
+    n = n.withColumn("section_ord", F.regexp_extract(F.regexp_replace("path", "/[^/]*$", ""), SECTION, 1).cast("int"))
+    part = F.regexp_extract("path", r"/part-(\d+)", 1).cast("long")
+    before = F.sum("n_lines").over(Window.partitionBy("section_ord").orderBy(part).rowsBetween(Window.unboundedPreceding, -1))
+    return n.select("section_ord", "path", (F.coalesce(before, F.lit(0)) + 1).alias("first_line"), "n_lines")
 
 
 def run(source: Source, rs: RuleSet, out_dir: str, golden_dir: str | None = None) -> dict:
@@ -94,8 +112,6 @@ def read_report(spark, path: str, text: bool = False) -> DataFrame:
     ``text`` is false), else the sectioned text (golden files)."""
     from pyspark.errors import AnalysisException
 
-    from cadence.sources.report_text import read_report_cells
-
     if not text:
         try:
             c = spark.read.parquet(f"{path}_cells")
@@ -129,7 +145,7 @@ def validate(spark, golden_dir: str, generated_dir: str, out_dir: str | None = N
         order = structural
         if "row_no" in gold.columns or "row_no" in gen.columns:
             # A text golden file: compare text with text, rows paired by their
-            # position inside the section (each file is parsed by its own task).
+            # position inside the section.
             gold = read_report(spark, f"{golden_dir.rstrip('/')}/{name}", text=True)
             gen = read_report(spark, f"{generated_dir.rstrip('/')}/{name}", text=True)
             order = ["row_no"]
