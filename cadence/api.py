@@ -82,16 +82,14 @@ def no_data_rules(source: Source, rs: RuleSet, which: str = "standard") -> DataF
     keys (and timeslices, where the fact has them) meet the selection, no cell is built."""
     p = prepare(rs, which)
     sel = select_series(source, p.sel, p.kinds(), p.properties()).alias("s")
-    obs = source.observations(expand_timeslices=p.needs_timeslices(), properties=p.properties())
+    seen = source.observed(expand_timeslices=p.needs_timeslices(), properties=p.properties())
     match = F.lit(True)
     for k in source.key_cols:
         match = match & (F.col(f"f.{k}") == F.col(f"s.{k}"))
-    keys = list(source.key_cols)
     if "timeslice" in source.fact_attrs:
-        keys.append("timeslice")
         r_ts = F.col("s._r_ts")
         match = match & (r_ts.isNull() | (r_ts == DEFAULT_TIMESLICE.lower()) | (norm("f.timeslice") == r_ts))
-    fed = sel.join(obs.select(*keys).distinct().alias("f"), match, "left_semi").select("rule_ord")
+    fed = sel.join(seen.alias("f"), match, "left_semi").select("rule_ord")
     return p.rules.join(fed, "rule_ord", "left_anti").select("rule_ord", "header", "property")
 
 

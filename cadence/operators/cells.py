@@ -2,8 +2,8 @@
 
 One plan for all rules, whatever their number: the fact is scanned once, kept to
 the series that some rule wants, and aggregated per series and month (day only
-for series that a daily rule wants) to sum and count, so means stay exact. Only
-those partials meet the rules; a fact row is never copied per rule. Which side
+for series that a daily rule wants) to sum and count, so means stay exact; a star's
+measures side by side. Only those partials meet the rules; a fact row is never copied per rule. Which side
 of a join is broadcast is left to Catalyst and AQE.
 """
 
@@ -12,7 +12,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cadence.functions.calendar import month_start
 from cadence.functions.numeric import clean, safe_ratio
 from cadence.functions.text import DEFAULT_TIMESLICE, norm
 
@@ -45,12 +44,9 @@ def rule_cells(source: Source, rules: DataFrame, daily: bool | None = False,
     props = _rule_properties(rules) if props is None else props
     sel = select_series(source, rules, kinds, props)
     expand = _needs_timeslices(rules) if expand is None else expand
-    obs = source.observations(expand_timeslices=expand, properties=props)
-    wanted = sel.groupBy(*source.key_cols).agg(F.max(F.col("kind") == "daily").alias("_daily"))
-    obs = obs.join(wanted, source.key_cols).withColumn("month_start", month_start("period_start"))
     with_day = daily is None or daily
-    if with_day:
-        obs = obs.withColumn("day", F.when(F.col("_daily") | F.lit(bool(daily)), F.dayofmonth("period_start")))
+    wanted = sel.groupBy(*source.key_cols).agg(F.max((F.col("kind") == "daily") | F.lit(bool(daily))).alias("_daily"))
+    parts = source.partials(wanted, with_day, expand, props)
     grain = ["month_start"] + (["day"] if with_day else [])
     keys = CELL_KEYS + (["day"] if with_day else [])
 
@@ -74,8 +70,6 @@ def rule_cells(source: Source, rules: DataFrame, daily: bool | None = False,
             return F.when(F.col("s.kind") == "daily", F.col("p.day")).alias("day")
         return F.col(f"p.{k}" if k in grain + source.fact_attrs else f"s.{k}")
 
-    part_keys = source.key_cols + [a for a in source.fact_attrs] + grain
-    parts = obs.groupBy(*part_keys).agg(F.sum("value").alias("value"), F.count("value").alias("n"))
     j = parts.alias("p").join(sel.alias("s"), cond).select(*[key(k) for k in keys], "value", "n")
     out = j.groupBy(*keys).agg(F.sum("value").alias("v_sum"), F.sum("n").alias("v_cnt"))
     if rollup:

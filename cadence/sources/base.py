@@ -17,6 +17,9 @@ in the series selection.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from cadence.functions.calendar import month_start
 
 
 class Source:
@@ -30,6 +33,22 @@ class Source:
     def observations(self, expand_timeslices: bool = False, properties: list[str] | None = None) -> DataFrame:  # pragma: no cover
         raise NotImplementedError
 
+    def partials(self, wanted: DataFrame, day: bool, expand_timeslices: bool = False, properties: list[str] | None = None) -> DataFrame:
+        """The fact aggregated ahead of any rule: key columns, ``fact_attrs``, month_start, with
+        ``day`` also day (set for series whose ``_daily`` is true), and the sum ``value`` and
+        number ``n`` of values. ``wanted``: (key columns, _daily) of the series to keep."""
+        obs = self.observations(expand_timeslices=expand_timeslices, properties=properties)
+        obs = obs.join(wanted, self.key_cols).withColumn("month_start", month_start("period_start"))
+        grain = self.key_cols + list(self.fact_attrs) + ["month_start"]
+        if day:
+            obs, grain = obs.withColumn("day", F.when(F.col("_daily"), F.dayofmonth("period_start"))), grain + ["day"]
+        return obs.groupBy(*grain).agg(F.sum("value").alias("value"), F.count("value").alias("n"))
+
+    def observed(self, expand_timeslices: bool = False, properties: list[str] | None = None) -> DataFrame:
+        """The distinct series keys (and timeslices, where the fact has them) that have rows."""
+        keys = [*self.key_cols, *(["timeslice"] if "timeslice" in self.fact_attrs else [])]
+        return self.observations(expand_timeslices=expand_timeslices, properties=properties).select(*keys).distinct()
+
     def period_starts(self) -> DataFrame:  # pragma: no cover
         """A relation with a ``period_start`` column covering the horizon."""
         raise NotImplementedError

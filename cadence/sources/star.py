@@ -14,6 +14,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cadence.functions.calendar import month_start
 from cadence.functions.text import DEFAULT_TIMESLICE, object_name
 from cadence.sources.base import Source
 
@@ -77,39 +78,56 @@ class StarSource(Source):
         ).drop("_p")
 
     # -- facts ----------------------------------------------------------
-    def observations(self, expand_timeslices: bool = False, properties: list[str] | None = None) -> DataFrame:
-        s = self.spec
+    def _measures(self, properties: list[str] | None) -> list[Measure]:
         wanted = None if properties is None else {p.strip().lower() for p in properties}
-        measures = [m for m in s.measures if wanted is None or m.property.strip().lower() in wanted]
-        if not measures:
-            measures = s.measures[:1]
+        kept = [m for m in self.spec.measures if wanted is None or m.property.strip().lower() in wanted]
+        return kept or self.spec.measures[:1]
+
+    def _wide(self, expand_timeslices: bool, measures: list[Measure]) -> DataFrame:
+        """The fact with its measures side by side: series_id, the fact attributes,
+        period_start and _m0, _m1, ..."""
+        s = self.spec
         band = s.band if s.band is not None else F.lit(1)
-        f = s.fact.select(
-            F.col(s.fact_key).cast("long").alias("series_id"),
-            band.cast("int").alias("band"),
-            F.col(s.start).cast("timestamp").alias("period_start"),
-            *[F.col(m.column).cast("double").alias(f"_m{i}") for i, m in enumerate(measures)],
-            *([s.timeslice.alias("_ts"), s.timeslice_id.cast("int").alias("_tsid")] if s.timeslice is not None else []),
-        )
         if expand_timeslices and s.timeslice is not None:
             # each fact row in its own timeslice; 'All Periods' is rolled up
             # from the aggregated cells, never by duplicating rows
-            f = f.withColumnRenamed("_tsid", "timeslice_id").withColumnRenamed("_ts", "timeslice")
+            ts = [s.timeslice_id.cast("int").alias("timeslice_id"), s.timeslice.alias("timeslice")]
         else:
-            f = f.withColumn("timeslice_id", F.lit(0)).withColumn("timeslice", F.lit(DEFAULT_TIMESLICE))
-            f = f.drop("_ts", "_tsid")
-        # One row per measure: Expand, inside the same codegen stage as the scan.
-        f = f.unpivot(
-            ["series_id", "band", "period_start", "timeslice_id", "timeslice"],
-            [f"_m{i}" for i in range(len(measures))],
-            "_measure", "value",
-        )
-        names = F.create_map(*[x for i, m in enumerate(measures) for x in (F.lit(f"_m{i}"), F.lit(m.property))])
-        return f.select(
-            "series_id",
-            names[F.col("_measure")].alias("property"),
-            "band", "timeslice_id", "timeslice", "period_start", "value",
-        )
+            ts = [F.lit(0).alias("timeslice_id"), F.lit(DEFAULT_TIMESLICE).alias("timeslice")]
+        return s.fact.select(
+            F.col(s.fact_key).cast("long").alias("series_id"), band.cast("int").alias("band"), *ts,
+            F.col(s.start).cast("timestamp").alias("period_start"),
+            *[F.col(m.column).cast("double").alias(f"_m{i}") for i, m in enumerate(measures)])
+
+    def _by_property(self, wide: DataFrame, measures: list[Measure], keep: list[str], values) -> DataFrame:
+        """One row for each measure: ``keep``, property and the fields of ``values(i)``."""
+        each = F.array(*[F.struct(F.lit(m.property).alias("property"), *values(i)) for i, m in enumerate(measures)])
+        return wide.select(*keep, F.inline(each))
+
+    def observations(self, expand_timeslices: bool = False, properties: list[str] | None = None) -> DataFrame:
+        measures = self._measures(properties)
+        keep = ["series_id", *self.fact_attrs, "period_start"]
+        f = self._by_property(self._wide(expand_timeslices, measures), measures, keep, lambda i: [F.col(f"_m{i}").alias("value")])
+        return f.select("series_id", "property", "band", "timeslice_id", "timeslice", "period_start", "value")
+
+    def partials(self, wanted: DataFrame, day: bool, expand_timeslices: bool = False, properties: list[str] | None = None) -> DataFrame:
+        """Measures are aggregated side by side, for the dimension keys that any rule wants;
+        only the partials become a row for each property."""
+        measures = self._measures(properties)
+        keys = wanted.groupBy("series_id").agg(F.max("_daily").alias("_daily"))
+        f = self._wide(expand_timeslices, measures)
+        f = f.join(keys, "series_id") if day else f.join(keys, "series_id", "left_semi")
+        grain = ["series_id", *self.fact_attrs, "month_start"]
+        f = f.withColumn("month_start", month_start("period_start"))
+        if day:
+            f, grain = f.withColumn("day", F.when(F.col("_daily"), F.dayofmonth("period_start"))), [*grain, "day"]
+        sums = [x for i in range(len(measures)) for x in (F.sum(f"_m{i}").alias(f"_v{i}"), F.count(f"_m{i}").alias(f"_n{i}"))]
+        return self._by_property(f.groupBy(*grain).agg(*sums), measures, grain, lambda i: [F.col(f"_v{i}").alias("value"), F.col(f"_n{i}").alias("n")])
+
+    def observed(self, expand_timeslices: bool = False, properties: list[str] | None = None) -> DataFrame:
+        measures = self._measures(properties)
+        seen = self._wide(expand_timeslices, measures).select("series_id", "timeslice").distinct()
+        return self._by_property(seen, measures, ["series_id", "timeslice"], lambda i: [])
 
     def period_starts(self) -> DataFrame:
         return self.spec.fact.select(F.col(self.spec.start).cast("timestamp").alias("period_start"))

@@ -108,3 +108,24 @@ def test_rule_tables_left_out_are_named(spark):
     spark.createDataFrame([(header,)], "line string").coalesce(1).write.text(f"{out}/{RULE_FILES['standard']}")
     with pytest.raises(FileNotFoundError, match=RULE_FILES["groups"]):
         load_rules(spark, out)
+
+
+def test_measures_are_aggregated_side_by_side(spark):
+    """A star's fact rows are not copied for each measure ahead of the aggregate."""
+    from cadence.operators.cells import rule_cells
+    from cadence.sources.rules import prepare
+    from cadence.sources.star import lineitem_source
+
+    p = prepare(analog.ruleset(spark, ratings=[]))
+    cells = rule_cells(lineitem_source(spark, SF_SMALL), p.sel, daily=None, props=p.properties(), expand=p.needs_timeslices(), kinds=p.kinds())
+    plan = cells._jdf.queryExecution().optimizedPlan().toString().split("\n")
+    fact = next(i for i, line in enumerate(plan) if "l_suppkey" in line and "Relation" in line)
+    depth = lambda line: len(line) - len(line.lstrip(" :+-"))
+    above, at = [], depth(plan[fact])
+    for line in reversed(plan[:fact]):  # the operators between the scan and the plan's top
+        if depth(line) < at:
+            above.append(line.lstrip(" :+-").split(" ")[0])
+            at = depth(line)
+    first = above.index("Aggregate")
+    assert "Generate" in above[first:] and not {"Expand", "Generate"} & set(above[:first])
+    assert plan[fact].count("l_quantity") == 1
