@@ -26,12 +26,20 @@ def safe_ratio(num, den) -> Column:
     return F.when(_col(den) > 0, _col(num) / _col(den))
 
 
+#: From here on doubles have no more than three decimal places: rounding changes nothing.
+_WHOLE = 1e13
+
+
 def round4(c) -> Column:
     """Report rounding to 4 places, made exact: the double is first fixed to 10
-    decimal places so float noise cannot push a tie either way."""
-    return F.round(_col(c).cast("decimal(38,10)"), 4).cast("double")
+    decimal places so float noise cannot push a tie either way. Infinities, NaN and
+    numbers too large to have a fourth place stay as they are."""
+    x = _col(c).cast("double")
+    near = F.when(F.abs(x) < F.lit(_WHOLE), x)
+    return F.when(F.abs(x) < F.lit(_WHOLE), F.round(near.cast("decimal(38,10)"), 4).cast("double")).otherwise(x)
 
 
 # The same rounding for the SQL oracle.
 def round4_sql(expr: str) -> str:
-    return f"CAST(ROUND(CAST({expr} AS DECIMAL(38,10)), 4) AS DOUBLE)"
+    near = f"CASE WHEN abs({expr}) < {_WHOLE!r} THEN {expr} END"
+    return f"CASE WHEN abs({expr}) < {_WHOLE!r} THEN CAST(ROUND(CAST({near} AS DECIMAL(38,10)), 4) AS DOUBLE) ELSE {expr} END"

@@ -15,7 +15,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cadence.functions.calendar import Calendar
@@ -124,11 +124,12 @@ def daily_grid(source: Source, p: Prepared, cal: Calendar, cells: DataFrame | No
     sparse = with_row_totals(merged, row_keys, rate_col=None)
 
     objs = merged.select(*BLOCK_KEYS, "rate", "object").distinct()
-    # Bands of a rule are few; their rank numbers the rows inside an object's block.
-    bands = merged.select(*BLOCK_KEYS, "band").distinct()
-    bands = bands.withColumn("_brank", F.dense_rank().over(Window.partitionBy("rule_ord").orderBy("band")) - 1)
-    rows = null_safe_join(objs, bands, BLOCK_KEYS)
-    rows = rows.select("*", F.explode(F.sequence(F.lit(1), F.lit(DAYS_PER_MONTH))).alias("day"))
+    # Bands of a rule are few; their rank numbers the rows inside an object's block. One row a
+    # block (a rule) is broadcast, so that objects need not meet on a key that a rule has once.
+    bands = merged.groupBy(*BLOCK_KEYS).agg(F.sort_array(F.collect_set(F.struct("band"))).alias("_bands"))
+    rows = null_safe_join(objs, F.broadcast(bands), BLOCK_KEYS)
+    rows = rows.select(*[c for c in rows.columns if c != "_bands"], F.posexplode("_bands").alias("_brank", "_band"))
+    rows = rows.select("*", F.col("_band.band").alias("band"), F.explode(F.sequence(F.lit(1), F.lit(DAYS_PER_MONTH))).alias("day")).drop("_band")
     rows = rows.withColumn("row_idx", (F.col("_brank") * DAYS_PER_MONTH + F.col("day") - 1).cast("int")).drop("_brank")
 
     cols = column_list(cal, extra=[(DAY_ORD, DAY_COLUMN, EXTRA, None)])

@@ -16,6 +16,9 @@ from cadence.sources.base import Source
 
 def property_units(source: Source) -> DataFrame:
     """(_u_prop, db_unit): one stored unit per normalised property."""
+    declared = source.declared_units()
+    if declared is not None:
+        return declared.select(norm("property").alias("_u_prop"), F.trim("unit").alias("db_unit")).dropDuplicates(["_u_prop"])
     s = source.series()
     return s.groupBy(norm("property").alias("_u_prop")).agg(F.trim(F.min_by("unit", "key_id")).alias("db_unit"))
 

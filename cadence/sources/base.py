@@ -57,3 +57,8 @@ class Source:
         """(period, n): periods that the fact joins more than once; None where there is no
         period table."""
         return None
+
+    def declared_units(self) -> DataFrame | None:
+        """(property, unit) where a property's unit is part of the source's description; None
+        where only its series tell."""
+        return None

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from cadence.functions.calendar import month_start
 from cadence.functions.text import DEFAULT_TIMESLICE, object_name
+from cadence.plans.sizing import local_frame
 from cadence.sources.base import Source
 
 
@@ -129,6 +130,9 @@ class StarSource(Source):
         seen = self._wide(expand_timeslices, measures).select("series_id", "timeslice").distinct()
         return self._by_property(seen, measures, ["series_id", "timeslice"], lambda i: [])
 
+    def declared_units(self) -> DataFrame:
+        return local_frame(self.spark, [(m.property, m.unit) for m in self.spec.measures], "property string, unit string")
+
     def period_starts(self) -> DataFrame:
         return self.spec.fact.select(F.col(self.spec.start).cast("timestamp").alias("period_start"))
 
