@@ -283,10 +283,14 @@ def q_solution_timeslice_report(spark, sf):
     return g.select("rule_ord", "timeslice", "object", "col_label", round4("value").alias("value"))
 
 
+#: Column -> predicate that schema_contract holds the test star's values against.
+DOMAINS = {"band": "band BETWEEN 1 AND 6", "value": "value < 50000", "property": "property IN ('Quantity', 'Discount', 'Tax')"}
+
+
 def q_schema_contract(spark, sf):
     from cadence.plans.contract import check_source
 
-    return check_source(_src(spark, sf))
+    return check_source(_src(spark, sf), DOMAINS)
 
 
 # ---------------------------------------------------------------------------
@@ -564,6 +568,38 @@ def _report_lines_sql() -> str:
     """
 
 
+def _schema_contract_sql() -> str:
+    from cadence.plans.contract import OBSERVATIONS, SERIES
+
+    fact = ("band", "timeslice_id", "timeslice")
+    have = {"series": {k: v for k, v in SERIES.items() if k not in fact}, "observations": {**OBSERVATIONS, **{k: SERIES[k] for k in fact}}}
+    required = {"series": ("object", "property", "key_id"), "observations": tuple(OBSERVATIONS)}
+    keys = {"series": ("key_id",), "observations": ("series_id", "property", *fact, "period_start")}
+    rows = []
+    for rel, columns in have.items():
+        for c, kind in columns.items():
+            tests = [("present", kind, "0"), ("type", kind, "0")]
+            tests += [("null", "no nulls", f"count(*) FILTER ({c} IS NULL)")] * (c in required[rel])
+            tests += [("domain", DOMAINS[c], f"count(*) FILTER (NOT ({DOMAINS[c]}))")] if c in DOMAINS else []
+            rows += [f"SELECT {O.q(rel)}, {O.q(c)}, {O.q(rule)}, {O.q(want)}, {O.q(kind)}, count(*), {bad} FROM {rel}" for rule, want, bad in tests]
+        key = ", ".join(keys[rel])
+        rows.append(f"SELECT {O.q(rel)}, {O.q('+'.join(keys[rel]))}, 'key', 'unique', NULL, coalesce(sum(n), 0)::BIGINT, coalesce(sum(n - 1), 0)::BIGINT "
+                    f"FROM (SELECT count(*) AS n FROM {rel} GROUP BY {key})")
+    measures = "(VALUES ('Quantity', 0), ('Discount', 1), ('Extended Price', 2), ('Tax', 3)) m(property, idx)"
+    return f"""
+    WITH series AS (
+        SELECT s_name AS object, s_name AS child_name, n_name AS parent_name, 'Supplier' AS child_class, 'Nation' AS parent_class, r_name AS child_category,
+               r_name AS parent_category, property, CASE idx WHEN 0 THEN 'units' WHEN 2 THEN 'USD' ELSE 'fraction' END AS unit, s_suppkey * 4 + idx AS key_id
+        FROM supplier LEFT JOIN nation ON s_nationkey = n_nationkey LEFT JOIN region ON n_regionkey = r_regionkey, {measures}),
+    observations AS (
+        SELECT l_suppkey AS series_id, property, l_linenumber AS band, 0 AS timeslice_id, 'All Periods' AS timeslice, l_shipdate AS period_start,
+               CAST(CASE idx WHEN 0 THEN l_quantity WHEN 1 THEN l_discount WHEN 2 THEN l_extendedprice ELSE l_tax END AS DOUBLE) AS value
+        FROM lineitem, {measures}),
+    f(relation, "column", rule, expected, actual, n_rows, n_bad) AS ({" UNION ALL ".join(rows)})
+    SELECT * FROM f
+    """
+
+
 def _report_text_parts_sql() -> str:
     return f"""
     SELECT CAST(section_ord AS INTEGER) AS section_ord, line,
@@ -697,7 +733,7 @@ def _registry():
         "solution_timeslice_report": (q_solution_timeslice_report, f"SELECT rule_ord, ts AS timeslice, object, col_label, value "
                                                                    f"FROM ({O.ratings_rule_sql(analog.RATINGS[0])}) x"),
         "object_name_fallback": (q_object_name_fallback, _object_name_fallback_sql()),
-        "schema_contract": (q_schema_contract, None),
+        "schema_contract": (q_schema_contract, _schema_contract_sql()),
     }
 
 

@@ -66,6 +66,50 @@ PERIOD = T.StructType([
     T.StructField("OriginalPeriodId", T.IntegerType()),
 ])
 
+# The tables of a solution export and the columns and types of each. ``data`` is
+# the fact, with its partition column.
+SOLUTION_TABLES = {
+    "aggregatedseries": "SeriesId BIGINT, Sum DOUBLE, Min DOUBLE, Max DOUBLE, ValueCount INT, StandardDeviation DOUBLE, Mode DOUBLE, "
+                        "Median DOUBLE, FirstQuartile DOUBLE, ThirdQuartile DOUBLE, SeriesHash STRING",
+    "attribute": "AttributeId INT, ClassId INT, Description STRING, InputMask STRING, EnumId INT, LangId INT, Name STRING",
+    "attributedata": "AttributeId INT, ObjectId INT, Value DOUBLE",
+    "category": "CategoryId INT, ClassId INT, Name STRING, Rank INT",
+    "class": "ClassGroupId INT, ClassId INT, LangId INT, Name STRING, InheritsFrom INT",
+    "classgroup": "ClassGroupId INT, LangId INT, Name STRING",
+    "collection": "ChildClassId INT, CollectionId INT, ComplementName STRING, LangId INT, Name STRING, ParentClassId INT, Rank INT",
+    "config": "Element STRING, Value STRING",
+    "customcolumn": "ClassId INT, ColumnId INT, Name STRING, Position INT, UniqueId STRING",
+    "data": "SeriesId BIGINT, PeriodId INT, Value DOUBLE, EpochId BIGINT, dataFileId BIGINT",
+    "fullkeyinfo": "KeyId BIGINT, PhaseId INT, PhaseName STRING, BandId INT, PeriodTypeId INT, PeriodTypeName STRING, SeriesId BIGINT, "
+                   "DataFileId INT, RowGroupIndex INT, ParentObjectCategoryName STRING, ParentObjectId INT, ParentObjectName STRING, "
+                   "ChildObjectCategoryName STRING, ChildObjectId INT, ChildObjectName STRING, ParentClassId INT, ParentClassLangId INT, "
+                   "ParentClassName STRING, CollectionId INT, CollectionLangId INT, CollectionName STRING, ChildClassId INT, "
+                   "ChildClassLangId INT, ChildClassName STRING, PropertyId INT, PropertyEnumId INT, PropertyLangId INT, "
+                   "PropertyName STRING, UnitId INT, UnitValue STRING, TimesliceId INT, TimesliceName STRING, ModelId INT, "
+                   "ModelName STRING, SampleId INT, SampleName STRING",
+    "membershipinfo": "MembershipId INT, ParentObjectCategoryName STRING, ParentObjectId INT, ParentObjectName STRING, ParentClassId INT, "
+                      "ParentClassLangId INT, ParentClassName STRING, CollectionId INT, CollectionLangId INT, CollectionName STRING, "
+                      "ChildObjectCategoryName STRING, ChildObjectId INT, ChildObjectName STRING, ChildClassId INT, "
+                      "ChildClassLangId INT, ChildClassName STRING",
+    "memoobject": "ColumnId INT, ObjectId INT, Value STRING",
+    "object": "CategoryId INT, ClassId INT, Index INT, Name STRING, ObjectId INT, UniqueId STRING, Show BOOLEAN, X INT, Y INT, Z INT",
+    "objectmeta": "Class STRING, ObjectId INT, Property STRING, Value STRING",
+    "period": "PeriodEpochId BIGINT, EpochId BIGINT, PeriodId INT, StartDate TIMESTAMP, EndDate TIMESTAMP, PeriodTypeId INT, OriginalPeriodId INT",
+    "phase": "Period_EpochId BIGINT, IntervalId INT, PeriodId INT, PhaseTypeId INT",
+    "property": "CollectionId INT, EnumId INT, IsMultiBand BOOLEAN, IsPeriod BOOLEAN, IsSummary BOOLEAN, LangId INT, Name STRING, "
+                "PropertyId INT, SummaryName STRING, SummaryUnitId INT, UnitId INT",
+    "sampleweight": "PhaseId INT, SampleId INT, Value DOUBLE",
+    "unit": "LangId INT, UnitId INT, Value STRING",
+}
+
+#: What tells the rows of a table apart, where its columns say so.
+SOLUTION_KEYS = {
+    "aggregatedseries": ("SeriesId",), "attribute": ("AttributeId",), "attributedata": ("AttributeId", "ObjectId"), "category": ("CategoryId",),
+    "class": ("ClassId",), "classgroup": ("ClassGroupId",), "collection": ("CollectionId",), "data": ("dataFileId", "SeriesId", "PeriodId"),
+    "fullkeyinfo": ("KeyId",), "membershipinfo": ("MembershipId",), "object": ("ObjectId",), "property": ("PropertyId",),
+    "sampleweight": ("PhaseId", "SampleId"), "unit": ("UnitId",),
+}
+
 # ---------------------------------------------------------------------------
 # Rule tables.
 # ---------------------------------------------------------------------------
