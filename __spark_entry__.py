@@ -283,6 +283,27 @@ def q_solution_timeslice_report(spark, sf):
     return g.select("rule_ord", "timeslice", "object", "col_label", round4("value").alias("value"))
 
 
+SAMPLED_RULES = [(11, "( 9 ) Sums", "Supplier", "All", "Quantity", "monthly", False, None),
+                 (12, "( 9 ) Means", "Supplier", "AsiaEurope", "Quantity", "monthly", True, None)]
+
+
+def q_filtered_cells(spark, sf):
+    configure(spark)
+    src = analog.sampled_solution(spark, sf).filtered(phase="ST Schedule", model=" base", sample=["S0", "s2"], period_type="INTERVAL")
+    c = metric_cells(src, analog.ruleset(spark, standard=SAMPLED_RULES, ratings=[]))
+    return c.select("rule_ord", "object", "band", "month_start", round4("value").alias("value"))
+
+
+def q_weighted_cells(spark, sf):
+    from cadence.api import weighted_cells
+
+    configure(spark)
+    src = analog.sampled_solution(spark, sf).filtered(period_type="Interval")
+    weights = src.sample_weights(analog.sample_weights(spark))
+    c = weighted_cells(src, analog.ruleset(spark, standard=SAMPLED_RULES, ratings=[]), weights)
+    return c.select("rule_ord", "object", "band", "month_start", round4("value").alias("value"))
+
+
 #: Column -> predicate that schema_contract holds the test star's values against.
 DOMAINS = {"band": "band BETWEEN 1 AND 6", "value": "value < 50000", "property": "property IN ('Quantity', 'Discount', 'Tax')"}
 
@@ -568,6 +589,26 @@ def _report_lines_sql() -> str:
     """
 
 
+def _sampled_sql(kept: str, weight: str) -> str:
+    """SAMPLED_RULES over lineitem: rows that are ``kept``, each with ``weight``."""
+    cats = O.where("Quantity", "Supplier", O.categories("Supplier", "AsiaEurope"))
+    return f"""
+    WITH o AS (SELECT *, {weight} AS w FROM (
+        SELECT s_name AS object, n_name AS parent, r_name AS category, l_orderkey % 3 AS sample, CASE WHEN l_returnflag = 'R' THEN 3 ELSE 4 END AS phase,
+               CASE WHEN l_linenumber <= 3 THEN 1 ELSE 2 END AS model, CAST(date_trunc('month', l_shipdate) AS DATE) AS month_start, CAST(l_quantity AS DOUBLE) AS v
+        FROM lineitem JOIN supplier ON l_suppkey = s_suppkey LEFT JOIN nation ON s_nationkey = n_nationkey LEFT JOIN region ON n_regionkey = r_regionkey
+        WHERE l_shipdate IS NOT NULL) x WHERE {kept}),
+    c AS (SELECT 11 AS rule_ord, object, month_start, sum(w * v) AS v FROM o GROUP BY ALL
+          UNION ALL SELECT 12, object, month_start, CASE WHEN sum(w) > 0 THEN sum(w * v) / sum(w) END FROM o WHERE {cats} GROUP BY ALL)
+    SELECT rule_ord, object, 1 AS band, month_start, {R4(O.clean())} AS value FROM c
+    """
+
+
+def _weighted_cells_sql() -> str:
+    weights = " ".join(f"WHEN phase = {p} AND sample = {n} THEN {w}" for p, n, w in analog.SAMPLE_WEIGHTS)
+    return _sampled_sql("true", f"CASE {weights} ELSE 1.0 END::DOUBLE")
+
+
 def _schema_contract_sql() -> str:
     from cadence.plans.contract import OBSERVATIONS, SERIES
 
@@ -733,6 +774,8 @@ def _registry():
         "solution_timeslice_report": (q_solution_timeslice_report, f"SELECT rule_ord, ts AS timeslice, object, col_label, value "
                                                                    f"FROM ({O.ratings_rule_sql(analog.RATINGS[0])}) x"),
         "object_name_fallback": (q_object_name_fallback, _object_name_fallback_sql()),
+        "filtered_cells": (q_filtered_cells, _sampled_sql("phase = 4 AND model = 1 AND sample IN (0, 2)", "1.0::DOUBLE")),
+        "weighted_cells": (q_weighted_cells, _weighted_cells_sql()),
         "schema_contract": (q_schema_contract, _schema_contract_sql()),
     }
 

@@ -13,6 +13,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from cadence import schemas
+from cadence.plans.sizing import local_frame
 from cadence.sources.rules import EMISSIONS as EMISSIONS_SCHEMA
 from cadence.sources.rules import RuleSet, rows_frame
 from cadence.sources.solution import SolutionSource
@@ -133,3 +134,39 @@ def solution(spark: SparkSession, sf_dir: str, blank_names: bool = False) -> Sol
         F.when(F.col("BandId") == 7, "crates").otherwise("units").alias("UnitValue"), "BandId", "TimesliceId", "TimesliceName")
     period = li.where("l_shipdate IS NOT NULL").select(day.alias("PeriodId"), F.col("l_shipdate").alias("StartDate")).distinct()
     return SolutionSource(spark, fact, series, period)
+
+
+# The sampled analog's names; weights by (PhaseId, SampleId, Value).
+PHASES, MODELS, PERIOD_TYPES = {3: "MT Schedule", 4: "ST Schedule"}, {1: "Base", 2: "Stress"}, {0: "Interval", 1: "Day"}
+SAMPLES = {0: "S0", 1: "S1", 2: "S2"}
+SAMPLE_WEIGHTS = [(4, 0, 0.5), (4, 1, 0.2), (3, 0, 0.75), (3, 2, 0.25)]
+
+
+def sampled_solution(spark: SparkSession, sf_dir: str) -> SolutionSource:
+    """The test star's quantities as a solution of several samples, phases and models. A series
+    is (supplier, sample, phase, model): the sample is the order key modulo 3, the phase tells
+    returned rows, the model the first three lines from the others. Each ship date is a period
+    id of both period types; the series are of type 0."""
+    li = read_table(spark, sf_dir, "lineitem").select("l_suppkey", "l_orderkey", "l_linenumber", "l_returnflag", "l_shipdate", "l_quantity")
+    rows = li.select(
+        F.col("l_suppkey").cast("long").alias("supplier"), F.pmod("l_orderkey", F.lit(len(SAMPLES))).cast("int").alias("SampleId"),
+        F.when(F.col("l_returnflag") == "R", 3).otherwise(4).alias("PhaseId"), F.when(F.col("l_linenumber") <= 3, 1).otherwise(2).alias("ModelId"),
+        F.datediff("l_shipdate", F.lit("1990-01-01").cast("date")).alias("PeriodId"), "l_shipdate", F.col("l_quantity").cast("double").alias("Value"))
+    rows = rows.withColumn("SeriesId", F.col("supplier") * 1000 + F.col("SampleId") * 100 + F.col("PhaseId") * 10 + F.col("ModelId"))
+    rows = rows.withColumn("dataFileId", F.pmod("supplier", F.lit(4)).cast("long"))
+    name = lambda c, names: F.create_map(*[F.lit(x) for kv in names.items() for x in kv])[F.col(c)]
+    series = rows.select("SeriesId", "dataFileId", "supplier", "SampleId", "PhaseId", "ModelId").distinct()
+    series = series.join(supplier_dimension(spark, sf_dir), F.col("supplier") == F.col("s_suppkey")).select(
+        "SeriesId", F.col("dataFileId").alias("DataFileId"), F.col("SeriesId").alias("KeyId"), F.col("s_name").alias("ChildObjectName"),
+        F.col("n_name").alias("ParentObjectName"), F.lit("Supplier").alias("ChildClassName"), F.lit("Nation").alias("ParentClassName"),
+        F.col("r_name").alias("ChildObjectCategoryName"), F.col("r_name").alias("ParentObjectCategoryName"), F.lit("Quantity").alias("PropertyName"),
+        F.lit("units").alias("UnitValue"), F.lit(1).alias("BandId"), F.lit(0).alias("TimesliceId"), F.lit("All Periods").alias("TimesliceName"),
+        "PhaseId", name("PhaseId", PHASES).alias("PhaseName"), "SampleId", name("SampleId", SAMPLES).alias("SampleName"),
+        "ModelId", name("ModelId", MODELS).alias("ModelName"), F.lit(0).alias("PeriodTypeId"), F.lit(PERIOD_TYPES[0]).alias("PeriodTypeName"))
+    period = rows.where("PeriodId IS NOT NULL").select("PeriodId", F.col("l_shipdate").alias("StartDate")).distinct()
+    period = period.withColumn("PeriodTypeId", F.explode(F.array(*[F.lit(k) for k in PERIOD_TYPES])))
+    return SolutionSource(spark, rows.select("SeriesId", "PeriodId", "Value", "dataFileId"), series, period)
+
+
+def sample_weights(spark: SparkSession):
+    return local_frame(spark, SAMPLE_WEIGHTS, "PhaseId int, SampleId int, Value double")

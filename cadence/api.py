@@ -42,6 +42,14 @@ def metric_cells(source: Source, rs: RuleSet, rule_ords=None, which: str = "stan
     return cell_values(c)
 
 
+def weighted_cells(source: Source, rs: RuleSet, weights: DataFrame, rule_ords=None, which: str = "standard", daily: bool = False) -> DataFrame:
+    """metric_cells() with weighted series: ``weights`` is one row (key columns, weight) a series.
+    A sum rule's cell is the sum of weight times value, a rate's the weighted mean."""
+    p = prepare(rs, which, rule_ords)
+    c = rule_cells(source, p.sel, daily=daily, props=p.properties(), expand=p.needs_timeslices(), kinds=p.kinds(), weights=weights)
+    return cell_values(c)
+
+
 def monthly_values_of(source: Source, p: Prepared) -> DataFrame:
     return monthly_values(source, p, p.names, p.units)
 

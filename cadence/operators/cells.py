@@ -34,19 +34,25 @@ def _needs_timeslices(rules: DataFrame) -> bool:
 
 def rule_cells(source: Source, rules: DataFrame, daily: bool | None = False,
                *, props: list[str] | None = None,
-               expand: bool | None = None, kinds: set | None = None) -> DataFrame:
+               expand: bool | None = None, kinds: set | None = None, weights: DataFrame | None = None) -> DataFrame:
     """(block keys, rate, object, band, month_start[, day], v_sum, v_cnt).
 
     ``daily=None`` serves monthly and daily rules from the same scan: ``day``
     is set only on daily rules' cells (NULL for the others).
     ``props``, ``expand`` and ``kinds`` describe the (collected) rules; when
-    absent they are read from ``rules``."""
+    absent they are read from ``rules``. ``weights`` (key columns, weight) multiplies each
+    series' partials, sum and count, so weighted means merge like plain ones; a series
+    without a weight counts once."""
     props = _rule_properties(rules) if props is None else props
     sel = select_series(source, rules, kinds, props)
     expand = _needs_timeslices(rules) if expand is None else expand
     with_day = daily is None or daily
     wanted = sel.groupBy(*source.key_cols).agg(F.max((F.col("kind") == "daily") | F.lit(bool(daily))).alias("_daily"))
     parts = source.partials(wanted, with_day, expand, props)
+    if weights is not None:
+        w = F.coalesce(F.col("weight"), F.lit(1.0))
+        parts = parts.join(weights.select(*source.key_cols, "weight"), source.key_cols, "left")
+        parts = parts.withColumn("value", F.col("value") * w).withColumn("n", F.col("n") * w).drop("weight")
     grain = ["month_start"] + (["day"] if with_day else [])
     keys = CELL_KEYS + (["day"] if with_day else [])
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cadence import schemas
-from cadence.functions.text import object_name
+from cadence.functions.text import norm, object_name
 from cadence.sources.base import Source
 
 
@@ -50,6 +50,27 @@ class SolutionSource(Source):
             F.col("TimesliceName").alias("timeslice"),
         )
 
+    def filtered(self, phase=None, sample=None, model=None, period_type=None) -> SolutionSource:
+        """The solution kept to series of these phases, samples, models and period types: names,
+        or lists of them, matched without case and outer blanks. With ``period_type`` the periods
+        are kept to the types of the series left, so that a period id that stands for a period
+        of several types is joined once."""
+        fki, period = self._fki, self._period
+        for column, names in (("PhaseName", phase), ("SampleName", sample), ("ModelName", model), ("PeriodTypeName", period_type)):
+            if names is not None:
+                names = [names] if isinstance(names, str) else list(names)
+                fki = fki.where(norm(column).isin([n.strip().lower() for n in names]))
+        if period_type is not None:
+            period = period.join(fki.select("PeriodTypeId").distinct(), "PeriodTypeId", "left_semi")
+        return SolutionSource(self.spark, self._fact, fki, period)
+
+    def sample_weights(self, sampleweight: DataFrame) -> DataFrame:
+        """(series_id, datafile_id, weight): each series' weight by its phase and sample; series
+        whose sample is not listed are left out."""
+        w = sampleweight.groupBy("PhaseId", "SampleId").agg(F.max("Value").alias("weight"))
+        f = self._fki.select(F.col("SeriesId").cast("long").alias("series_id"), F.col("DataFileId").cast("long").alias("datafile_id"), "PhaseId", "SampleId")
+        return f.join(w, ["PhaseId", "SampleId"]).select("series_id", "datafile_id", "weight").distinct()
+
     def _periods(self) -> DataFrame:
         return self._period.select(
             F.col("PeriodId").cast("int").alias("PeriodId"),
