@@ -283,6 +283,16 @@ def q_solution_timeslice_report(spark, sf):
     return g.select("rule_ord", "timeslice", "object", "col_label", round4("value").alias("value"))
 
 
+def q_series_statistics(spark, sf):
+    from cadence.operators.statistics import QUARTILES, series_statistics
+
+    configure(spark)
+    rows = analog.sampled_solution(spark, sf).facts()
+    out = series_statistics(rows, ["SeriesId"], "Value", "PeriodId")
+    real = ["Sum", "Min", "Max", "StandardDeviation", "Mode", *QUARTILES]
+    return out.select(*(round4(c).alias(c) if c in real else c for c in out.columns))
+
+
 SAMPLED_RULES = [(11, "( 9 ) Sums", "Supplier", "All", "Quantity", "monthly", False, None),
                  (12, "( 9 ) Means", "Supplier", "AsiaEurope", "Quantity", "monthly", True, None)]
 
@@ -589,6 +599,21 @@ def _report_lines_sql() -> str:
     """
 
 
+def _series_statistics_sql() -> str:
+    real = {"Sum": "sum(v)", "Min": "min(v)", "Max": "max(v)", "StandardDeviation": "stddev_pop(v)", "Median": "quantile_cont(v, 0.5)",
+            "FirstQuartile": "quantile_cont(v, 0.25)", "ThirdQuartile": "quantile_cont(v, 0.75)"}
+    return f"""
+    WITH o AS (SELECT l_suppkey * 1000 + (l_orderkey % 3) * 100 + CASE WHEN l_returnflag = 'R' THEN 30 ELSE 40 END + CASE WHEN l_linenumber <= 3 THEN 1 ELSE 2 END AS "SeriesId",
+                      CAST(l_quantity AS DOUBLE) AS v, CAST(date_diff('day', DATE '1990-01-01', CAST(l_shipdate AS DATE)) AS VARCHAR) AS p FROM lineitem),
+    h AS (SELECT *, CAST('0x' || substr(md5(concat_ws('|', coalesce(p, ''), coalesce(CAST(CAST(v AS DECIMAL(38,10)) AS VARCHAR), ''))), 1, 12) AS BIGINT) AS d FROM o),
+    m AS (SELECT "SeriesId", v AS "Mode" FROM (SELECT "SeriesId", v, count(*) AS n FROM o WHERE v IS NOT NULL GROUP BY ALL)
+          QUALIFY row_number() OVER (PARTITION BY "SeriesId" ORDER BY n DESC, v) = 1),
+    s AS (SELECT "SeriesId", {", ".join(f'{R4(f"{e}")} AS "{k}"' for k, e in real.items())}, CAST(count(v) AS INTEGER) AS "ValueCount",
+                 lpad(lower(to_hex(CAST(sum(d::HUGEINT) % {16**12} AS BIGINT))), 12, '0') AS "SeriesHash" FROM h GROUP BY "SeriesId")
+    SELECT s.*, {R4('"Mode"')} AS "Mode" FROM s LEFT JOIN m USING ("SeriesId")
+    """
+
+
 def _sampled_sql(kept: str, weight: str) -> str:
     """SAMPLED_RULES over lineitem: rows that are ``kept``, each with ``weight``."""
     cats = O.where("Quantity", "Supplier", O.categories("Supplier", "AsiaEurope"))
@@ -774,6 +799,7 @@ def _registry():
         "solution_timeslice_report": (q_solution_timeslice_report, f"SELECT rule_ord, ts AS timeslice, object, col_label, value "
                                                                    f"FROM ({O.ratings_rule_sql(analog.RATINGS[0])}) x"),
         "object_name_fallback": (q_object_name_fallback, _object_name_fallback_sql()),
+        "series_statistics": (q_series_statistics, _series_statistics_sql()),
         "filtered_cells": (q_filtered_cells, _sampled_sql("phase = 4 AND model = 1 AND sample IN (0, 2)", "1.0::DOUBLE")),
         "weighted_cells": (q_weighted_cells, _weighted_cells_sql()),
         "schema_contract": (q_schema_contract, _schema_contract_sql()),

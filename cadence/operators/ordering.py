@@ -38,3 +38,16 @@ def numbered(df: DataFrame, order: list[Column], name: str, partitions: int | No
     # the counts are one row for each partition of the shuffle
     met = placed.join(F.broadcast(offsets(placed)), _PART)
     return met.select(*[F.col(f"`{c}`") for c in df.columns], (F.col(_BEFORE) + F.col(_PLACE) + 1).alias(name))
+
+
+def cumulated(df: DataFrame, order: list[Column], weight: str, name: str, partitions: int | None = None) -> DataFrame:
+    """``df`` with the sum of ``weight`` (whole numbers) over all rows ahead of it in ``order`` as
+    the column ``name``. A running sum spans one partition; sums of partitions go ahead of it."""
+    placed = cut(sorted_parts(df, order, partitions))
+    ahead = Window.partitionBy(_PART).orderBy(_PLACE).rowsBetween(Window.unboundedPreceding, -1)
+    sums = placed.groupBy(_PART).agg(F.sum(weight).alias("_n"))
+    before = F.sum("_n").over(Window.orderBy(_PART).rowsBetween(Window.unboundedPreceding, -1))
+    sums = sums.select(_PART, F.coalesce(before, F.lit(0)).alias(_BEFORE))
+    own = placed.withColumn(name, F.coalesce(F.sum(weight).over(ahead), F.lit(0)))
+    met = own.join(F.broadcast(sums), _PART)  # one row for each partition of the shuffle
+    return met.select(*[F.col(f"`{c}`") for c in df.columns], (F.col(_BEFORE) + F.col(name)).cast("long").alias(name))

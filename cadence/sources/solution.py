@@ -50,6 +50,10 @@ class SolutionSource(Source):
             F.col("TimesliceName").alias("timeslice"),
         )
 
+    def facts(self) -> DataFrame:
+        """The fact as it is stored."""
+        return self._fact
+
     def filtered(self, phase=None, sample=None, model=None, period_type=None) -> SolutionSource:
         """The solution kept to series of these phases, samples, models and period types: names,
         or lists of them, matched without case and outer blanks. With ``period_type`` the periods
