@@ -40,7 +40,7 @@ from cadence.llm.words import mix, powers, word_hashes
 SEQUENCE, END = 2048, 1
 AXES, AXIS_BITS, TIE_BITS = 4, 10, 20
 #: Bytes of text in a range; in a stretch that is split at a time; known pieces a task keeps.
-RANGE_BYTES, STRETCH, KNOWN = 32 << 20, 1 << 20, 200_000
+RANGE_BYTES, STRETCH, KNOWN = 32 << 20, 2 << 20, 200_000
 TOKENIZER = "byte_bpe_50k.json"
 
 
@@ -117,7 +117,9 @@ class Splitter:
                     break
         self.kinds = kinds
         self.letter = np.random.Generator(np.random.PCG64(61)).integers(1, 2**63, self.LATIN, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+        # ids of pieces by hash: those met of late, and those met before them
         self.known: dict[int, bytes] = {}
+        self.older: dict[int, bytes] = {}
 
     def whole(self, text: bytes) -> bytes:
         return np.array(self.library.encode(text.decode("utf-8", "replace"), add_special_tokens=False).ids, "<u2").tobytes()
@@ -186,11 +188,15 @@ class Splitter:
         np.cumsum(self.letter[chars] * p[: len(chars)], out=total[1:])
         hashes = mix((total[ends] - total[starts]) * inv[starts] + (ends - starts).astype(np.uint64))
         keys, where, of = np.unique(hashes, return_index=True, return_inverse=True)
-        held = [self.known.get(k) for k in keys.tolist()]
+        if len(self.known) > KNOWN:
+            self.known, self.older = {}, self.known
+        names = keys.tolist()
+        held = [self.known.get(k) for k in names]
+        for i in [i for i, x in enumerate(held) if x is None]:
+            if (x := self.older.get(names[i])) is not None:
+                held[i] = self.known[names[i]] = x
         new = [i for i, x in enumerate(held) if x is None]
         if new:
-            if len(self.known) > KNOWN:
-                self.known.clear()
             pieces = [text[a:b] for a, b in zip(starts[where[new]].tolist(), ends[where[new]].tolist())]
             for lo in range(0, len(new), 50_000):
                 got = self.library.encode_batch_fast(pieces[lo : lo + 50_000], add_special_tokens=False)
