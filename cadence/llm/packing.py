@@ -40,7 +40,7 @@ from cadence.llm.words import mix, powers, word_hashes
 SEQUENCE, END = 2048, 1
 AXES, AXIS_BITS, TIE_BITS = 4, 10, 20
 #: Bytes of text in a range; in a stretch that is split at a time; known pieces a task keeps.
-RANGE_BYTES, STRETCH, KNOWN = 32 << 20, 2 << 20, 200_000
+RANGE_BYTES, STRETCH, KNOWN = 32 << 20, 2 << 20, 400_000
 TOKENIZER = "byte_bpe_50k.json"
 
 
