@@ -314,6 +314,28 @@ def q_weighted_cells(spark, sf):
     return c.select("rule_ord", "object", "band", "month_start", round4("value").alias("value"))
 
 
+def q_incremental_cells(spark, sf):
+    """The fact comes in two appends, each taken up by the stream; the cells are those of the store."""
+    import uuid
+
+    from cadence.session import checkpoint_dir
+    from cadence.streaming.partials import PartialStore, StoredSource
+
+    configure(spark)
+    base = f"{checkpoint_dir(spark).rstrip('/')}/incremental-{uuid.uuid4().hex}"
+    src = analog.solution(spark, sf)
+    store = PartialStore(spark, f"{base}/partials")
+    for appended in ("SeriesId % 3 = 0", "SeriesId % 3 <> 0"):
+        src.facts().where(appended).write.mode("append").partitionBy("dataFileId").parquet(f"{base}/data")
+        store.follow(f"{base}/data", src, FILES_PER_BATCH).awaitTermination()
+    c = metric_cells(StoredSource(src, store), _rs(spark, [1]))
+    return c.select("rule_ord", "object", "band", "month_start", round4("value").alias("value"))
+
+
+#: Files of an append that incremental_cells takes into one batch.
+FILES_PER_BATCH = 16
+
+
 #: Column -> predicate that schema_contract holds the test star's values against.
 DOMAINS = {"band": "band BETWEEN 1 AND 6", "value": "value < 50000", "property": "property IN ('Quantity', 'Discount', 'Tax')"}
 
@@ -802,6 +824,7 @@ def _registry():
         "series_statistics": (q_series_statistics, _series_statistics_sql()),
         "filtered_cells": (q_filtered_cells, _sampled_sql("phase = 4 AND model = 1 AND sample IN (0, 2)", "1.0::DOUBLE")),
         "weighted_cells": (q_weighted_cells, _weighted_cells_sql()),
+        "incremental_cells": (q_incremental_cells, _cells_sql(O.std_rule(1))),
         "schema_contract": (q_schema_contract, _schema_contract_sql()),
     }
 

@@ -14,7 +14,7 @@ from cadence.sources.base import Source
 
 # Read schema of the fact table including the partition column, so the
 # partition value comes back as BIGINT.
-_FACT_READ = T.StructType(schemas.FACT.fields + [T.StructField("dataFileId", T.LongType())])
+FACT_READ = T.StructType(schemas.FACT.fields + [T.StructField("dataFileId", T.LongType())])
 
 
 class SolutionSource(Source):
@@ -75,7 +75,8 @@ class SolutionSource(Source):
         f = self._fki.select(F.col("SeriesId").cast("long").alias("series_id"), F.col("DataFileId").cast("long").alias("datafile_id"), "PhaseId", "SampleId")
         return f.join(w, ["PhaseId", "SampleId"]).select("series_id", "datafile_id", "weight").distinct()
 
-    def _periods(self) -> DataFrame:
+    def periods(self) -> DataFrame:
+        """(PeriodId, period_start), as the fact is joined with it."""
         return self._period.select(
             F.col("PeriodId").cast("int").alias("PeriodId"),
             F.col("StartDate").cast("timestamp").alias("period_start"),
@@ -88,7 +89,7 @@ class SolutionSource(Source):
             F.col("PeriodId").cast("int").alias("PeriodId"),
             F.col("Value").cast("double").alias("value"),
         )
-        return d.join(self._periods(), "PeriodId", "inner").drop("PeriodId")
+        return d.join(self.periods(), "PeriodId", "inner").drop("PeriodId")
 
     def repeated_periods(self) -> DataFrame:
         return self._period.groupBy(F.col("PeriodId").alias("period")).agg(F.count("*").alias("n")).where("n > 1")
@@ -102,7 +103,7 @@ def open_solution(spark: SparkSession, base: str, cache_dimensions: bool = True)
     ``dataFileId`` partition column, so partition pruning works); the two
     dimensions are read once and cached."""
     base = base.rstrip("/")
-    fact = spark.read.schema(_FACT_READ).parquet(f"{base}/data")
+    fact = spark.read.schema(FACT_READ).parquet(f"{base}/data")
     fki = spark.read.parquet(f"{base}/fullkeyinfo")
     period = spark.read.parquet(f"{base}/period")
     if cache_dimensions:
