@@ -332,6 +332,21 @@ def q_incremental_cells(spark, sf):
     return c.select("rule_ord", "object", "band", "month_start", round4("value").alias("value"))
 
 
+def q_published_report(spark, sf):
+    """The Ratings report as a publication, read back as the current one; the second call finds it whole."""
+    import uuid
+
+    from cadence.plans.publish import publish, read_current
+    from cadence.session import checkpoint_dir
+
+    src = _src(spark, sf)
+    out = f"{checkpoint_dir(spark).rstrip('/')}/published-{uuid.uuid4().hex}"
+    for _ in range(2):
+        publish(src, analog.ruleset(spark, standard=[]), out, "first")
+    cells = read_current(spark, out, "Ratings_Report")
+    return cells.select("section", "row_label", "col_label", round4("value").alias("value"))
+
+
 #: Files of an append that incremental_cells takes into one batch.
 FILES_PER_BATCH = 16
 
@@ -825,6 +840,7 @@ def _registry():
         "filtered_cells": (q_filtered_cells, _sampled_sql("phase = 4 AND model = 1 AND sample IN (0, 2)", "1.0::DOUBLE")),
         "weighted_cells": (q_weighted_cells, _weighted_cells_sql()),
         "incremental_cells": (q_incremental_cells, _cells_sql(O.std_rule(1))),
+        "published_report": (q_published_report, _sections_from_text_sql()),
         "schema_contract": (q_schema_contract, _schema_contract_sql()),
     }
 

@@ -243,10 +243,14 @@ def numbered_lines(lines: DataFrame) -> DataFrame:
     return known.join(first, ["report", "section_ord"]).withColumn("line_no", F.col("_line") - F.col("_first") + 1).drop("_line", "_first")
 
 
-def write_lines(lines: DataFrame, path: str, parts: int | None = None) -> None:
-    """Lines as text, a folder for each section: ranges of the whole order, so a section
+def write_lines(lines: DataFrame, path: str, parts: int | None = None, by_section: bool = True) -> None:
+    """Lines as text, a folder for each section (or, not ``by_section``, one for all): ranges of the whole order, so a section
     of any size is dealt over as many files as it has ranges; the files' numbers are their
     order. ``parts`` is the number of ranges; by default what adaptive execution makes of it."""
     order = [F.col(c).asc_nulls_first() for c in ["section_ord", *(c for c in LINE_ORDER if c not in ("report", "section_ord"))]]
     dealt = lines.repartitionByRange(parts, *order) if parts else lines.repartitionByRange(*order)
-    dealt.sortWithinPartitions(*order).select("section_ord", "line").write.mode("overwrite").partitionBy("section_ord").text(path)
+    rows = dealt.sortWithinPartitions(*order)
+    if by_section:
+        rows.select("section_ord", "line").write.mode("overwrite").partitionBy("section_ord").text(path)
+    else:
+        rows.select("line").write.mode("overwrite").text(path)
