@@ -58,13 +58,6 @@ def open_members(shared: DataFrame, comps: DataFrame) -> DataFrame:
     return cut(at.join(left.select("key", "n"), "key"))
 
 
-def cross_pairs(at: DataFrame) -> DataFrame:
-    """Of open_members(): pairs of a bucket's nodes in different components."""
-    x, y = at.alias("x"), at.alias("y")
-    pairs = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.c") < F.col("y.c")))
-    return pairs.select(F.greatest("x.node", "y.node").alias("a"), F.least("x.node", "y.node").alias("b")).distinct()
-
-
 def link_buckets(members: DataFrame, verify, settle) -> DataFrame:
     """Components of the links between nodes that share a bucket. First each node
     is paired with one hub: ``verify`` takes pairs (a, b) and returns those that are

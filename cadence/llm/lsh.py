@@ -10,8 +10,11 @@ probability of 2e-6: with far more than 1e7 vectors, raise HASHES by 3 and
 TABLES by half for each further factor of ten.
 
 Bitwise equal vectors are one class. Links found through shared keys give the
-components; inside a component all pairs are compared in blocks, so each
-vector's links are counted without a row for any pair.
+components: each vector is first compared with one hub, then buckets that still
+span several components are compared block by block inside tasks, which return
+only links that join up what is apart. Inside a component all pairs are compared
+in blocks in the same way, so each vector's links are counted. No pair that does
+not join anything becomes a row.
 
 Defined cases: vectors that are null, empty, zero or hold null or non-finite
 components link with nothing and come back alone. Vectors of different
@@ -30,6 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cadence.llm import graph
+from cadence.llm.minhash import _groups
 from cadence.llm.tables import cut, read
 from cadence.llm.words import mix
 
@@ -105,6 +109,32 @@ def _linked(batches):
         yield pa.RecordBatch.from_arrays([batch.column(c).filter(pa.array(keep)) for c in ("a", "b")], names=["a", "b"])
 
 
+def _joined(batches):
+    """Of two blocks of a bucket (or one with itself), links that join up all of its
+    components that are linked there: at most one fewer than the components."""
+    for table in _groups(batches):
+        i, j = table.column("i")[0].as_py(), table.column("j")[0].as_py()
+        own, nodes, c = (np.asarray(table.column(x)) for x in ("own", "node", "c"))
+        dims = np.asarray(pc.list_value_length(table.column("unit")))
+        out: tuple[list, list] = ([], [])
+        for dim in np.unique(dims).tolist():
+            left, right = np.flatnonzero((own == i) & (dims == dim)), np.flatnonzero((own == j) & (dims == dim))
+            if not len(left) or not len(right):
+                continue
+            x, y = (_matrix(table.column("unit").take(pa.array(rows)), dim) for rows in (left, right))
+            for at in range(0, len(left), 512):
+                near = x[at : at + 512] @ y.T >= LEAST
+                for row, of in zip(left[at : at + 512].tolist(), near):
+                    met = right[of]
+                    for other in met[np.unique(c[met], return_index=True)[1]].tolist():
+                        if c[other] != c[row]:
+                            out[0].append(nodes[row])
+                            out[1].append(nodes[other])
+                            c = np.where(c == c[other], c[row], c)
+        if out[0]:
+            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in out], names=["a", "b"])
+
+
 def _count(key, left: pa.Table, right: pa.Table) -> pa.Table:
     """For every vector of the left block, the rows of the right block that it links with."""
     if not left.num_rows or not right.num_rows:
@@ -132,8 +162,15 @@ def near_vectors(vectors: DataFrame) -> DataFrame:
         side = lambda c: nodes.select(F.col("node").alias(c), F.col("unit").alias(f"u{c}"))
         return pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(_linked, "a long, b long")
 
+    def settle(at):
+        at = at.withColumn("blocks", F.ceil(F.col("n") / BLOCK_ROWS).cast("int")).withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+        at = at.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        group = [F.col("key"), F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j")]
+        at = at.select(*group, "own", "node", "c").join(nodes.select("node", "unit"), "node").select("key", "i", "j", "own", "node", "c", "unit")
+        return at.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j").mapInArrow(_joined, "a long, b long").distinct()
+
     members = nodes.select(F.explode("keys").alias("key"), "node")
-    comps = cut(graph.link_buckets(members, verify, lambda at: verify(graph.cross_pairs(at))))
+    comps = cut(graph.link_buckets(members, verify, settle))
     held = cut(nodes.drop("keys").join(comps, "node").withColumn("dim", F.size("unit")))
     sizes = held.groupBy("component").count().select("component", F.ceil(F.col("count") / BLOCK_ROWS).cast("int").alias("blocks"))
     held = held.join(sizes, "component").withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
