@@ -33,13 +33,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cadence.llm import graph
-from cadence.llm.minhash import _groups
 from cadence.llm.tables import cut, read
 from cadence.llm.words import mix
 
 LEAST = 0.95
 TABLES, HASHES, WIDTH = 64, 18, 2.0
 BLOCK_ROWS = 2048
+#: Groups of up to so many rows are compared many at a time.
+FEW = 64
 FOLD = np.random.Generator(np.random.PCG64(31)).integers(1, 2**63, HASHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 SALT = mix(np.arange(1, TABLES + 1, dtype=np.uint64))
 
@@ -109,30 +110,88 @@ def _linked(batches):
         yield pa.RecordBatch.from_arrays([batch.column(c).filter(pa.array(keep)) for c in ("a", "b")], names=["a", "b"])
 
 
+def _whole(batches):
+    """Rows sorted by (key, i, j) -> tables of whole groups, with each row's group number."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        held.append(batch)
+        at = np.stack([np.asarray(batch.column(c)).astype(np.int64) for c in ("key", "i", "j")])
+        cuts = np.flatnonzero((at[:, 1:] != at[:, :-1]).any(axis=0)) + 1
+        if len(cuts):  # the last group may go on in the next batch
+            held[-1] = batch.slice(0, cuts[-1])
+            yield pa.Table.from_batches(held).combine_chunks()
+            held = [batch.slice(cuts[-1])]
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks()
+
+
 def _joined(batches):
     """Of two blocks of a bucket (or one with itself), links that join up all of its
-    components that are linked there: at most one fewer than the components."""
-    for table in _groups(batches):
-        i, j = table.column("i")[0].as_py(), table.column("j")[0].as_py()
-        own, nodes, c = (np.asarray(table.column(x)) for x in ("own", "node", "c"))
+    components that are linked there: at most one fewer than the components. Groups of
+    up to FEW rows are compared together, by their rows' distance."""
+    for table in _whole(batches):
+        if not table.num_rows:
+            continue
+        at = np.stack([np.asarray(table.column(c)).astype(np.int64) for c in ("key", "i", "j")])
+        starts = np.concatenate([[0], np.flatnonzero((at[:, 1:] != at[:, :-1]).any(axis=0)) + 1, [table.num_rows]])
+        sizes = np.diff(starts)
+        nodes, c, own = (np.asarray(table.column(x)) for x in ("node", "c", "own"))
         dims = np.asarray(pc.list_value_length(table.column("unit")))
-        out: tuple[list, list] = ([], [])
-        for dim in np.unique(dims).tolist():
-            left, right = np.flatnonzero((own == i) & (dims == dim)), np.flatnonzero((own == j) & (dims == dim))
-            if not len(left) or not len(right):
-                continue
-            x, y = (_matrix(table.column("unit").take(pa.array(rows)), dim) for rows in (left, right))
-            for at in range(0, len(left), 512):
-                near = x[at : at + 512] @ y.T >= LEAST
-                for row, of in zip(left[at : at + 512].tolist(), near):
-                    met = right[of]
-                    for other in met[np.unique(c[met], return_index=True)[1]].tolist():
-                        if c[other] != c[row]:
-                            out[0].append(nodes[row])
-                            out[1].append(nodes[other])
-                            c = np.where(c == c[other], c[row], c)
-        if out[0]:
-            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in out], names=["a", "b"])
+        alike = dims.min() == dims.max()
+        out: list[tuple[int, int]] = []
+        if alike:
+            out += _few(np.repeat(np.where(sizes <= FEW, np.arange(len(sizes)), -1), sizes), c, own, at[1] != at[2], _matrix(table.column("unit"), int(dims[0])))
+        for lo, hi in zip(starts[:-1].tolist(), starts[1:].tolist()):
+            if hi - lo > (FEW if alike else 1):
+                out += [(lo + x, lo + y) for x, y in _many(at[1, lo], at[2, lo], own[lo:hi], c[lo:hi], dims[lo:hi], table.column("unit").combine_chunks().slice(lo, hi - lo))]
+        if out:
+            yield pa.RecordBatch.from_arrays([pa.array(nodes[[p[k] for p in out]], pa.int64()) for k in (0, 1)], names=["a", "b"])
+
+
+def _few(group, c, own, crossing, unit) -> list[tuple[int, int]]:
+    """Joining links within each of many small groups; rows of group -1 have none."""
+    left, right = [], []
+    for far in range(1, FEW):
+        x = np.flatnonzero((group[far:] == group[:-far]) & (group[far:] >= 0))
+        if not len(x):
+            break
+        # Two blocks: only pairs across them; the blocks have groups of their own for the rest.
+        x = x[(c[x] != c[x + far]) & (~crossing[x] | (own[x] != own[x + far]))]
+        near = x[np.einsum("ij,ij->i", unit[x], unit[x + far]) >= LEAST]
+        left += near.tolist()
+        right += (near + far).tolist()
+    above: dict = {}
+
+    def root(x):
+        while above.setdefault(x, x) != x:
+            above[x] = x = above[above[x]]
+        return x
+
+    out = []
+    for x, y in zip(left, right):
+        if (p := root((group[x], c[x]))) != (q := root((group[y], c[y]))):
+            above[p] = q
+            out.append((x, y))
+    return out
+
+
+def _many(i, j, own, c, dims, units_) -> list[tuple[int, int]]:
+    """Joining links within one group."""
+    c, out = c.copy(), []
+    for dim in np.unique(dims).tolist():
+        left, right = np.flatnonzero((own == i) & (dims == dim)), np.flatnonzero((own == j) & (dims == dim))
+        if not len(left) or not len(right):
+            continue
+        x, y = (_matrix(units_.take(pa.array(rows)), dim) for rows in (left, right))
+        for at in range(0, len(left), 512):
+            near = x[at : at + 512] @ y.T >= LEAST
+            for row, of in zip(left[at : at + 512].tolist(), near):
+                met = right[of]
+                for other in met[np.unique(c[met], return_index=True)[1]].tolist():
+                    if c[other] != c[row]:
+                        out.append((row, other))
+                        c[c == c[other]] = c[row]
+    return out
 
 
 def _count(key, left: pa.Table, right: pa.Table) -> pa.Table:

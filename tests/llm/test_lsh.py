@@ -80,3 +80,32 @@ def test_vectors_of_other_lengths_in_a_bucket_are_not_compared():
                                        names=["key", "i", "j", "own", "node", "c", "unit"])
     out = [tuple(p) for b in lsh._joined([table]) for p in zip(b.column("a").to_pylist(), b.column("b").to_pylist())]
     assert out == [(1, 3)]
+
+
+def test_many_small_groups_at_a_time_equal_one_by_one(monkeypatch):
+    """Rows of many buckets over several batches, small and large, whole and cut into two blocks."""
+    rng = np.random.default_rng(3)
+    rows = []
+    for key in range(60):
+        n = int(rng.integers(1, 12)) if key % 7 else 150
+        centre = rng.standard_normal(6)
+        unit = lsh.units(centre + 0.35 * rng.standard_normal((n, 6)))
+        own, j = rng.integers(0, 2, n) * (key % 2), key % 2
+        rows += [(key, 0, j, int(own[r]), 1000 * key + r, 1000 * key + int(rng.integers(0, n)), unit[r].tolist()) for r in range(n)]
+    columns = [pa.array(x) for x in zip(*rows)]
+    batch = pa.RecordBatch.from_arrays(columns, names=["key", "i", "j", "own", "node", "c", "unit"])
+    comp = {r[4]: (r[0], r[5]) for r in rows}
+
+    def classes(few, size):
+        monkeypatch.setattr(lsh, "FEW", few)
+        above = {x: x for x in set(comp.values())}
+        pairs = [p for b in lsh._joined([batch.slice(k, size) for k in range(0, len(rows), size)]) for p in zip(b.column("a").to_pylist(), b.column("b").to_pylist())]
+        for a, b in pairs:
+            old, new = above[comp[b]], above[comp[a]]
+            assert old != new
+            above = {k: new if v == old else v for k, v in above.items()}
+        return {frozenset(k for k in above if above[k] == v) for v in above.values()}
+
+    want = classes(1, len(rows))
+    assert len(want) < len(set(comp.values()))
+    assert classes(64, len(rows)) == classes(64, 37) == classes(1, 5) == classes(64, 5) == want
