@@ -13,8 +13,9 @@ doc_id's hash, so thousands of equal documents spread over several ranges.
 
 Token ids are those of the tokenizers library. Texts are split as its
 byte-level rule does, on arrays of code points, and each distinct piece is
-encoded once; texts with characters outside the Latin blocks are encoded whole
-by the library. The string of an added token such as <|endoftext|> in a text is
+encoded once while it is known; new pieces go to the library many in a string, in
+which its rule splits them again, and are told apart by the bytes that ids stand for.
+Texts with characters outside the Latin blocks are encoded whole by the library. The string of an added token such as <|endoftext|> in a text is
 ordinary text, as in the call that the README of public_tokenizers gives.
 
 Defined cases: a null or empty text has the end token only; rows that repeat a
@@ -39,8 +40,10 @@ from cadence.llm.words import mix, powers, word_hashes
 
 SEQUENCE, END = 2048, 1
 AXES, AXIS_BITS, TIE_BITS = 4, 10, 20
-#: Bytes of text in a range; in a stretch that is split at a time; known pieces a task keeps.
-RANGE_BYTES, STRETCH, KNOWN = 32 << 20, 2 << 20, 200_000
+#: Bytes of text in a range; in a stretch that is split at a time.
+RANGE_BYTES, STRETCH = 32 << 20, 2 << 20
+#: Slots for known pieces are two to this power; ids that a worker keeps for them; new pieces the library gets in one string.
+SLOT_BITS, KNOWN_IDS, JOINED = 20, 1 << 22, 64
 TOKENIZER = "byte_bpe_50k.json"
 
 
@@ -117,9 +120,18 @@ class Splitter:
                     break
         self.kinds = kinds
         self.letter = np.random.Generator(np.random.PCG64(61)).integers(1, 2**63, self.LATIN, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-        # ids of pieces by hash: those met of late, and those met before them
-        self.known: dict[int, bytes] = {}
-        self.older: dict[int, bytes] = {}
+        vocabulary = self.library.get_vocab(with_added_tokens=False)
+        self.id_bytes = np.zeros(1 << 16, np.int64)  # a byte is a character of the name
+        self.id_bytes[list(vocabulary.values())] = [len(x) for x in vocabulary]
+        self.forget()
+
+    def forget(self) -> None:
+        """Known pieces: in the slot that its hash's high bits name, a piece's hash, and where its ids are in
+        ``pool`` and how many. A later piece takes a slot over."""
+        self.keys = np.zeros(1 << SLOT_BITS, np.uint64)
+        self.at = np.zeros(1 << SLOT_BITS, np.int64)
+        self.size = np.zeros(1 << SLOT_BITS, np.int32)
+        self.pool, self.used = np.zeros(KNOWN_IDS, "<u2"), 0
 
     def whole(self, text: bytes) -> bytes:
         return np.array(self.library.encode(text.decode("utf-8", "replace"), add_special_tokens=False).ids, "<u2").tobytes()
@@ -159,6 +171,57 @@ class Splitter:
             start[follow[follow < n]] = True
         return np.flatnonzero(start)
 
+    def piece_ids(self, text: str, chars: np.ndarray, starts: np.ndarray, ends: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where each piece's ids are in ``pool``, and how many; unknown pieces are encoded."""
+        if self.used > KNOWN_IDS:
+            self.forget()
+        slot = (hashes >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
+        at, sizes = self.at[slot], self.size[slot].astype(np.int64)
+        new = np.flatnonzero((self.keys[slot] != hashes) | (sizes == 0))
+        if len(new):
+            keys, where, of = np.unique(hashes[new], return_index=True, return_inverse=True)
+            where = new[where]
+            ids, size = self.encoded(text, chars, starts[where], ends[where])
+            if self.used + len(ids) > len(self.pool):
+                self.pool = np.concatenate([self.pool[: self.used], np.zeros(len(ids) + KNOWN_IDS, "<u2")])
+            self.pool[self.used : self.used + len(ids)] = ids
+            opens = self.used + np.cumsum(size) - size
+            self.used += len(ids)
+            at[new], sizes[new] = opens[of], size[of]
+            self.keys[slot[where]], self.at[slot[where]], self.size[slot[where]] = keys, opens, size
+        return at, sizes
+
+    def encoded(self, text: str, chars: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of pieces one after another, and how many each has. Pieces without white space but for a
+        blank in front go many in a string, behind a line feed where no blank opens them; the
+        library's rule splits there and nowhere else."""
+        white = np.concatenate([[0], np.cumsum(self.kinds[chars] == 0)])
+        wide = np.concatenate([[0], np.cumsum(chars >= 0x80)])  # two bytes each
+        blank = chars[starts] == 0x20
+        apart = (white[ends] - white[starts] > blank) | (blank & (ends - starts == 1))
+        order = np.concatenate([np.flatnonzero(~apart), np.flatnonzero(apart)])
+        joined = len(order) - int(apart.sum())
+        fed = ~blank[order]
+        fed[joined:] = False
+        pieces = [("\n" if f else "") + text[a:b] for f, a, b in zip(fed.tolist(), starts[order].tolist(), ends[order].tolist())]
+        strings = ["".join(pieces[i : min(i + JOINED, joined)]) for i in range(0, joined, JOINED)] + pieces[joined:]
+        got = self.library.encode_batch_fast(strings, add_special_tokens=False)
+        ids = np.concatenate([np.array(e.ids, "<u2") for e in got])
+        length = (ends - starts + wide[ends] - wide[starts])[order]
+        stop = np.cumsum(length + fed)
+        behind = np.concatenate([[0], np.cumsum(self.id_bytes[ids])])  # bytes up to each id
+        first, last = np.searchsorted(behind, stop - length), np.searchsorted(behind, stop)
+        if behind[-1] != stop[-1] or (behind[first] != stop - length).any() or (behind[last] != stop).any():
+            # ids that do not stand for a piece's bytes, as those of a tokenizer that normalises: one by one
+            got = [e.ids for e in self.library.encode_batch_fast([text[a:b] for a, b in zip(starts.tolist(), ends.tolist())], add_special_tokens=False)]
+            return np.concatenate([np.array(x, "<u2") for x in got]), np.array([len(x) for x in got])
+        size = np.empty(len(order), np.int64)
+        size[order] = last - first
+        opens = np.empty(len(order), np.int64)
+        opens[order] = first
+        closes = np.cumsum(size)
+        return ids[np.arange(int(closes[-1])) + np.repeat(opens - (closes - size), size)], size
+
     def ids(self, data: np.ndarray, offsets: np.ndarray) -> list[bytes]:
         """Ids of every text as little-endian unsigned 16-bit integers."""
         n = len(offsets) - 1
@@ -187,27 +250,9 @@ class Splitter:
         total = np.zeros(len(chars) + 1, np.uint64)
         np.cumsum(self.letter[chars] * p[: len(chars)], out=total[1:])
         hashes = mix((total[ends] - total[starts]) * inv[starts] + (ends - starts).astype(np.uint64))
-        keys, where, of = np.unique(hashes, return_index=True, return_inverse=True)
-        if len(self.known) > KNOWN:
-            self.known, self.older = {}, self.known
-        names = keys.tolist()
-        held = [self.known.get(k) for k in names]
-        for i in [i for i, x in enumerate(held) if x is None]:
-            if (x := self.older.get(names[i])) is not None:
-                held[i] = self.known[names[i]] = x
-        new = [i for i, x in enumerate(held) if x is None]
-        if new:
-            pieces = [text[a:b] for a, b in zip(starts[where[new]].tolist(), ends[where[new]].tolist())]
-            for lo in range(0, len(new), 50_000):
-                got = self.library.encode_batch_fast(pieces[lo : lo + 50_000], add_special_tokens=False)
-                for i, e in zip(new[lo : lo + 50_000], got):
-                    held[i] = self.known[int(keys[i])] = np.array(e.ids, "<u2").tobytes()
-        flat = np.frombuffer(b"".join(held), "<u2")
-        size = np.array([len(x) // 2 for x in held])
-        opens = np.cumsum(size) - size
-        sizes = size[of]
+        at, sizes = self.piece_ids(text, chars, starts, ends, hashes)
         stops = np.cumsum(sizes)
-        every = flat[np.arange(int(stops[-1])) + np.repeat(opens[of] - (stops - sizes), sizes)]
+        every = self.pool[np.arange(int(stops[-1])) + np.repeat(at - (stops - sizes), sizes)]
         cuts = np.concatenate([[0], stops])[np.searchsorted(starts, edges)]
         for k, i in enumerate(plain):
             out[i] = every[cuts[k] : cuts[k + 1]].tobytes()

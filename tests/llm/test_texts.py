@@ -202,6 +202,44 @@ def test_split_at_the_end_of_the_latin_blocks():
     assert got == [np.array(split.library.encode(t, add_special_tokens=False).ids, "<u2").tobytes() for t in texts]
 
 
+class Counted:
+    """A tokenizer that counts the strings it is given."""
+
+    def __init__(self, library):
+        self.library, self.n = library, 0
+
+    def encode_batch_fast(self, strings, **more):
+        self.n += len(strings)
+        return self.library.encode_batch_fast(strings, **more)
+
+
+def test_new_pieces_go_to_the_library_many_at_a_time():
+    split = packing.Splitter(open(public_tokenizers.path(packing.TOKENIZER), encoding="utf-8").read())
+    words = [f"{a}{b}{c}é" for a in "bdkw" for b in "aeiou" for c in "lmnrst"]
+    texts = [" ".join(words), " ".join(w + "'ll \n\t" + w.upper() + " ?!" for w in words), "", " ", "\n", "it's  \u00a0'x' " * 30]
+    data = np.frombuffer("".join(texts).encode(), np.uint8)
+    off = np.cumsum([0] + [len(t.encode()) for t in texts])
+    want = [split.whole(t.encode()) for t in texts]
+    split.library = counted = Counted(split.library)
+    assert split.ids(data, off) == want
+    assert 0 < counted.n < len(words) / 4
+    seen = counted.n
+    assert split.ids(data, off) == want and counted.n == seen  # all known
+    split.forget()
+    split.id_bytes[:] = 7  # as for a tokenizer whose names tell nothing of the bytes
+    assert split.ids(data, off) == want and counted.n > 2 * len(words)
+
+
+def test_known_pieces_are_bounded(monkeypatch):
+    monkeypatch.setattr(packing, "KNOWN_IDS", 64)
+    monkeypatch.setattr(packing, "SLOT_BITS", 4)  # most pieces share a slot with another
+    split = packing.Splitter(open(public_tokenizers.path(packing.TOKENIZER), encoding="utf-8").read())
+    for k in range(20):
+        text = " ".join(f"w{k}x{i % 40}y the" for i in range(60)).encode()
+        assert split.ids(np.frombuffer(text, np.uint8), np.array([0, len(text)])) == [split.whole(text)]
+        assert split.used <= 64 + 40 * 8 + 200 and len(split.keys) == 16
+
+
 def test_bpe_round_trip(spark, docs, texts, empty):
     ship_code(spark)
     path = public_tokenizers.path(bpe.RANKS)
