@@ -5,7 +5,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from cadence import analog
+from cadence import analog, session
 from cadence.api import cells_of, daily_block
 from cadence.functions.calendar import Calendar
 from cadence.functions.numeric import round4
@@ -14,7 +14,7 @@ from cadence.plans.layout import number_text
 from cadence.session import FIRST_PARTS, JOINED_UP, PARTITION_BYTES, PARTS, SHUFFLE_PARTS, SPLIT_BYTES, SPLITS, configure, in_bytes
 from cadence.sources.report_text import parse_sections
 from cadence.sources.rules import prepare
-from cadence.sources.star import lineitem_source
+from cadence.sources.star import lineitem_source, read_fact
 from tests.conftest import SF_SMALL
 
 CAL = Calendar(tuple((dt.date(y, m, 1), y, f"{m}-{y}") for y, m in ((2026, 1), (2026, 2), (2027, 1))))
@@ -43,6 +43,28 @@ def test_tasks_are_bounded(spark):
             spark.conf.set(k, v)
 
 
+def test_shuffles_grow_with_the_fact(spark, tmp_path, monkeypatch):
+    """More splits of the fact mean more partitions in its shuffles, which hold 4 MB at most when joined up."""
+    path = str(tmp_path / "lineitem.parquet")
+    spark.range(0, 600, 1, 6).write.parquet(path)
+    before = {k: spark.conf.get(k, None) for k in (SPLITS, JOINED_UP, FIRST_PARTS)}
+    try:
+        spark.conf.unset(FIRST_PARTS)
+        configure(spark)
+        assert in_bytes(spark.conf.get(JOINED_UP)) <= 4 << 20
+        small = int(spark.conf.get(FIRST_PARTS))
+        monkeypatch.setattr(session, "PARTS_A_SPLIT", 1000)
+        fact = read_fact(spark, str(tmp_path), "lineitem")
+        splits = fact.rdd.getNumPartitions()
+        assert fact.count() == 600 and int(spark.conf.get(FIRST_PARTS)) == max(small, 1000 * splits) > small
+        spark.conf.set(FIRST_PARTS, "900000")  # a session that asks for more keeps it
+        read_fact(spark, str(tmp_path), "lineitem")
+        assert spark.conf.get(FIRST_PARTS) == "900000"
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 @pytest.mark.parametrize(("text", "n"), [("64MB", 64 << 20), ("8m", 8 << 20), ("16k", 16 << 10), ("5", 5), ("7b", 7), ("134217728b", 1 << 27)])
 def test_sizes_are_read_as_spark_writes_them(text, n):
     assert in_bytes(text) == n
