@@ -26,6 +26,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from cadence.functions.calendar import month_start
 from cadence.plans.sizing import local_frame
+from cadence.sources.base import dealt, placed_by
 from cadence.sources.solution import FACT_READ, SolutionSource
 
 KEYS = ["series_id", "datafile_id", "date", "period"]
@@ -130,10 +131,10 @@ class StoredSource(SolutionSource):
 
     def partials(self, wanted: DataFrame, day: bool, expand_timeslices: bool = False, properties: list[str] | None = None) -> DataFrame:
         rows = self.store.partials(self.periods()).join(wanted, self.key_cols).withColumn("month_start", month_start("date"))
-        grain = [*self.key_cols, "month_start"]
+        grain = [*placed_by(wanted), *self.key_cols, "month_start"]
         if day:
             rows, grain = rows.withColumn("day", F.when(F.col("_daily"), F.dayofmonth("date"))), [*grain, "day"]
-        return rows.groupBy(*grain).agg(F.sum("value").alias("value"), F.sum("n").alias("n"))
+        return dealt(rows.groupBy(*grain).agg(F.sum("value").alias("value"), F.sum("n").alias("n")))
 
     def observed(self, expand_timeslices: bool = False, properties: list[str] | None = None) -> DataFrame:
         return self.store.partials(self.periods()).select(*self.key_cols).distinct()
